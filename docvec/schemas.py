@@ -1,0 +1,16 @@
+"""Row shapes shared by all modules, as DDL strings."""
+
+FILES = (
+    "id string, name string, path string, last_modified timestamp, size bigint, "
+    "metadata map<string,string>, type string, source_name string"
+)
+DOCS = "id string, content string, metadata map<string,string>"
+CHUNKS = DOCS + ", doc_id string, chunk_index int"
+VECTORS = "id string, vector array<float>, metadata map<string,string>"
+USAGE = (
+    "user_id string, model_name string, input_tokens bigint, completion_tokens bigint, "
+    "application string, requests int, cost double, transaction_id string, "
+    "source_platform_application string"
+)
+IMAGES = "array<struct<type:string,filename:string,image:string>>"
+CONVERSIONS = f"id string, filename string, markdown string, images {IMAGES}, error string"
