@@ -20,7 +20,7 @@ LOG = "version bigint, kind string, batch_id string, stored bigint"
 ROW = "id string, vector array<float>, metadata map<string,string>, file_id string"
 
 
-def vector_rows(chunks: DataFrame) -> DataFrame:
+def vector_rows(chunks: DataFrame, *more: Column) -> DataFrame:
     """Embedded chunks as rows to store; the chunk text itself is not kept.
 
     The file id leaves the metadata map as a column of its own, so that a delete by file
@@ -31,6 +31,7 @@ def vector_rows(chunks: DataFrame) -> DataFrame:
         "vector",
         "metadata",
         (F.col("file_id") if "file_id" in chunks.columns else F.col("metadata")[FILE_KEY]).alias("file_id"),
+        *more,
     )
 
 
@@ -148,11 +149,12 @@ def store(vectors: DataFrame, path: str, order: Column | str | None = None, batc
     done = [v for v in log if batch is not None and v["batch_id"] == batch]
     if done:
         return done[0]["stored"]
-    rows = vector_rows(vectors)
-    if order is not None:
-        rows = rows.withColumn("_order", order if isinstance(order, Column) else vectors[order])
-    once = latest(rows, "_order" if order is not None else None)
-    changes = once.drop("_order").withColumn("deleted", F.lit(False))
+    if order is None:
+        once = latest(vector_rows(vectors))
+    else:
+        by = F.col(order) if isinstance(order, str) else order
+        once = latest(vector_rows(vectors, by.alias("_order")), "_order").drop("_order")
+    changes = once.withColumn("deleted", F.lit(False))
     return _commit(changes, path, "change", batch, log)
 
 

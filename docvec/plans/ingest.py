@@ -44,19 +44,15 @@ def listed(spark: SparkSession, config: Config, extract_type: str = "full", last
     return files.extract(found, extract_type, last_run)
 
 
-def load_error(route: Column, content: Column) -> Column:
-    """Why a file cannot be loaded; null if it can."""
-    text = F.try_validate_utf8(content.cast("string"))
-    return F.when(text.isNull(), "not valid UTF-8").when(
-        (route == "json") & F.try_parse_json(text).isNull(), "not valid JSON"
-    )
+def loaded(found: DataFrame) -> DataFrame:
+    """Documents of all files by extension; a file that cannot be read gives a row with its error."""
+    route = documents.route_by_extension(F.col("path"))
+    return documents.auto_docs(found, by=route, strict=False)
 
 
 def chunks(found: DataFrame) -> DataFrame:
-    """Chunks of all files that can be loaded."""
-    route = documents.route_by_extension(F.col("path"))
-    good = found.filter(load_error(route, F.col("content")).isNull())
-    return chunk.chunk_by_metadata(documents.auto_docs(good, by=route))
+    """Chunks of all files that can be read."""
+    return chunk.chunk_by_metadata(loaded(found).filter(F.col("error").isNull()).drop("error"))
 
 
 def vectors(found: DataFrame, embedder: Callable[[Column], Column] = embed.hash_embedder) -> DataFrame:
@@ -80,11 +76,9 @@ def run(
 def report(spark: SparkSession, found: DataFrame, sink: str) -> DataFrame:
     """State of each file: failed with its error, completed with its vectors, or still processing."""
     stored = store.read_table(spark, sink).groupBy("file_id").agg(F.count("*").alias("vectors"))
-    route = documents.route_by_extension(F.col("path"))
-    checked = found.select(
-        F.col("id").alias("file_id"), "source_name", load_error(route, F.col("content")).alias("error")
-    )
-    rows = checked.join(stored, "file_id", "left")
+    failed = loaded(found).filter(F.col("error").isNotNull()).select("file_id", "error")
+    listed_files = found.select(F.col("id").alias("file_id"), "source_name")
+    rows = listed_files.join(failed, "file_id", "left").join(stored, "file_id", "left")
     state = (
         F.when(F.col("error").isNotNull(), usage.STATES[2])
         .when(F.col("vectors") > 0, usage.STATES[1])

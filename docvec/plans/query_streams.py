@@ -119,7 +119,7 @@ def write_sources(spark, sf):
     )
     half = F.when(F.col("bucket") % 7 == 3, F.col("event_id") % 2).otherwise(0)
     rows = events.groupBy("bucket", half.alias("half")).agg(
-        F.sort_array(F.collect_list(F.struct("event_id", F.struct("event_type").alias("e")))).alias("events")
+        F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind")))).alias("events")
     )
     rows.repartition("bucket").drop("half").write.partitionBy("bucket").json(f"{path}/events")
     return path
@@ -131,13 +131,13 @@ def write_sources(spark, sf):
        UNION ALL
        SELECT 'events', event_id // 500, CASE WHEN (event_id // 500) % 7 = 3 THEN 'failed' ELSE 'completed' END,
               CASE WHEN (event_id // 500) % 7 = 3 THEN 'not valid JSON' END,
-              CASE WHEN (event_id // 500) % 7 = 3 THEN 0 ELSE 2 END
+              CASE WHEN (event_id // 500) % 7 = 3 THEN 0 ELSE 2 * count(*) END
        FROM events GROUP BY event_id // 500"""
 )
 def run_files(spark, sf):
     """List, load, chunk, embed and store files of two sources; report per file.
 
-    Leaves of a JSON list share their id, so a good JSON file keeps one vector per path.
+    Each event in a good JSON file has two leaves, its id and its kind.
     """
     path = write_sources(spark, sf)
     config = ingest.Config(

@@ -79,13 +79,7 @@ def page_docs(
     if pages is None:
         texts = F.split(_as_text(files), "\f")
     else:
-
-        @F.arrow_udf("array<string>")
-        def run(content: pa.Array) -> pa.Array:
-            lists = [None if c is None else list(pages(c)) for c in content.to_pylist()]
-            return pa.array(lists, type=pa.list_(pa.string()))
-
-        texts = run(F.col("content"))
+        texts = F.transform(page_leaves(F.col("content"), pages)["docs"], lambda leaf: leaf["content"])
     rows = files.select("id", "metadata", F.posexplode(texts).alias("_page", "content"))
     doc_id = F.concat_ws("_", "id", "_page") if unique_ids else F.col("id")
     entry = maps.from_columns({"page": F.col("_page")})
@@ -111,24 +105,30 @@ def route_by_extension(path: Column) -> Column:
     return F.coalesce(table[tx.file_extension(path)], F.lit(GENERIC))
 
 
-def csv_text_rows(text: Column, id_key: str = "id") -> Column:
-    """Rows of one CSV text with its own header, in the shape of ``jsondocs.LEAF``.
+def csv_leaves(text: Column, id_key: str = "id", strict: bool = True) -> Column:
+    """Rows of a CSV text with its own header, in the shape of ``jsondocs.json_leaves``.
 
     For files with many different headers; files that share one are better read by
     ``tables.csv_docs``, which splits large files.
     """
 
-    def docs(text: str) -> Iterator[tuple[str, str, dict[str, str]]]:
+    def rows(text: str) -> Iterator[jsondocs.Leaf]:
         for i, row in enumerate(csv.DictReader(io.StringIO(text, newline=""))):
             cells = [(k.strip(), (v or "").strip()) for k, v in row.items() if k is not None]
             content = "\n".join(f"{k}: {v}" for k, v in cells)
             yield f"{row.get(id_key) or ''}.{id_key}", content, {"row": str(i)}
 
-    @F.arrow_udf(f"array<{jsondocs.LEAF}>")
-    def run(batch: pa.Array) -> pa.Array:
-        return jsondocs.leaf_array([[] if t is None else list(docs(t)) for t in batch.to_pylist()])
+    return jsondocs.leaf_reader(rows, strict, "not valid CSV")(text)
+
+
+def page_leaves(content: Column, pages: Callable[[bytes], list[str]], strict: bool = True) -> Column:
+    """Pages of a file by the caller's parser, in the shape of ``jsondocs.json_leaves``."""
 
-    return run(text)
+    def numbered(content: bytes) -> Iterator[jsondocs.Leaf]:
+        for i, page in enumerate(pages(content)):
+            yield "", page, {"page": str(i)}
+
+    return jsondocs.leaf_reader(numbered, strict, "not valid pages")(content)
 
 
 def auto_docs(
@@ -136,65 +136,77 @@ def auto_docs(
     by: Column | None = None,
     pages: Callable[[bytes], list[str]] | None = None,
     unique_ids: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Load each file by its route, in one pass over the files.
 
     ``files`` has id, path, type, metadata and content. Every route gives an array of
     documents; a Python worker sees only the content of the routes that need it. Each
-    document carries its file's id under ``_file_entry_id``.
+    document carries its file's id under ``_file_entry_id``. If not strict, a file that
+    cannot be read gives one row without content that names the ``error``.
     """
     chosen = by if by is not None else route(F.col("type"))
-    files = files.withColumn("_route", chosen)
+    routed = files.withColumn("_route", chosen)
     binary = dict(files.dtypes)["content"] == "binary"
 
+    def content_of(*routes: str) -> Column:
+        return F.when(F.col("_route").isin(*routes), F.col("content"))
+
     def text_of(*routes: str) -> Column:
         """Content as text on the given routes, null elsewhere."""
-        c = F.when(F.col("_route").isin(*routes), F.col("content"))
-        return tx.decode_utf8(c) if binary else c
-
-    def one(content: Column) -> Column:
-        return F.array(F.struct(F.col("id"), content.alias("content"), maps.empty_map().alias("metadata")))
-
-    if pages is None:
-        page_texts = F.split(text_of("pages"), "\f")
+        if not binary:
+            return content_of(*routes)
+        if strict:
+            return tx.decode_utf8(content_of(*routes))
+        return F.regexp_replace(F.try_validate_utf8(content_of(*routes).cast("string")), r"^\x{FEFF}", "")
+
+    def one(text: Column) -> Column:
+        leaf = F.struct(F.lit("").alias("id"), text.alias("content"), maps.empty_map().alias("metadata"))
+        return F.struct(
+            F.when(text.isNotNull(), F.array(leaf)).alias("docs"),
+            F.when(text.isNull() & F.col("content").isNotNull(), "not valid UTF-8").alias("error"),
+        )
+
+    if pages is not None:
+        paged = page_leaves(content_of("pages"), pages, strict)
     else:
-
-        @F.arrow_udf("array<string>")
-        def run(content: pa.Array) -> pa.Array:
-            lists = [None if c is None else list(pages(c)) for c in content.to_pylist()]
-            return pa.array(lists, type=pa.list_(pa.string()))
-
-        page_texts = run(F.when(F.col("_route") == "pages", F.col("content")))
-    numbered = F.transform(
-        page_texts,
-        lambda p, i: F.struct(
-            F.col("id"), p.alias("content"), maps.from_columns({"page": i}).alias("metadata")
-        ),
-    )
-    docs = (
-        F.when(F.col("_route") == "csv", csv_text_rows(text_of("csv")))
-        .when(F.col("_route") == "json", jsondocs.json_leaves(text_of("json")))
-        .when(F.col("_route") == "pages", numbered)
+        parts = F.transform(
+            F.split(text_of("pages"), "\f"),
+            lambda p, i: F.struct(
+                F.lit("").alias("id"), p.alias("content"), maps.from_columns({"page": i}).alias("metadata")
+            ),
+        )
+        paged = F.struct(
+            parts.alias("docs"), F.when(parts.isNull() & F.col("content").isNotNull(), "not valid UTF-8").alias("error")
+        )
+    loaded = (
+        F.when(F.col("_route") == "csv", csv_leaves(text_of("csv"), strict=strict))
+        .when(F.col("_route") == "json", jsondocs.json_leaves(text_of("json"), strict=strict))
+        .when(F.col("_route") == "pages", paged)
         .when(F.col("_route") == "markdown", one(tx.markdown_to_text(text_of("markdown"))))
         .when(F.col("_route") == "html", one(tx.html_to_text(text_of("html"))))
         .otherwise(one(text_of("text", GENERIC)))
     )
-    rows = files.select(
-        F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"),
-        F.posexplode(docs).alias("_at", "_doc"),
+    rows = routed.select(
+        F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded")
+    ).select(
+        "*", F.col("_loaded.error").alias("error"), F.posexplode_outer("_loaded.docs").alias("_at", "_doc")
     )
-    doc_id = F.concat_ws("_", "_doc.id", "_at") if unique_ids else F.col("_doc.id")
+    rows = rows.filter(F.col("_doc").isNotNull() | F.col("error").isNotNull())
+    # Pages and whole files go under the file's id; leaves and rows have their own.
+    own = F.when(F.col("_route").isin("csv", "json"), F.col("_doc.id")).otherwise(F.col("_file"))
+    doc_id = F.concat_ws("_", own, "_at") if unique_ids else own
     # CSV rows record their source instead of the file's metadata.
     outer = F.when(
         F.col("_route") == "csv", maps.from_columns({"source": F.col("path")})
     ).otherwise(maps.or_empty(F.col("_outer")))
+    file_entry = maps.from_columns({FILE_KEY: F.col("_file")})
     return rows.select(
         doc_id.alias("id"),
         F.col("_doc.content").alias("content"),
-        maps.merge(
-            F.col("_doc.metadata"), outer, maps.from_columns({FILE_KEY: F.col("_file")})
-        ).alias("metadata"),
+        maps.merge(F.col("_doc.metadata"), outer, file_entry).alias("metadata"),
         F.col("_file").alias("file_id"),
+        *([] if strict else ["error"]),
     )
 
 

@@ -5,7 +5,7 @@ function over Arrow batches. Numbers keep the text of the parsed value.
 """
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
@@ -16,6 +16,7 @@ from docvec.functions import maps
 
 LEAF = "struct<id:string,content:string,metadata:map<string,string>>"
 STYLES = ("json", "python")
+Leaf = tuple[str, str, dict[str, str]]  # id, content, metadata
 
 
 def leaf_text(value: object, style: str) -> str:
@@ -31,7 +32,7 @@ def entry_text(value: object, style: str) -> str:
 
 def walk(
     root: object, id_key: str, to_embed: frozenset, to_metadata: Sequence[str], style: str
-) -> Iterator[tuple[str, str, dict[str, str]]]:
+) -> Iterator[Leaf]:
     """Leaves in document order as (id, text, metadata of the enclosing objects).
 
     A leaf's id is its dotted path, after the enclosing object's own id if it has one. With
@@ -55,7 +56,7 @@ def walk(
             yield leaf_id or path, leaf_text(value, style), outer
 
 
-def leaf_array(rows: list[list[tuple[str, str, dict[str, str]]]]) -> pa.Array:
+def leaf_array(rows: list[list[Leaf]]) -> pa.Array:
     """Lists of (id, content, metadata) as an Arrow array of type ``array<LEAF>``."""
     leaves = [leaf for row in rows for leaf in row]
     entries = [entry for _, _, metadata in leaves for entry in metadata.items()]
@@ -73,6 +74,34 @@ def leaf_array(rows: list[list[tuple[str, str, dict[str, str]]]]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets([len(row) for row in rows]), values)
 
 
+def leaf_reader(
+    parse: Callable[..., Iterable[Leaf]], strict: bool, failure: str
+) -> Callable[[Column], Column]:
+    """Run ``parse`` over Arrow batches; the result is a struct of ``docs`` and ``error``.
+
+    What cannot be parsed is an error of the job or, if not strict, of its own row, which
+    then has no documents and the text ``failure``. Null has neither.
+    """
+
+    @F.arrow_udf(f"struct<docs:array<{LEAF}>,error:string>")
+    def run(batch: pa.Array) -> pa.Array:
+        rows: list[list[Leaf]] = []
+        errors: list[str | None] = []
+        for item in batch.to_pylist():
+            error = None
+            try:
+                found = [] if item is None else list(parse(item))
+            except Exception:
+                if strict:
+                    raise
+                found, error = [], failure
+            rows.append(found)
+            errors.append(error)
+        return pa.StructArray.from_arrays([leaf_array(rows), pa.array(errors, pa.string())], names=["docs", "error"])
+
+    return run
+
+
 def json_leaves(
     text: Column,
     id_key: str = "id",
@@ -81,24 +110,12 @@ def json_leaves(
     style: str = "json",
     strict: bool = True,
 ) -> Column:
-    """Array of leaves of a JSON text. Null has none; bad JSON is an error unless not strict."""
+    """Leaves of a JSON text as ``docs``, and ``error`` for bad JSON unless that is strict."""
     if style not in STYLES:
         raise ValueError(f"style must be one of {STYLES}, got {style!r}")
     wanted, keys = frozenset(to_embed or ()), tuple(to_metadata)
-
-    @F.arrow_udf(f"array<{LEAF}>")
-    def leaves(batch: pa.Array) -> pa.Array:
-        rows: list[list[tuple[str, str, dict[str, str]]]] = []
-        for item in batch.to_pylist():
-            try:
-                rows.append([] if item is None else list(walk(json.loads(item), id_key, wanted, keys, style)))
-            except ValueError:
-                if strict:
-                    raise
-                rows.append([])
-        return leaf_array(rows)
-
-    return leaves(text)
+    read = leaf_reader(lambda t: walk(json.loads(t), id_key, wanted, keys, style), strict, "not valid JSON")
+    return read(text)
 
 
 def json_docs(
@@ -118,7 +135,7 @@ def json_docs(
     """
     kept = [c for c in values.columns if c not in ("id", "content", "metadata", column)]
     outer = F.col("metadata") if "metadata" in values.columns else maps.empty_map()
-    leaves = json_leaves(F.col(column), id_key, to_embed, to_metadata, style, strict)
+    leaves = json_leaves(F.col(column), id_key, to_embed, to_metadata, style, strict)["docs"]
     rows = values.select(*kept, outer.alias("_outer"), F.posexplode(leaves).alias("_at", "_leaf"))
     doc_id = F.concat_ws("_", "_leaf.id", "_at") if unique_ids else F.col("_leaf.id")
     return rows.select(
