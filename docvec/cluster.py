@@ -30,3 +30,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` on at least as many partitions as there are cores.
+
+    A small table is often one file with one row group, which a single task would read and
+    process. A large table has more partitions than cores already and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -1,10 +1,19 @@
 """Text columns. Everything here stays in the JVM."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as white space, as a Java character class body.
-WHITESPACE = r"\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The characters that count as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# The same characters as the body of a regular expression class.
+BLANK = r"\t-\r\x1c-\x1f\x85\p{Z}"
 
 # HTML elements that start a new line of text.
 BLOCK_TAGS = (
@@ -25,6 +34,11 @@ ENTITIES = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it uses more than once, with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def replace_chain(text: Column, steps: list[tuple[str, str]]) -> Column:
     for pattern, replacement in steps:
         text = F.regexp_replace(text, pattern, replacement)
@@ -33,12 +47,16 @@ def replace_chain(text: Column, steps: list[tuple[str, str]]) -> Column:
 
 def strip(text: Column) -> Column:
     """Text without leading and trailing white space, Unicode spaces included."""
-    return F.regexp_replace(text, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def words(text: Column) -> Column:
     """White-space separated words; an all-blank text has none."""
-    return F.filter(F.split(text, rf"[{WHITESPACE}]+"), lambda w: w != "")
+    return F.regexp_extract_all(text, F.lit(f"[^{BLANK}]+"), 0)
+
+
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(f"[^{BLANK}]+"))
 
 
 def file_extension(path: Column) -> Column:
@@ -77,12 +95,16 @@ def cut_words(text: Column, window: int = 750, skip: int = 500) -> Column:
     Short texts are unchanged; long ones lose the first ``skip`` words and everything
     behind the window; those in between keep their last ``window`` words.
     """
-    w = words(text)
-    n = F.size(w)
-    part = F.when(n >= skip + window, F.slice(w, skip + 1, window)).otherwise(
-        F.slice(w, -window, window)
-    )
-    return F.when(n <= window, text).otherwise(F.array_join(part, " "))
+
+    def cut(w: Column) -> Column:
+        n = F.size(w)
+        return (
+            F.when(n <= window, text)
+            .when(n >= skip + window, F.array_join(F.slice(w, skip + 1, window), " "))
+            .otherwise(F.array_join(F.slice(w, -window, window), " "))
+        )
+
+    return let(words(text), cut)
 
 
 def html_steps() -> list[tuple[str, str]]:
@@ -97,21 +119,24 @@ def html_steps() -> list[tuple[str, str]]:
 
 def unescape_entities(text: Column) -> Column:
     """Named entities of ``ENTITIES`` and decimal or hexadecimal character references."""
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), 0))
 
     def decoded(ref: Column) -> Column:
-        body = F.substring(ref, 3, 8)
-        body = F.rtrim(body, F.lit(";"))
-        digits = F.when(F.lower(F.substring(body, 1, 1)) == "x", F.conv(F.substring(body, 2, 6), 16, 16))
-        digits = digits.otherwise(F.conv(body, 10, 16))
+        body = F.rtrim(F.substring(ref, 3, 8), F.lit(";"))
+        hexadecimal = F.lower(F.substring(body, 1, 1)) == "x"
+        digits = F.when(hexadecimal, F.substring(body, 2, 6)).otherwise(F.conv(body, 10, 16))
+        return let(digits, character)
+
+    def character(digits: Column) -> Column:
         code = F.conv(digits, 16, 10).cast("bigint")
         legal = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-        char = F.decode(F.unhex(F.lpad(F.when(legal, digits), 8, "0")), "UTF-32")
-        return F.coalesce(char, F.lit("�"))
+        bytes_ = F.unhex(F.lpad(F.when(legal, digits), 8, "0"))
+        return F.coalesce(F.decode(bytes_, "UTF-32"), F.lit("\ufffd"))
+
+    def references(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(r"(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), 0)
+        return F.aggregate(F.array_distinct(found), t, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
 
-    text = F.when(
-        F.size(codes) > 0, F.aggregate(codes, text, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
-    ).otherwise(text)
+    text = let(text, references)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

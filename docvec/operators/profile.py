@@ -61,7 +61,7 @@ def column_profile(
                 F.count_if(c.isNull()).alias("n_null"),
                 distinct.alias("n_distinct"),
                 F.avg(F.length(c)).alias("mean_length"),
-                F.avg(F.size(tx.words(c))).alias("mean_words"),
+                F.avg(tx.word_count(c)).alias("mean_words"),
             ).alias(f"_{i}")
         )
     one = df.agg(*measures)

@@ -7,9 +7,11 @@ does not depend on how the rows were laid out in partitions or batches.
 import heapq
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -121,6 +123,15 @@ class _Best:
         )
 
 
+def whole(table: pa.RecordBatch | pa.Table) -> pa.RecordBatch | pa.Table:
+    """Rows that have all their values.
+
+    Nulls are dropped here and not by a filter of the plan, which would move below the
+    projection that embeds and run the embedder twice.
+    """
+    return table.filter(reduce(pc.and_, [pc.is_valid(c) for c in table.columns]))
+
+
 def _id_array(ids: pa.Array) -> np.ndarray:
     return np.asarray(ids.to_pylist(), dtype=object)
 
@@ -139,18 +150,15 @@ def search_batch(
     of queries is copied to every block of vectors, and only the best of a pair of blocks
     leave it. No pair of a query and a vector ever becomes a row.
     """
-    rows = flt.apply(vectors, filters).filter(F.col("vector").isNotNull() & F.col("id").isNotNull())
-    rows = rows.select(F.col("id").cast("string").alias("id"), "vector")
-    asked = queries.filter(F.col("vector").isNotNull()).select(
-        F.col("query_id").cast("string").alias("query_id"), "vector"
-    )
+    rows = flt.apply(vectors, filters).select(F.col("id").cast("string").alias("id"), "vector")
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "vector")
     found = _to_all(rows, asked, k) if fits(asked, max_broadcast) else _by_blocks(rows, asked, k)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def _to_all(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    table = asked.toArrow()
+    table = whole(asked.toArrow())
     if table.num_rows == 0:
         return rows.sparkSession.createDataFrame([], BATCH_SCHEMA)
     names = table["query_id"].to_pylist()
@@ -159,7 +167,7 @@ def _to_all(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = _Best(names, shared.value, k)
-        for batch in batches:
+        for batch in map(whole, batches):
             kept.add(_id_array(batch["id"]), matrix(batch["vector"], shared.value.shape[1]))
         yield kept.table()
 
@@ -180,6 +188,7 @@ def _by_blocks(
     right = spread(asked, "query_id", "_q", n_q, "_v", n_v).groupBy("_v", "_q")
 
     def best(block: pa.Table, of: pa.Table) -> pa.Table:
+        block, of = whole(block), whole(of)
         if block.num_rows and of.num_rows:
             vectors = of["vector"].combine_chunks()
             dim = len(vectors[0])

@@ -13,10 +13,13 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docvec.sources.documents import FILE_KEY
 
-LOG = "version bigint, kind string, batch_id string, stored bigint"
+LOG = (
+    T.StructType().add("version", "long").add("kind", "string").add("batch_id", "string").add("stored", "long")
+)
 ROW = "id string, vector array<float>, metadata map<string,string>, file_id string"
 
 
@@ -105,8 +108,10 @@ def _commit(rows: DataFrame, path: str, kind: str, batch_id: str | None, log: li
     version = log[-1]["version"] + 1 if log else 1
     rows.write.mode("overwrite").parquet(_data(path, version))
     stored = spark.read.parquet(_data(path, version)).agg(F.sum("writes")).first()[0] or 0
-    entry = spark.createDataFrame([(version, kind, batch_id, stored)], LOG)
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/log")
+    entry = {"version": version, "kind": kind, "batch_id": batch_id, "stored": stored}
+    types = {f.name: f.dataType for f in LOG.fields}
+    row = spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(types[k]).alias(k) for k, v in entry.items()])
+    row.write.mode("append").parquet(f"{path}/log")
     return stored
 
 

@@ -219,8 +219,8 @@ PROFILE = " UNION ALL ".join(
 
 
 def documents_profile(spark, sf):
-    rows = table(spark, sf, "documents")
-    found = profile.column_profile(rows, ["doc_id", "text", "lang", "source"], exact=True)
+    rows = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    found = profile.column_profile(rows, exact=True)
     return found.withColumns({c: F.round(c, 6) for c in ("mean_length", "mean_words")})
 
 

@@ -12,7 +12,7 @@ SIZE, OVERLAP = 500, 50
 
 
 def docs(spark, sf):
-    return documents.string_docs(table(spark, sf, "documents"), "doc_id", "text")
+    return documents.string_docs(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def chunked(spark, sf, chunks):
@@ -169,7 +169,9 @@ def routed_chunks(spark, sf):
             {"chunker_name": F.lit("CharacterChunker"), "chunker_information": F.lit('{"separator": "\\n"}')}
         ),
     ).otherwise(maps.from_columns({"chunker_name": F.lit("markdownchunker")}))
-    rows = documents.string_docs(table(spark, sf, "documents"), "doc_id", "text", maps.merge(asked)).withColumn(
+    rows = documents.string_docs(
+        table(spark, sf, "documents", "doc_id", "text", "lang"), "doc_id", "text", maps.merge(asked)
+    ).withColumn(
         "lang", F.when(F.col("metadata")["chunker_name"] == "CharacterChunker", "en").otherwise("other")
     )
     return chunk.chunk_by_metadata(rows).select(
@@ -196,7 +198,7 @@ def chunk_batches(spark, sf):
                             ELSE array_to_string(ws[len(ws) - 749:len(ws)], ' ') END AS content FROM w"""
 )
 def cut_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.cut_words(F.col("text")).alias("content"))
+    return table(spark, sf, "documents", "doc_id", "text").select("doc_id", tx.cut_words(F.col("text")).alias("content"))
 
 
 # ---------------------------------------------------------------- embedding

@@ -196,7 +196,7 @@ def json_flatten(spark, sf):
 
 def order_json(spark, sf):
     """Each order as a nested JSON object with its lines' keys on the customer's side."""
-    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     nested = F.struct(
         F.col("o_orderkey").alias("id"),
         F.struct(
@@ -262,7 +262,7 @@ def sql_entities(text):
 
 @query(f"SELECT page_id::VARCHAR AS id, {SQUEEZE.format(sql_entities(sql_chain('html', tx.html_steps())))} AS content FROM pages")
 def html_text(spark, sf):
-    rows = table(spark, sf, "pages").select(
+    rows = table(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").cast("string").alias("id"), F.col("html").alias("content"), maps.empty_map().alias("metadata")
     )
     return documents.html_docs(rows).select("id", "content")
@@ -276,7 +276,7 @@ def markdown_text(spark, sf):
     marked = F.regexp_replace("text", r"\. ", ". **so** [on](http://x.org/) `code` ")
     marked = F.regexp_replace(F.concat(F.lit("# "), marked), "\n", "\n- ")
     rows = documents.string_docs(
-        table(spark, sf, "documents").withColumn("text", marked), "doc_id", "text"
+        table(spark, sf, "documents", "doc_id", "text").withColumn("text", marked), "doc_id", "text"
     )
     return documents.markdown_docs(rows).select("id", "content")
 
@@ -292,14 +292,14 @@ def string_docs(spark, sf):
 def mixed_files(spark, sf):
     """Documents, pages and events as files of different types."""
     none = maps.empty_map().alias("metadata")
-    docs = table(spark, sf, "documents").select(
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang").select(
         F.concat(F.lit("d"), "doc_id").alias("id"),
         F.concat(F.lit("d/"), "doc_id").alias("path"),
         F.when(F.col("lang") == "en", "text/plain").when(F.col("lang") == "de", "pdf").otherwise("string").alias("type"),
         none,
         F.when(F.col("lang") == "de", F.replace("text", F.lit("\n"), F.lit("\f"))).otherwise(F.col("text")).alias("content"),
     )
-    pages = table(spark, sf, "pages").select(
+    pages = table(spark, sf, "pages", "page_id", "url", "html").select(
         F.concat(F.lit("p"), "page_id").alias("id"), F.col("url").alias("path"), F.lit("text/html").alias("type"),
         none, F.col("html").alias("content"),
     )

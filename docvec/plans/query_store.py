@@ -210,7 +210,7 @@ SEARCHED = f"""
 @query(SEARCHED)
 def search_documents(spark, sf):
     """The flagship: chunk and embed all documents, embed the query texts, rank chunks per query."""
-    docs = documents.string_docs(table(spark, sf, "documents"), "doc_id", "text")
+    docs = documents.string_docs(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("content"))
     return ranked(ingest.nearest_chunks(docs, asked))
 

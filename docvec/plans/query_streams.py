@@ -44,7 +44,8 @@ def stream_ingest(spark, sf):
     path = cluster.scratch_path(spark, "stream")
 
     def to_vectors(rows):
-        docs = documents.with_file_id(documents.string_docs(rows, "doc_id", "text"), F.col("id"))
+        docs = documents.string_docs(cluster.spread(rows.select("doc_id", "text")), "doc_id", "text")
+        docs = documents.with_file_id(docs, F.col("id"))
         chunks = chunk.explode_chunks(docs, chunk.window_chunks(F.col("content"), 500))
         return chunks.withColumn("vector", embed.hash_embedder(F.col("content")))
 

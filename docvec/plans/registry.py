@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docvec.cluster import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,5 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table; with columns named, only those, spread over all cores for costly work per row."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows.select(*columns)) if columns else rows

@@ -160,32 +160,31 @@ def auto_docs(
             return tx.decode_utf8(content_of(*routes))
         return F.regexp_replace(F.try_validate_utf8(content_of(*routes).cast("string")), r"^\x{FEFF}", "")
 
-    def one(text: Column) -> Column:
-        leaf = F.struct(F.lit("").alias("id"), text.alias("content"), maps.empty_map().alias("metadata"))
-        return F.struct(
-            F.when(text.isNotNull(), F.array(leaf)).alias("docs"),
-            F.when(text.isNull() & F.col("content").isNotNull(), "not valid UTF-8").alias("error"),
-        )
-
+    def leaf(text: Column, metadata: Column) -> Column:
+        return F.struct(F.lit("").alias("id"), text.alias("content"), metadata.alias("metadata"))
+
+    def checked(docs: Column, text: Column) -> Column:
+        bad = text.isNull() & F.col("content").isNotNull()
+        return F.struct(F.when(text.isNotNull(), docs).alias("docs"), F.when(bad, "not valid UTF-8").alias("error"))
+
+    # A column of its own: expressions below use the text more than once.
+    routed = routed.withColumn(
+        "_text",
+        F.when(F.col("_route") == "markdown", tx.markdown_to_text(text_of("markdown")))
+        .when(F.col("_route") == "html", tx.html_to_text(text_of("html")))
+        .otherwise(text_of("text", "pages", GENERIC)),
+    )
+    text = F.col("_text")
     if pages is not None:
         paged = page_leaves(content_of("pages"), pages, strict)
     else:
-        parts = F.transform(
-            F.split(text_of("pages"), "\f"),
-            lambda p, i: F.struct(
-                F.lit("").alias("id"), p.alias("content"), maps.from_columns({"page": i}).alias("metadata")
-            ),
-        )
-        paged = F.struct(
-            parts.alias("docs"), F.when(parts.isNull() & F.col("content").isNotNull(), "not valid UTF-8").alias("error")
-        )
+        numbered = lambda p, i: leaf(p, maps.from_columns({"page": i}))
+        paged = checked(F.transform(F.split(text, "\f"), numbered), text)
     loaded = (
         F.when(F.col("_route") == "csv", csv_leaves(text_of("csv"), strict=strict))
         .when(F.col("_route") == "json", jsondocs.json_leaves(text_of("json"), strict=strict))
         .when(F.col("_route") == "pages", paged)
-        .when(F.col("_route") == "markdown", one(tx.markdown_to_text(text_of("markdown"))))
-        .when(F.col("_route") == "html", one(tx.html_to_text(text_of("html"))))
-        .otherwise(one(text_of("text", GENERIC)))
+        .otherwise(checked(F.array(leaf(text, maps.empty_map())), text))
     )
     rows = routed.select(
         F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded")
