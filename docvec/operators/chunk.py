@@ -198,7 +198,8 @@ def recursive_chunks(
     if not separators:
         raise ValueError("separators must not be empty")
     ends_in_characters = separators[-1] == "" and "" not in separators[:-1]
-    if overlap == 0 and ends_in_characters and not any(map(_self_overlapping, separators)):
+    # Single characters are longer than "shorter than 1" and would not be trimmed.
+    if size > 1 and overlap == 0 and ends_in_characters and not any(map(_self_overlapping, separators)):
         return _clean(_native_recursive(text, separators, size))
     return _arrow(lambda t: split_recursively(t, separators, size, overlap), text)
 

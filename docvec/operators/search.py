@@ -151,7 +151,8 @@ def search_batch(
     leave it. No pair of a query and a vector ever becomes a row.
     """
     rows = flt.apply(vectors, filters).select(F.col("id").cast("string").alias("id"), "vector")
-    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "vector")
+    # Renamed, because queries may come from the very frame they are compared with.
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), F.col("vector").alias("query"))
     found = _to_all(rows, asked, k) if fits(asked, max_broadcast) else _by_blocks(rows, asked, k)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -162,7 +163,7 @@ def _to_all(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     if table.num_rows == 0:
         return rows.sparkSession.createDataFrame([], BATCH_SCHEMA)
     names = table["query_id"].to_pylist()
-    vectors = table["vector"].combine_chunks()
+    vectors = table["query"].combine_chunks()
     shared = rows.sparkSession.sparkContext.broadcast(matrix(vectors, len(vectors[0])))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +191,7 @@ def _by_blocks(
     def best(block: pa.Table, of: pa.Table) -> pa.Table:
         block, of = whole(block), whole(of)
         if block.num_rows and of.num_rows:
-            vectors = of["vector"].combine_chunks()
+            vectors = of["query"].combine_chunks()
             dim = len(vectors[0])
             kept = _Best(of["query_id"].to_pylist(), matrix(vectors, dim), k)
             kept.add(_id_array(block["id"]), matrix(block["vector"].combine_chunks(), dim))

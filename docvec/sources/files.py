@@ -70,6 +70,7 @@ def list_full(
     """Every file below ``root`` whose key starts with ``prefix``.
 
     The folders of the prefix become part of the load path, so other folders are not listed.
+    Spark's file index leaves out files without any bytes, which have nothing to load.
     """
     folder = (prefix or "").rpartition("/")[0]
     files = _binary(spark, f"{root.rstrip('/')}/{folder}" if folder else root, glob)

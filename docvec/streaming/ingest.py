@@ -1,7 +1,9 @@
 """Incremental ingest: a stream of files or rows into the vector table.
 
 The checkpoint of the stream replaces a remembered time of the last run: it knows which
-files were read, so a late file with an old time stamp is still picked up.
+files were read, so a late file with an old time stamp is still picked up, as long as it is
+not older than ``MAX_AGE`` against the newest one. Older files are skipped and forgotten,
+which bounds what the stream has to remember.
 """
 
 from collections.abc import Callable
@@ -13,15 +15,22 @@ from pyspark.sql.streaming import StreamingQuery
 from docvec.operators import store
 from docvec.sources import files
 
+MAX_AGE = "365d"
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def file_stream(
-    spark: SparkSession, root: str, source_name: str = "default", glob: str | None = None,
+    spark: SparkSession,
+    root: str,
+    source_name: str = "default",
+    glob: str | None = None,
     max_files: int | None = None,
+    max_age: str = MAX_AGE,
 ) -> DataFrame:
     """New files below ``root`` with their content, in the shape of ``files.read_content``."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY).option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(BINARY).options(
+        recursiveFileLookup="true", maxFileAge=max_age
+    )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files:
