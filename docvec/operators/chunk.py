@@ -230,18 +230,25 @@ def custom_chunks(text: Column, split: Callable[[str], list[str]]) -> Column:
     return _arrow(lambda t: list(split(t)), text)
 
 
-def explode_chunks(docs: DataFrame, chunks: Column) -> DataFrame:
-    """One row per chunk: id ``<document id>_<i>``, the document's metadata and other columns."""
+def explode_chunks(docs: DataFrame, chunks: Column, keep: Column | None = None) -> DataFrame:
+    """One row per chunk: id ``<document id>_<i>``, the document's metadata and other columns.
+
+    A document without chunks has no row, unless ``keep`` holds; then its content is null.
+    """
     taken = {"content", "doc_id", "chunk_index"}
     kept = [c for c in docs.columns if c not in taken and c != "id"]
-    return docs.select(
-        F.col("id").alias("doc_id"), *kept, F.posexplode(chunks).alias("chunk_index", "content")
-    ).select(
+    explode = F.posexplode if keep is None else F.posexplode_outer
+    rows = docs.select(F.col("id").alias("doc_id"), *kept, explode(chunks).alias("chunk_index", "content"))
+    if keep is not None:
+        rows = rows.filter(F.col("content").isNotNull() | keep)
+    return rows.select(
         F.concat_ws("_", "doc_id", "chunk_index").alias("id"), "content", *kept, "doc_id", "chunk_index"
     )
 
 
-def chunk_by_metadata(docs: DataFrame, custom: Callable[[str], list[str]] | None = None) -> DataFrame:
+def chunk_by_metadata(
+    docs: DataFrame, custom: Callable[[str], list[str]] | None = None, keep: Column | None = None
+) -> DataFrame:
     """Chunk each document as its own metadata says.
 
     ``metadata['chunker_name']`` picks the chunker and ``metadata['chunker_information']``, a
@@ -271,4 +278,4 @@ def chunk_by_metadata(docs: DataFrame, custom: Callable[[str], list[str]] | None
     nulled = F.map_contains_key(meta, "chunker_information") & meta["chunker_information"].isNull()
     name = F.when(~nulled, F.lower(meta["chunker_name"]))
     chunks = texts_to_lists(split)(F.col("content"), name, *settings)
-    return explode_chunks(given, chunks).drop("_info")
+    return explode_chunks(given, chunks, keep).drop("_info")

@@ -87,15 +87,29 @@ def info(rows: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- table
 
 
-def committed(spark: SparkSession, path: str) -> list:
-    """Committed versions, oldest first; one small row per write."""
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        log = spark.read.schema(LOG).parquet(f"{path}/log")
+        return spark.read.schema(LOG).parquet(f"{path}/log")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
-    return log.orderBy("version").collect()
+
+
+def committed(spark: SparkSession, path: str) -> list:
+    """Versions from the last folded one on, oldest first; ``compact`` keeps them few."""
+    log = _log(spark, path)
+    if log is None:
+        return []
+    folded = log.filter(F.col("kind") == "base").agg(F.max("version")).first()[0] or 0
+    return log.filter(F.col("version") >= folded).orderBy("version").collect()
+
+
+def stored_before(spark: SparkSession, path: str, batch_id: str) -> int | None:
+    """Rows an earlier call stored under this batch id; null if there was none."""
+    log = _log(spark, path)
+    row = None if log is None else log.filter(F.col("batch_id") == batch_id).first()
+    return None if row is None else row["stored"]
 
 
 def _data(path: str, version: int) -> str:
@@ -116,17 +130,16 @@ def _commit(rows: DataFrame, path: str, kind: str, batch_id: str | None, log: li
 
 
 def _fold(spark: SparkSession, path: str, log: list) -> DataFrame:
-    """Rows that hold after all versions of ``log``."""
+    """Rows that hold after all versions of ``log``; the first of them has each id once."""
     if not log:
         return spark.createDataFrame([], ROW)
-    last_base = max((i for i, v in enumerate(log) if v["kind"] == "base"), default=-1)
     schema = f"{ROW}, deleted boolean, writes bigint"
 
     def read(v) -> DataFrame:
         return spark.read.schema(schema).parquet(_data(path, v["version"]))
 
-    first, newer = max(last_base, 0), log[max(last_base, 0) + 1 :]
-    oldest = read(log[first]).filter(~F.col("deleted")).drop("deleted", "writes")
+    first, *newer = log
+    oldest = read(first).filter(~F.col("deleted")).drop("deleted", "writes")
     if not newer:
         return oldest
     parts = [read(v).drop("writes").withColumn("_version", F.lit(v["version"])) for v in newer]
@@ -149,18 +162,17 @@ def store(vectors: DataFrame, path: str, order: Column | str | None = None, batc
     before is not stored again.
     """
     spark = vectors.sparkSession
-    log = committed(spark, path)
     batch = None if batch_id is None else str(batch_id)
-    done = [v for v in log if batch is not None and v["batch_id"] == batch]
-    if done:
-        return done[0]["stored"]
+    done = None if batch is None else stored_before(spark, path, batch)
+    if done is not None:
+        return done
     if order is None:
         once = latest(vector_rows(vectors))
     else:
         by = F.col(order) if isinstance(order, str) else order
         once = latest(vector_rows(vectors, by.alias("_order")), "_order").drop("_order")
     changes = once.withColumn("deleted", F.lit(False))
-    return _commit(changes, path, "change", batch, log)
+    return _commit(changes, path, "change", batch, committed(spark, path))
 
 
 def delete_file(spark: SparkSession, path: str, file_id: str) -> bool:

@@ -133,19 +133,19 @@ def latest_status(
     )
 
 
-def file_states(files: DataFrame, written: DataFrame) -> DataFrame:
-    """State of each listed file after a run, from ``written(file_id, chunks, error)``.
+def file_states(files: DataFrame, report: DataFrame, *more: str) -> DataFrame:
+    """Add the state of each listed file after a run to its row of ``file_report``.
 
     An error means failed, stored chunks mean completed; a file that gave no chunk is still
     processing.
     """
     state = (
-        F.when(F.col("error").isNotNull(), "failed")
-        .when(F.col("chunks") > 0, "completed")
-        .otherwise("processing")
+        F.when(F.col("error").isNotNull(), STATES[2])
+        .when(F.col("chunks") > 0, STATES[1])
+        .otherwise(STATES[0])
     )
-    rows = files.select(F.col("id").alias("file_id")).join(written, "file_id", "left")
-    return rows.select("file_id", state.alias("status"))
+    rows = files.select(F.col("id").alias("file_id"), *more).join(report, "file_id", "left")
+    return rows.withColumn("status", state)
 
 
 def quota_ok() -> Column:

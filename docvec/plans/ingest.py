@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docvec.cluster import written
 from docvec.operators import chunk, embed, search, store, usage
 from docvec.sources import documents, files
 
@@ -50,14 +51,17 @@ def loaded(found: DataFrame) -> DataFrame:
     return documents.auto_docs(found, by=route, strict=False)
 
 
-def chunks(found: DataFrame) -> DataFrame:
-    """Chunks of all files that can be read."""
-    return chunk.chunk_by_metadata(loaded(found).filter(F.col("error").isNull()).drop("error"))
+def vectors(found: DataFrame, embedder: Callable[[Column], Column] = embed.hash_embedder) -> DataFrame:
+    """Embedded chunks of all files, in one pass without a shuffle.
 
+    A file that cannot be read has one row with its error and no content.
+    """
+    chunks = chunk.chunk_by_metadata(loaded(found), keep=F.col("error").isNotNull())
+    return embed.embed(chunks, embedder(F.col("content")))
 
-def vectors(found: DataFrame, embedder: Callable[[Column], Column] = embed.hash_embedder) -> DataFrame:
-    """Embedded chunks, in one pass without a shuffle."""
-    return embed.embed(chunks(found), embedder(F.col("content")))
+
+def to_store(embedded: DataFrame) -> DataFrame:
+    return embedded.filter(F.col("error").isNull())
 
 
 def run(
@@ -67,26 +71,27 @@ def run(
     last_run: datetime | None = None,
     batch_id: object = None,
 ) -> DataFrame:
-    """Ingest the sources' files and report each file's state, chunks and error."""
+    """Ingest the sources' files and report each file's state, chunks and error.
+
+    Embedded chunks are written once and then stored and counted from there: a model may be
+    slow or paid for, and must not be asked again when a later stage is repeated.
+    """
     found = listed(spark, config, extract_type, last_run)
-    store.store(vectors(found, config.embedder), config.sink, batch_id=batch_id)
-    return report(spark, found, config.sink)
+    embedded = written(vectors(found, config.embedder).drop("content"), "embedded")
+    store.store(to_store(embedded), config.sink, batch_id=batch_id)
+    return report(found, embedded)
 
 
-def report(spark: SparkSession, found: DataFrame, sink: str) -> DataFrame:
+def report(found: DataFrame, embedded: DataFrame) -> DataFrame:
     """State of each file: failed with its error, completed with its vectors, or still processing."""
-    stored = store.read_table(spark, sink).groupBy("file_id").agg(F.count("*").alias("vectors"))
-    failed = loaded(found).filter(F.col("error").isNotNull()).select("file_id", "error")
-    listed_files = found.select(F.col("id").alias("file_id"), "source_name")
-    rows = listed_files.join(failed, "file_id", "left").join(stored, "file_id", "left")
-    state = (
-        F.when(F.col("error").isNotNull(), usage.STATES[2])
-        .when(F.col("vectors") > 0, usage.STATES[1])
-        .otherwise(usage.STATES[0])
-    )
-    return rows.select(
-        "file_id", "source_name", state.alias("status"), F.coalesce("vectors", F.lit(0)).alias("vectors"), "error"
+    per_chunk = embedded.select(
+        "file_id",
+        F.when(F.col("error").isNull(), F.col("id")).alias("chunk_id"),
+        F.col("error").isNull().alias("written"),
+        "error",
     )
+    states = usage.file_states(found, usage.file_report(per_chunk), "source_name")
+    return states.select("file_id", "source_name", "status", F.coalesce("vectors", F.lit(0)).alias("vectors"), "error")
 
 
 def query_vector(spark: SparkSession, query: str, embedder: Callable[[Column], Column]) -> list[float]:

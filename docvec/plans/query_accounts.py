@@ -146,7 +146,7 @@ def file_status(spark, sf):
 def file_states(spark, sf):
     listed = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
     report = usage.file_report(results(spark, sf)).withColumn("file_id", F.col("file_id").cast("string"))
-    return usage.file_states(listed, report)
+    return usage.file_states(listed, report).select("file_id", "status")
 
 
 def quotas(spark, sf):

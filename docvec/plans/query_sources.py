@@ -12,53 +12,59 @@ from docvec.sources import documents, files, jsondocs, tables
 
 
 
-def nation_files(spark, sf):
-    """Customer names as one text file per nation, in key order, below the shared folder."""
-    path = cluster.scratch_path(spark, "nations")
-    rows = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name")
-    (
-        rows.repartition("c_nationkey")
-        .sortWithinPartitions("c_nationkey", "c_custkey")
-        .select("c_nationkey", "c_name")
-        .write.partitionBy("c_nationkey")
-        .text(path)
-    )
+BUCKET = 500
+
+
+def customers_by_bucket(spark, sf, *columns):
+    """Customers in key order, those of one bucket of keys in one partition."""
+    rows = table(spark, sf, "customer").select("c_custkey", *columns)
+    rows = rows.withColumn("bucket", F.floor(F.col("c_custkey") / BUCKET))
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "c_custkey")
+
+
+def name_files(spark, sf):
+    """Customer names as text files of one bucket each, below the shared folder."""
+    path = cluster.scratch_path(spark, "names")
+    customers_by_bucket(spark, sf, "c_name").select("bucket", "c_name").write.partitionBy("bucket").text(path)
     return path
 
 
+FOLDER = "^bucket=([0-9]+)/"
+
+
 @query(
-    """SELECT c_nationkey::VARCHAR AS folder, 1::BIGINT AS n_files,
-              SUM(length(c_name) + 1)::BIGINT AS n_bytes, 'text/plain' AS type
-       FROM customer GROUP BY c_nationkey"""
+    f"""SELECT (c_custkey // {BUCKET})::VARCHAR AS folder, 1::BIGINT AS n_files,
+               SUM(length(c_name) + 1)::BIGINT AS n_bytes, 'text/plain' AS type
+        FROM customer GROUP BY c_custkey // {BUCKET}"""
 )
 def list_full(spark, sf):
-    found = files.list_full(spark, nation_files(spark, sf), glob="part-*")
-    folder = F.regexp_extract("id", "^c_nationkey=([0-9]+)/", 1)
+    found = files.list_full(spark, name_files(spark, sf), glob="part-*")
+    folder = F.regexp_extract("id", FOLDER, 1)
     return found.groupBy(folder.alias("folder")).agg(
         F.count("*").alias("n_files"), F.sum("size").alias("n_bytes"), F.max("type").alias("type")
     )
 
 
 @query(
-    """SELECT c_nationkey::VARCHAR AS folder, SUM(length(c_name) + 1)::BIGINT AS file_size,
-              md5(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS file_checksum,
-              'text/plain' AS file_type
-       FROM customer GROUP BY c_nationkey"""
+    f"""SELECT (c_custkey // {BUCKET})::VARCHAR AS folder, SUM(length(c_name) + 1)::BIGINT AS file_size,
+               md5(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS file_checksum,
+               'text/plain' AS file_type
+        FROM customer GROUP BY c_custkey // {BUCKET}"""
 )
 def file_attributes(spark, sf):
-    found = files.file_attributes(spark, nation_files(spark, sf))
-    folder = F.regexp_extract("file_name", "^c_nationkey=([0-9]+)/", 1)
-    return found.select(folder.alias("folder"), "file_size", "file_checksum", "file_type").filter("folder <> ''")
+    found = files.file_attributes(spark, name_files(spark, sf))
+    folder = F.regexp_extract("file_name", FOLDER, 1)
+    return found.select(folder.alias("folder"), "file_size", "file_checksum", "file_type")
 
 
 @query(
-    """SELECT c_nationkey::VARCHAR AS folder,
-              string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS content, 'customers' AS source_name
-       FROM customer GROUP BY c_nationkey"""
+    f"""SELECT (c_custkey // {BUCKET})::VARCHAR AS folder,
+               string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS content, 'customers' AS source_name
+        FROM customer GROUP BY c_custkey // {BUCKET}"""
 )
 def text_files(spark, sf):
-    found = files.read_content(spark, nation_files(spark, sf), "customers", "part-*")
-    folder = F.regexp_extract("id", "^c_nationkey=([0-9]+)/", 1)
+    found = files.read_content(spark, name_files(spark, sf), "customers", "part-*")
+    folder = F.regexp_extract("id", FOLDER, 1)
     return found.select(folder.alias("folder"), tx.decode_utf8(F.col("content")).alias("content"), "source_name")
 
 
@@ -158,27 +164,23 @@ def csv_selector(spark, sf):
 
 
 @query(
-    """SELECT c_mktsegment AS segment, c_custkey || '.c_custkey_' || row AS id, row,
-              'c_custkey: ' || c_custkey || chr(10) || 'c_name: ' || c_name || chr(10)
-              || 'c_nationkey: ' || c_nationkey AS content
-       FROM (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS row
-             FROM customer)"""
+    f"""SELECT bucket, c_custkey || '.c_custkey_' || row AS id, row,
+               'c_custkey: ' || c_custkey || chr(10) || 'c_name: ' || c_name || chr(10)
+               || 'c_mktsegment: ' || c_mktsegment AS content
+        FROM (SELECT *, c_custkey // {BUCKET} AS bucket,
+                     row_number() OVER (PARTITION BY c_custkey // {BUCKET} ORDER BY c_custkey) - 1 AS row
+              FROM customer)"""
 )
 def csv_files(spark, sf):
-    path = cluster.scratch_path(spark, "segments")
-    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    (
-        rows.repartition("c_mktsegment")
-        .sortWithinPartitions("c_mktsegment", "c_custkey")
-        .write.partitionBy("c_mktsegment")
-        .csv(path, header=True, sep=";", quote="'")
-    )
+    path = cluster.scratch_path(spark, "customers")
+    rows = customers_by_bucket(spark, sf, "c_name", "c_mktsegment")
+    rows.write.partitionBy("bucket").csv(path, header=True, sep=";", quote="'")
     docs = tables.csv_docs(
         spark, path, id_key="c_custkey", unique_ids=True, sep=";", quote="'", recursiveFileLookup="true"
     )
     meta = F.col("metadata")
     return docs.select(
-        F.regexp_extract(meta["source"], "c_mktsegment=([^/]+)/", 1).alias("segment"),
+        F.regexp_extract(meta["source"], "bucket=([0-9]+)/", 1).cast("bigint").alias("bucket"),
         "id",
         meta["row"].cast("bigint").alias("row"),
         "content",
@@ -303,7 +305,7 @@ def mixed_files(spark, sf):
         F.concat(F.lit("p"), "page_id").alias("id"), F.col("url").alias("path"), F.lit("text/html").alias("type"),
         none, F.col("html").alias("content"),
     )
-    events = table(spark, sf, "events").select(
+    events = table(spark, sf, "events", "event_id", "props", "event_type", "user_id").select(
         F.concat(F.lit("e"), "event_id").alias("id"),
         F.concat(F.lit("e/"), "event_id").alias("path"),
         F.when(F.col("event_id") % 2 == 0, "application/json").otherwise("text/csv").alias("type"),

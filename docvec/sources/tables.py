@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docvec.cluster import fits, written
 from docvec.functions import maps
 from docvec.functions import text as tx
 
@@ -75,12 +76,18 @@ def read_rows(spark: SparkSession, paths: str | Sequence[str], encoding: str = E
     return reader.options(encoding=encoding, **options).csv(paths)
 
 
-def with_row_numbers(rows: DataFrame) -> DataFrame:
+# Blocks of files up to this count are sent to all tasks; more are joined by a shuffle.
+BROADCAST_BLOCKS = 2_000_000
+
+
+def with_row_numbers(rows: DataFrame, max_broadcast: int = BROADCAST_BLOCKS) -> DataFrame:
     """Add ``_docvec_path`` and ``_docvec_row``, the 0-based position in the row's file.
 
     A scan keeps the rows of one file block together and in order, so a row's position is
-    its distance from the first row of its block plus the rows of the earlier blocks. Only
-    one small row per block is sorted; a file is never gathered into one task.
+    its distance from the first row of its block plus the rows of the earlier blocks. A
+    first pass counts the rows per block, and only that table of one row per block is
+    sorted; a file is never gathered into one task. Should the second pass cut the files
+    differently, some row lies outside its block and the job fails.
     """
     at = rows.select(
         "*",
@@ -88,16 +95,18 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_docvec_block"),
     ).withColumn("_docvec_at", F.monotonically_increasing_id())
     block = ["_docvec_path", "_docvec_block"]
+    sizes = at.groupBy(*block).agg(F.min("_docvec_at").alias("_docvec_first"), F.count("*").alias("_docvec_n"))
     earlier = W.partitionBy("_docvec_path").orderBy("_docvec_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = (
-        at.groupBy(*block)
-        .agg(F.min("_docvec_at").alias("_docvec_first"), F.count("*").alias("_docvec_n"))
-        .select(
-            *block, "_docvec_first", F.coalesce(F.sum("_docvec_n").over(earlier), F.lit(0)).alias("_docvec_before")
-        )
+    before = F.coalesce(F.sum("_docvec_n").over(earlier), F.lit(0)).alias("_docvec_before")
+    blocks = written(sizes.select("*", before), "blocks")
+    if fits(blocks, max_broadcast):
+        blocks = F.broadcast(blocks)
+    distance = F.col("_docvec_at") - F.col("_docvec_first")
+    inside = (distance >= 0) & (distance < F.col("_docvec_n"))
+    number = F.when(inside, distance + F.col("_docvec_before")).otherwise(
+        F.raise_error(F.lit("files were cut into other blocks while they were read; read them again"))
     )
-    number = F.col("_docvec_at") - F.col("_docvec_first") + F.col("_docvec_before")
-    return at.join(blocks, block).select(*rows.columns, "_docvec_path", number.alias("_docvec_row"))
+    return at.join(blocks, block, "left").select(*rows.columns, "_docvec_path", number.alias("_docvec_row"))
 
 
 def csv_docs(

@@ -91,7 +91,7 @@ def test_status_and_reports(spark):
     assert {r["file_id"]: r["status"] for r in usage.latest_status(log).collect()} == {"a": "completed", "b": "processing"}
     files = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     written = spark.createDataFrame([("a", 2, None), ("b", 0, "bad")], "file_id string, chunks int, error string")
-    assert {r[0]: r[1] for r in usage.file_states(files, written).collect()} == {"a": "completed", "b": "failed", "c": "processing"}
+    assert {r["file_id"]: r["status"] for r in usage.file_states(files, written).collect()} == {"a": "completed", "b": "failed", "c": "processing"}
 
 
 def test_quota(spark):

@@ -57,7 +57,7 @@ def test_delta_and_earlier_is_full(spark, config):
 
 
 def to_vectors(found):
-    return ingest.vectors(found)
+    return ingest.to_store(ingest.vectors(found))
 
 
 def test_stream_equals_batch_and_takes_new_files(spark, config, tmp_path):
@@ -69,7 +69,7 @@ def test_stream_equals_batch_and_takes_new_files(spark, config, tmp_path):
         streams.ingest(rows, to_vectors, table, state).awaitTermination()
         return {r["id"] for r in store.read_table(spark, table).select("id").collect()}
 
-    want = {r["id"] for r in ingest.vectors(ingest.listed(spark, config)).select("id").collect()}
+    want = {r["id"] for r in to_vectors(ingest.listed(spark, config)).select("id").collect()}
     assert run() == want and run() == want
     with open(f"{root}/late.txt", "w") as f:
         f.write("a late file")
