@@ -96,6 +96,55 @@ RECURSIVE = (
 )
 
 
+# Pieces with their border positions; each round finds one chunk's first and last piece. A
+# chunk reaches as far as it fits, and the following one starts as far back as the overlap
+# and its first new piece allow.
+OVERLAPPED = """
+       sized AS (
+         SELECT {key}, piece, i, SUM(length(piece) + {gap}) OVER (PARTITION BY {key} ORDER BY i) AS ends FROM pieces),
+       lists AS (
+         SELECT {key}, list(piece ORDER BY i) AS ps, list_prepend(0, list(ends::BIGINT ORDER BY i)) AS borders, count(*) AS n
+         FROM sized GROUP BY {key}),
+       w AS (
+         SELECT {key}, ps, borders, n, 0 AS c, 0 AS s,
+                least(n, greatest(1, len(list_filter(borders, lambda x: x <= 500 + {gap})) - 1)) AS e FROM lists
+         UNION ALL
+         SELECT {key}, ps, borders, n, c + 1, s,
+                least(n, greatest(e + 1, len(list_filter(borders, lambda x: x <= borders[s + 1] + 500 + {gap})) - 1))
+         FROM (SELECT {key}, ps, borders, n, c, e, least(e, greatest(s, len(list_filter(borders, lambda x: x <
+                 greatest(borders[e + 1] - {gap} - 50, borders[e + 1] + length(ps[e + 1]) - 500))))) AS s FROM w WHERE e < n)),
+       done AS (SELECT {key}, c, """ + STRIP.format("array_to_string(ps[s + 1:e], '{join}')") + " AS content FROM w)"
+
+WORDS_OVERLAPPED = (
+    """WITH RECURSIVE pieces AS (
+         SELECT doc_id, unnest(ps) AS piece, unnest(range(1, len(ps) + 1)) AS i
+         FROM (SELECT doc_id, list_filter(string_split(text, ' '), lambda x: x <> '') AS ps FROM documents)),"""
+    + OVERLAPPED.replace("{key}", "doc_id").replace("{gap}", "1").replace("{join}", " ")
+    + NUMBERED.format(order="c", source="done")
+)
+
+# Groups of pieces as in RECURSIVE: runs of short lines, runs of short words of a long line,
+# and the characters of a long word.
+RECURSIVE_OVERLAPPED = (
+    RECURSIVE[: RECURSIVE.index("groups AS (")]
+    + r"""words AS (
+         SELECT doc_id, n, m, word, length(word) >= 500 AS big,
+                SUM(CASE WHEN length(word) >= 500 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, n ORDER BY m) AS run
+         FROM (SELECT doc_id, n, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS m
+               FROM (SELECT doc_id, n, regexp_extract_all(line, ' [^ ]*|[^ ]+') AS ws FROM marked WHERE big))),
+       pieces AS (
+         SELECT doc_id, MIN(n) OVER (PARTITION BY doc_id, run) AS n, 0 AS m, n AS i, line AS piece FROM marked WHERE NOT big
+         UNION ALL
+         SELECT doc_id, n, MIN(m) OVER (PARTITION BY doc_id, n, run), m, word FROM words WHERE NOT big
+         UNION ALL
+         SELECT doc_id, n, m, unnest(range(1, length(word) + 1)), unnest(string_split(word, '')) FROM words WHERE big),"""
+    + OVERLAPPED.replace("{key}", "doc_id, n, m").replace("{gap}", "0").replace("{join}", "")
+    .replace("ps, borders, n,", "ps, borders, k,").replace("count(*) AS n", "count(*) AS k")
+    .replace("least(n,", "least(k,").replace("WHERE e < n)", "WHERE e < k)")
+    + NUMBERED.format(order="n, m, c", source="done")
+)
+
+
 @query(WINDOWS.format(size=SIZE, step=SIZE - OVERLAP))
 def window_chunks(spark, sf):
     return chunked(spark, sf, chunk.window_chunks(F.col("content"), SIZE, OVERLAP))
@@ -133,12 +182,12 @@ def recursive_chunks_at_lines(spark, sf):
     return chunked(spark, sf, chunk.recursive_chunks(F.col("content"), separators=("\n", " ", "")))
 
 
-@query()
+@query(RECURSIVE_OVERLAPPED)
 def recursive_chunks_overlap(spark, sf):
     return chunked(spark, sf, chunk.recursive_chunks(F.col("content"), SIZE, OVERLAP))
 
 
-@query()
+@query(WORDS_OVERLAPPED)
 def char_chunks_overlap(spark, sf):
     return chunked(spark, sf, chunk.character_chunks(F.col("content"), SIZE, OVERLAP, separator=" "))
 
