@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docvec.functions.numbers import whole_quotient
 from docvec.operators import usage
 
 Model = Callable[[list[str]], Sequence[Sequence[float]]]
@@ -34,9 +35,13 @@ TOKENS_KEPT = 200_000
 
 
 def models(spark: SparkSession) -> DataFrame:
-    """The known models; four rows, so joins with it need no shuffle."""
-    ddl = "model string, default_dims int, override boolean, allowed array<int>, price double"
-    return spark.createDataFrame([tuple(m) for m in MODELS], ddl)
+    """The known models as literals, so that Spark sees how small they are when it joins them."""
+    names = ("model", "default_dims", "override", "allowed", "price")
+    rows = [
+        F.struct(*[(F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)).alias(n) for n, v in zip(names, m)])
+        for m in MODELS
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def hash_embedder(text: Column, dim: int = HASH_DIM) -> Column:
@@ -127,7 +132,7 @@ def numbered(df: DataFrame, group: Sequence[str], order: str, width: int = 100_0
     table of one row per range, so that a group of any size is spread over many tasks.
     """
     group = list(group)
-    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    ranged = df.withColumn("_range", whole_quotient(F.col(order), width))
     earlier = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     sizes = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
     offsets = sizes.select(
@@ -146,7 +151,8 @@ def numbered(df: DataFrame, group: Sequence[str], order: str, width: int = 100_0
 def batches(df: DataFrame, group: Sequence[str], order: str, n: int) -> DataFrame:
     """Number consecutive batches of ``n`` rows per group from 1; the last may be short."""
     check_batch_size(n)
-    return numbered(df, group, order).withColumn("batch", F.ceil(F.col("row_number") / n).cast("bigint"))
+    batch = whole_quotient(F.col("row_number") - 1, n) + 1
+    return numbered(df, group, order).withColumn("batch", batch)
 
 
 def content_batches(df: DataFrame, group: Sequence[str], order: str, content: str, n: int) -> DataFrame:

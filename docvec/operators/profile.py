@@ -8,27 +8,36 @@ from pyspark.sql import functions as F
 from docvec.functions import text as tx
 
 EXAMPLES = 2
+# The start of a profile text.
+TITLE = "Columns (Properties): "
 
 
 def sample_text(df: DataFrame, order: Sequence[str], columns: Sequence[str] | None = None, n: int = EXAMPLES) -> DataFrame:
     """One row of text: the column names and the first ``n`` rows by ``order``."""
     names = list(columns or df.columns)
     cells = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null"))) for c in names]
-    first = df.orderBy(*order).limit(n).select(F.struct(*order).alias("_at"), F.concat_ws(", ", *cells).alias("_text"))
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("_at", "_text"))), lambda r: r["_text"])
-    head = f"Columns (Properties): {', '.join(names)}\n"
-    return first.agg(rows.alias("_rows")).select(
-        F.concat(
-            F.lit(head),
-            F.when(F.size("_rows") > 0, F.lit("Example Rows:\n")).otherwise(F.lit("")),
-            F.array_join(
-                F.transform(
-                    "_rows", lambda r, i: F.concat(F.lit("Row "), (i + 1).cast("string"), F.lit(": "), r, F.lit("\n"))
-                ),
-                "",
-            ),
-        ).alias("text")
+    head = ", ".join(names)
+    return _as_text(df.orderBy(*order).limit(n), order, F.concat_ws(", ", *cells), F.lit(head), f"{TITLE}{head}\n")
+
+
+def json_sample_text(df: DataFrame, column: str, order: Sequence[str], n: int = EXAMPLES) -> DataFrame:
+    """The same for a JSON column: the first object's keys, and the first ``n`` objects."""
+    entries = F.map_entries(F.from_json(column, "map<string,string>"))
+    cells = F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("null"))))
+    keys = F.transform(entries, lambda e: e["key"])
+    first = df.orderBy(*order).limit(n)
+    return _as_text(first, order, F.array_join(cells, ", "), F.array_join(keys, ", "))
+
+
+def _as_text(first: DataFrame, order: Sequence[str], row: Column, head: Column, empty: str = "") -> DataFrame:
+    """Ordered rows as one text under a head line taken from the first of them, or ``empty``."""
+    rows = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("at"), row.alias("text"), head.alias("head"))))
+    lines = F.transform(
+        "_rows", lambda r, i: F.concat(F.lit("Row "), (i + 1).cast("string"), F.lit(": "), r["text"], F.lit("\n"))
     )
+    top = F.concat(F.lit(TITLE), F.get(F.col("_rows"), 0)["head"], F.lit("\n"))
+    whole = F.concat(top, F.lit("Example Rows:\n"), F.array_join(lines, ""))
+    return first.agg(rows.alias("_rows")).select(F.coalesce(whole, F.lit(empty)).alias("text"))
 
 
 def metadata_fields(df: DataFrame) -> list[str]:

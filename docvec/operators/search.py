@@ -23,39 +23,47 @@ from docvec.functions import maps
 DECIMALS = 6
 # Queries up to this count travel to every task; more are joined in blocks.
 BROADCAST_QUERIES = 4096
-BLOCK_QUERIES = 1024
+BLOCK_QUERIES = 4096
 BLOCK_VECTORS = 100_000
-# Scores held at once in one task.
-SCORES = 4_000_000
+# Numbers of one kind held at once in one task: scores, or values of vectors.
+NUMBERS = 4_000_000
 
 BATCH_SCHEMA = "query_id string, id string, score double"
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
-    """Rows scaled to length 1; a row without length stays zero and scores 0."""
+    """Rows as doubles scaled to length 1; a row without length stays zero and scores 0."""
+    rows = rows.astype(np.float64)
     lengths = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 0)
 
 
 def matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    """Arrow lists without nulls as a matrix of doubles; another size than ``dim`` is an error."""
+    """Arrow lists without nulls as a matrix; another size than ``dim`` is an error."""
     sizes = np.diff(vectors.offsets.to_numpy())
     if (sizes != dim).any():
         raise ValueError(f"query has {dim} values, a stored vector {sizes[sizes != dim][0]}")
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def blocks(n: int, width: int) -> Iterator[slice]:
+    """Slices of ``n`` rows such that ``width`` numbers per row stay below ``NUMBERS``."""
+    step = max(1, NUMBERS // max(1, width))
+    return (slice(at, at + step) for at in range(0, n, step))
 
 
 def cosine_to(vector: Column, query: Sequence[float]) -> Column:
     """Cosine of each row's vector to one query vector."""
-    target = unit_rows(np.asarray([query], dtype=np.float32).astype(np.float64))[0]
+    target = unit_rows(np.asarray([query], dtype=np.float32))[0]
 
     @F.arrow_udf("double")
     def run(batch: pa.Array) -> pa.Array:
-        some = batch.drop_null()
-        out = np.full(len(batch), np.nan)
-        scores = np.round(unit_rows(matrix(some, len(target))) @ target, DECIMALS) + 0.0
-        out[np.asarray(batch.is_valid())] = scores
-        return pa.array(out, mask=np.isnan(out))
+        rows = matrix(batch.drop_null(), len(target))
+        scores = [unit_rows(rows[part]) @ target for part in blocks(len(rows), len(target))]
+        out = np.zeros(len(batch))
+        valid = np.asarray(batch.is_valid())
+        out[valid] = np.round(np.concatenate([*scores, []]), DECIMALS) + 0.0
+        return pa.array(out, mask=~valid)
 
     return run(vector)
 
@@ -94,11 +102,10 @@ class _Best:
         self.kept: list[list[tuple[float, str]]] = [[] for _ in query_ids]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        step = max(1, SCORES // max(1, len(self.query_ids)))
-        for at in range(0, len(ids), step):
-            block = np.round(self.queries @ unit_rows(vectors[at : at + step]).T, DECIMALS) + 0.0
+        for part in blocks(len(ids), max(self.queries.shape)):
+            block = np.round(self.queries @ unit_rows(vectors[part]).T, DECIMALS) + 0.0
             for q, scores in enumerate(block):
-                self._merge(q, scores, ids[at : at + step])
+                self._merge(q, scores, ids[part])
 
     def _merge(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
         kept, k = self.kept[q], self.k

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docvec.functions import text as tx
+from docvec.functions.numbers import whole_quotient
 
 # How many of the latest requests the mean latency covers.
 LATENCY_WINDOW = 5
@@ -93,7 +94,7 @@ def latency_mean(
     ``width`` rows; each block also gets the ``window - 1`` rows before it, so blocks of one
     large group are averaged by different tasks.
     """
-    block = F.floor((F.col("row_number") - 1) / width)
+    block = whole_quotient(F.col("row_number") - 1, width)
     tail = (F.col("row_number") - 1) % width >= width - (window - 1)
     homes = F.when(tail, F.array(block, block + 1)).otherwise(F.array(block))
     rows = numbered.withColumn("_home", block).withColumn("_block", F.explode(homes))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from docvec.functions import numbers
 from docvec.operators import embed, profile, usage
 from docvec.plans.registry import query, table
 
@@ -199,6 +200,22 @@ def profile_text(spark, sf):
     return profile.sample_text(table(spark, sf, "part"), ["p_partkey"], PART)
 
 
+@query(
+    """SELECT 'Columns (Properties): ' || max(CASE WHEN rn = 1 THEN array_to_string(json_keys(props), ', ') END) || chr(10)
+              || 'Example Rows:' || chr(10)
+              || string_agg('Row ' || rn || ': k: ' || json_extract_string(props, '$.k') || chr(10), '' ORDER BY rn) AS text
+       FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn FROM events) WHERE rn <= 2"""
+)
+def profile_json_text(spark, sf):
+    return profile.json_sample_text(table(spark, sf, "events"), "props", ["event_id"])
+
+
+@query("SELECT event_id, ts AS utc FROM events")
+def naive_utc(spark, sf):
+    rows = table(spark, sf, "events")
+    return rows.select("event_id", numbers.naive_utc(F.to_utc_timestamp(F.col("ts"), F.current_timezone())).alias("utc"))
+
+
 @query("SELECT DISTINCT unnest(json_keys(props)) AS field FROM events")
 def metadata_fields(spark, sf):
     return profile.json_fields(table(spark, sf, "events"), "props")

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from docvec.functions import numbers
 from docvec.operators import embed, profile, usage
 
 
@@ -107,6 +108,7 @@ def test_profile(spark):
     text = profile.sample_text(df, ["id"]).first()[0]
     assert text == "Columns (Properties): id, name, tag\nExample Rows:\nRow 1: id: 1, name: red ring big, tag: null\nRow 2: id: 2, name: blue bolt, tag: x\n"
     assert profile.sample_text(df.limit(0), ["id"]).first()[0] == "Columns (Properties): id, name, tag\n"
+    assert profile.json_sample_text(df.limit(0), "name", ["id"]).first()[0] == ""
     rows = {r["name"]: r for r in profile.fields_to_embed(profile.column_profile(df)).collect()}
     assert (rows["tag"]["n_null"], rows["name"]["n_distinct"], rows["name"]["mean_words"]) == (1, 2, pytest.approx(8 / 3))
     assert [n for n, r in rows.items() if r["embed"]] == ["name"]
@@ -114,3 +116,17 @@ def test_profile(spark):
     assert profile.metadata_fields(df) == ["id", "name", "tag"]
     keys = spark.createDataFrame([('{"a":1,"b":{}}',), ("[1]",), ('{"a":2}',)], "j string")
     assert sorted(r[0] for r in profile.json_fields(keys, "j").collect()) == ["a", "b"]
+    text = profile.json_sample_text(keys.filter("j != '[1]'"), "j", ["j"]).first()[0]
+    assert text == "Columns (Properties): a, b\nExample Rows:\nRow 1: a: 1, b: {}\nRow 2: a: 2\n"
+
+
+def test_times_and_numbers(spark):
+    df = spark.sql("select timestamp'2024-03-01 12:00:00.123456+05:00' as t, -7L as n")
+    row = df.select(numbers.naive_utc(F.col("t")).alias("t"), numbers.clamp(F.col("n"), 0, 5).alias("c"), numbers.iso_now().alias("i"))
+    assert dict(row.dtypes)["t"] == "timestamp_ntz"
+    assert row.first()["t"] == datetime(2024, 3, 1, 7, 0, 0, 123456) and row.first()["c"] == 0
+    assert datetime.fromisoformat(row.first()["i"])
+    big = spark.sql("select 9007199254740993L as n").select(numbers.whole_quotient(F.col("n"), 2)).first()[0]
+    assert big == 4503599627370496
+    with pytest.raises(Exception, match="no time to convert"):
+        spark.sql("select cast(null as timestamp) as t").select(numbers.naive_utc(F.col("t"))).collect()
