@@ -107,14 +107,14 @@ def cut_words(text: Column, window: int = 750, skip: int = 500) -> Column:
     return let(words(text), cut)
 
 
-def html_steps() -> list[tuple[str, str]]:
-    hidden = [(rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "") for tag in HIDDEN_TAGS]
-    return [
-        (r"(?s)<!--.*?-->", ""),
-        *hidden,
-        (rf"(?i)</?(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n"),
-        (r"</?[A-Za-z!][^>]*>", ""),
-    ]
+# What is no text, found from left to right so that a comment inside a script stays part of
+# the script: comments, hidden elements with their body, and tags that do not end a line.
+ENDS_LINE = rf"(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>"
+NO_TEXT = (
+    r"(?is)<(?:!--.*?-->|"
+    + "|".join(rf"{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in HIDDEN_TAGS)
+    + rf"|/?(?!{ENDS_LINE})[a-z!][^>]*>)"
+)
 
 
 def unescape_entities(text: Column) -> Column:
@@ -136,27 +136,25 @@ def unescape_entities(text: Column) -> Column:
         found = F.regexp_extract_all(t, F.lit(r"(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), 0)
         return F.aggregate(F.array_distinct(found), t, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
 
-    text = let(text, references)
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    def decode(t: Column) -> Column:
+        t = F.when(F.contains(t, F.lit("&#")), references(t)).otherwise(t)
+        for entity, char in ENTITIES:
+            t = F.replace(t, F.lit(entity), F.lit(char))
+        return t
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decode(t)).otherwise(t))
 
 
 def squeeze(text: Column) -> Column:
     """Runs of blanks become one blank, runs of blank lines one line break; ends trimmed."""
-    return replace_chain(
-        text,
-        [
-            (r"[ \t\r\f\x0b\x{a0}]+", " "),
-            (r" ?\n[ \n]*", "\n"),
-            (r"^[ \n]+|[ \n]+\z", ""),
-        ],
-    )
+    steps = [(r"[ \t\r\f\x0b\x{a0}]{2,}|[\t\r\f\x0b\x{a0}]", " "), (r" ?\n[ \n]*", "\n")]
+    return F.btrim(replace_chain(text, steps), F.lit(" \n"))
 
 
 def html_to_text(html: Column) -> Column:
     """Readable text of an HTML page: one line per block element, tags and scripts gone."""
-    return squeeze(unescape_entities(replace_chain(html, html_steps())))
+    lines = replace_chain(html, [(NO_TEXT, ""), (rf"(?i)</?{ENDS_LINE}", "\n")])
+    return squeeze(unescape_entities(lines))
 
 
 def markdown_steps() -> list[tuple[str, str]]:

@@ -11,9 +11,10 @@ search in the array of piece borders.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Sequence
+from itertools import accumulate, pairwise
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,22 +58,21 @@ def _literal(separator: str) -> str:
 # ---------------------------------------------------------------- greedy merge
 
 
-def merge_spans(lengths, size: int, overlap: int, gap: int) -> list[tuple[int, int]]:
+def merge_spans(lengths: Sequence[int], size: int, overlap: int, gap: int) -> list[tuple[int, int]]:
     """Greedy merge of pieces: index ranges [start, end) of the emitted chunks.
 
     ``gap`` is the length of the joining separator. A piece longer than ``size`` stays whole.
     After a chunk, the following one starts as far back as ``overlap`` and the next piece allow.
     """
     n = len(lengths)
-    at = np.concatenate(([0], np.cumsum(np.asarray(lengths, dtype=np.int64) + gap)))
+    at = list(accumulate((length + gap for length in lengths), initial=0))
     spans, start, end = [], 0, 0
     while end < n:
-        reach = int(np.searchsorted(at, at[start] + size + gap, side="right")) - 1
-        end = min(n, max(end + 1, reach))
+        end = min(n, max(end + 1, bisect_right(at, at[start] + size + gap) - 1))
         spans.append((start, end))
         if end < n:
             back = max(at[end] - gap - overlap, at[end] + lengths[end] - size)
-            start = min(end, max(start, int(np.searchsorted(at, back, side="left"))))
+            start = min(end, max(start, bisect_left(at, back)))
     return spans
 
 
@@ -90,13 +90,13 @@ def split_recursively(text: str, separators: Sequence[str], size: int, overlap:
     separator, rest = separators[level], separators[level + 1 :]
     if separator:
         cuts = [m.start() for m in re.finditer(re.escape(separator), text)]
-        borders = sorted({0, *cuts, len(text)})
+        borders = [0, *cuts, len(text)] if cuts[:1] != [0] else [*cuts, len(text)]
     else:
         borders = range(len(text) + 1)
-    lengths = np.diff(borders)
+    lengths = [b - a for a, b in pairwise(borders)]
     chunks: list[str] = []
     run = 0
-    for i in [*np.flatnonzero(lengths >= size).tolist(), len(lengths)]:
+    for i in [*(i for i, n in enumerate(lengths) if n >= size), len(lengths)]:
         for s, e in merge_spans(lengths[run:i], size, overlap, 0):
             chunks.append(text[borders[run + s] : borders[run + e]].strip())
         if i < len(lengths):
@@ -152,9 +152,8 @@ def _clean(chunks: Column) -> Column:
 
 def _native_character(text: Column, separator: str, size: int) -> Column:
     sep = _literal(separator)
-    joined = F.regexp_replace(text, f"(?:{sep})+", F.lit(separator))
-    joined = F.regexp_replace(joined, rf"^{sep}|{sep}\z", "")
-    return _clean(_matches(joined, rf"(?s)(.{{1,{size}}}|.+?)(?:{sep}|\z)", 1))
+    pieces = F.regexp_replace(F.btrim(text, F.lit(separator)), f"{sep}{{2,}}", F.lit(separator))
+    return _clean(_matches(pieces, rf"(?s)(.{{1,{size}}}|.+?)(?:{sep}|\z)", 1))
 
 
 def _native_recursive(text: Column, separators: Sequence[str], size: int) -> Column:

@@ -6,7 +6,7 @@ of its text and nothing has to be paired afterwards. The model runs in Arrow bat
 
 import hashlib
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -51,28 +51,36 @@ def hash_embedder(text: Column, dim: int = HASH_DIM) -> Column:
     Its bucket is the first 32 bits of its MD5 modulo ``dim``.
     """
 
+    class Buckets(dict):
+        """Bucket of each word seen."""
+
+        def __missing__(self, word: str) -> int:
+            bucket = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
+            if len(self) < TOKENS_KEPT:
+                self[word] = bucket
+            return bucket
+
+    def count(texts: list[str | None], words: re.Pattern, buckets: Buckets) -> np.ndarray:
+        """One row of counts per text."""
+        hits: list[int] = []
+        sizes = []
+        for text in texts:
+            found = words.findall(text.lower()) if text else ()
+            hits.extend(map(buckets.__getitem__, found))
+            sizes.append(len(found))
+        cells = np.repeat(np.arange(len(texts)) * dim, sizes) + np.asarray(hits, dtype=np.int64)
+        return np.bincount(cells, minlength=len(texts) * dim).reshape(len(texts), dim)
+
     @F.arrow_udf("array<float>")
-    def run(batch: pa.Array) -> pa.Array:
-        word = re.compile("[0-9a-z\u0080-\U0010ffff]+")
-        known: dict[str, int] = {}
-
-        def bucket(w: str) -> int:
-            found = known.get(w)
-            if found is None:
-                found = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dim
-                if len(known) < TOKENS_KEPT:
-                    known[w] = found
-            return found
-
-        out = np.zeros((len(batch), dim))
-        for row, value in enumerate(batch.to_pylist()):
-            if value:
-                hits = [bucket(w) for w in word.findall(value.lower())]
-                out[row] = np.bincount(hits, minlength=dim)
-        lengths = np.linalg.norm(out, axis=1, keepdims=True)
-        unit = np.divide(out, lengths, out=out, where=lengths > 0).astype(np.float32)
-        offsets = np.arange(0, out.size + dim, dim, dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = re.compile("[0-9a-z\u0080-\U0010ffff]+")
+        buckets = Buckets()
+        for batch in batches:
+            counts = count(batch.to_pylist(), words, buckets)
+            lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True, dtype=np.float64))
+            unit = np.divide(counts, lengths, out=np.zeros(counts.shape), where=lengths > 0)
+            offsets = np.arange(0, counts.size + dim, dim, dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel().astype(np.float32)))
 
     return run(text)
 

@@ -256,13 +256,21 @@ def sql_chain(text, steps):
     return text
 
 
+HIDDEN = "|".join([r"<!--.*?-->", *[rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in tx.HIDDEN_TAGS]])
+HTML_STEPS = [
+    (f"(?is){HIDDEN}", ""),
+    (rf"(?i)</?(?:{tx.BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n"),
+    (r"</?[A-Za-z!][^>]*>", ""),
+]
+
+
 def sql_entities(text):
     for entity, char in tx.ENTITIES:
         text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return text
 
 
-@query(f"SELECT page_id::VARCHAR AS id, {SQUEEZE.format(sql_entities(sql_chain('html', tx.html_steps())))} AS content FROM pages")
+@query(f"SELECT page_id::VARCHAR AS id, {SQUEEZE.format(sql_entities(sql_chain('html', HTML_STEPS)))} AS content FROM pages")
 def html_text(spark, sf):
     rows = table(spark, sf, "pages", "page_id", "html").select(
         F.col("page_id").cast("string").alias("id"), F.col("html").alias("content"), maps.empty_map().alias("metadata")
@@ -317,7 +325,7 @@ def mixed_files(spark, sf):
     return docs.unionByName(pages).unionByName(events)
 
 
-HTML_SQL = SQUEEZE.format(sql_entities(sql_chain("html", tx.html_steps())))
+HTML_SQL = SQUEEZE.format(sql_entities(sql_chain("html", HTML_STEPS)))
 
 
 @query(
