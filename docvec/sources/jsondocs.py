@@ -5,7 +5,7 @@ function over Arrow batches. Numbers keep the text of the parsed value.
 """
 
 import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
@@ -30,30 +30,30 @@ def entry_text(value: object, style: str) -> str:
     return json.dumps(value, ensure_ascii=False) if isinstance(value, dict | list) else leaf_text(value, style)
 
 
-def walk(
-    root: object, id_key: str, to_embed: frozenset, to_metadata: Sequence[str], style: str
-) -> Iterator[Leaf]:
+def walk(root: object, id_key: str, to_embed: frozenset, to_metadata: Sequence[str], style: str) -> list[Leaf]:
     """Leaves in document order as (id, text, metadata of the enclosing objects).
 
     A leaf's id is its dotted path, after the enclosing object's own id if it has one. With
-    ``to_embed`` a member is entered only if its path is listed. Outer metadata wins.
+    ``to_embed`` a member is entered only if its path is listed. Outer metadata wins. The
+    open values are kept on a list, so depth is not limited by the call stack.
     """
+    leaves: list[Leaf] = []
     todo: list[tuple[object, str, str, dict[str, str]]] = [(root, "", "", {})]
     while todo:
         value, path, leaf_id, outer = todo.pop()
         if isinstance(value, dict):
+            above = path + "." if path else ""
+            owner = leaf_text(value[id_key], style) + "." if id_key in value else ""
             meta = {k: entry_text(value[k], style) for k in to_metadata if k in value} | outer
-            inside = []
-            for key, member in value.items():
-                at = f"{path}.{key}" if path else key
+            for key in reversed(value):
+                at = above + key
                 if not to_embed or at in to_embed:
-                    owner = f"{leaf_text(value[id_key], style)}.{at}" if id_key in value else at
-                    inside.append((member, at, owner, meta))
-            todo.extend(reversed(inside))
+                    todo.append((value[key], at, owner + at, meta))
         elif isinstance(value, list):
-            todo.extend((member, path, leaf_id, outer) for member in reversed(value))
+            todo.extend([(member, path, leaf_id, outer) for member in reversed(value)])
         else:
-            yield leaf_id or path, leaf_text(value, style), outer
+            leaves.append((leaf_id or path, value if isinstance(value, str) else leaf_text(value, style), outer))
+    return leaves
 
 
 def leaf_array(rows: list[list[Leaf]]) -> pa.Array:
