@@ -106,9 +106,9 @@ def latency_mean(
     )
 
 
-def file_report(results: DataFrame, file_id: str = "file_id") -> DataFrame:
+def file_report(results: DataFrame, keys: Sequence[str] = ("file_id",)) -> DataFrame:
     """Per file: chunks, vectors written, and its error if one was recorded."""
-    return results.groupBy(file_id).agg(
+    return results.groupBy(*keys).agg(
         F.count("chunk_id").alias("chunks"),
         F.count_if(F.col("written")).alias("vectors"),
         F.max("error").alias("error"),
@@ -134,7 +134,7 @@ def latest_status(
     )
 
 
-def file_states(files: DataFrame, report: DataFrame, *more: str) -> DataFrame:
+def file_states(files: DataFrame, report: DataFrame, keys: Sequence[str] = ("file_id",)) -> DataFrame:
     """Add the state of each listed file after a run to its row of ``file_report``.
 
     An error means failed, stored chunks mean completed; a file that gave no chunk is still
@@ -145,8 +145,7 @@ def file_states(files: DataFrame, report: DataFrame, *more: str) -> DataFrame:
         .when(F.col("chunks") > 0, STATES[1])
         .otherwise(STATES[0])
     )
-    rows = files.select(F.col("id").alias("file_id"), *more).join(report, "file_id", "left")
-    return rows.withColumn("status", state)
+    return files.join(report, list(keys), "left").withColumn("status", state)
 
 
 def quota_ok() -> Column:

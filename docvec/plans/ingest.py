@@ -40,7 +40,8 @@ class Config:
 def listed(spark: SparkSession, config: Config, extract_type: str = "full", last_run: datetime | None = None) -> DataFrame:
     """Listing and content of all sources' files; a delta lists only later files."""
     found = [
-        files.with_prefix(files.read_content(spark, s.root, s.name, s.glob), s.prefix) for s in config.sources
+        files.with_prefix(files.read_content(spark, s.root, s.name, s.glob), s.prefix).withColumn("source", F.lit(i))
+        for i, s in enumerate(config.sources)
     ]
     return files.extract(found, extract_type, last_run)
 
@@ -48,7 +49,8 @@ def listed(spark: SparkSession, config: Config, extract_type: str = "full", last
 def loaded(found: DataFrame) -> DataFrame:
     """Documents of all files by extension; a file that cannot be read gives a row with its error."""
     route = documents.route_by_extension(F.col("path"))
-    return documents.auto_docs(found, by=route, strict=False)
+    keep = [c for c in ("source",) if c in found.columns]
+    return documents.auto_docs(found, by=route, strict=False, keep=keep)
 
 
 def vectors(found: DataFrame, embedder: Callable[[Column], Column] = embed.hash_embedder) -> DataFrame:
@@ -74,23 +76,27 @@ def run(
     """Ingest the sources' files and report each file's state, chunks and error.
 
     Embedded chunks are written once and then stored and counted from there: a model may be
-    slow or paid for, and must not be asked again when a later stage is repeated.
+    slow or paid for, and must not be asked again when a later stage is repeated. Of chunks
+    that share an id the last one stays, in the order of sources, file ids and positions.
     """
     found = listed(spark, config, extract_type, last_run)
     embedded = written(vectors(found, config.embedder).drop("content"), "embedded")
-    store.store(to_store(embedded), config.sink, batch_id=batch_id)
+    last = F.struct("source", "file_id", "position", "chunk_index")
+    store.store(to_store(embedded), config.sink, last, batch_id)
     return report(found, embedded)
 
 
 def report(found: DataFrame, embedded: DataFrame) -> DataFrame:
     """State of each file: failed with its error, completed with its vectors, or still processing."""
+    file = ["source", "file_id"]
     per_chunk = embedded.select(
-        "file_id",
+        *file,
         F.when(F.col("error").isNull(), F.col("id")).alias("chunk_id"),
         F.col("error").isNull().alias("written"),
         "error",
     )
-    states = usage.file_states(found, usage.file_report(per_chunk), "source_name")
+    listed_files = found.select("source", F.col("id").alias("file_id"), "source_name")
+    states = usage.file_states(listed_files, usage.file_report(per_chunk, file), file)
     return states.select("file_id", "source_name", "status", F.coalesce("vectors", F.lit(0)).alias("vectors"), "error")
 
 

@@ -145,7 +145,7 @@ def file_status(spark, sf):
         FROM customer c LEFT JOIN ({REPORT}) r ON r.file_id = c.c_custkey"""
 )
 def file_states(spark, sf):
-    listed = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    listed = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("file_id"))
     report = usage.file_report(results(spark, sf)).withColumn("file_id", F.col("file_id").cast("string"))
     return usage.file_states(listed, report).select("file_id", "status")
 

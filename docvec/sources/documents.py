@@ -137,13 +137,15 @@ def auto_docs(
     pages: Callable[[bytes], list[str]] | None = None,
     unique_ids: bool = False,
     strict: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Load each file by its route, in one pass over the files.
 
     ``files`` has id, path, type, metadata and content. Every route gives an array of
     documents; a Python worker sees only the content of the routes that need it. Each
-    document carries its file's id under ``_file_entry_id``. If not strict, a file that
-    cannot be read gives one row without content that names the ``error``.
+    document carries its file's id under ``_file_entry_id``, its position in the file, and
+    the file's columns named by ``keep``. If not strict, a file that cannot be read gives one
+    row without content that names the ``error``.
     """
     chosen = by if by is not None else route(F.col("type"))
     routed = files.withColumn("_route", chosen)
@@ -187,7 +189,7 @@ def auto_docs(
         .otherwise(checked(F.array(leaf(text, maps.empty_map())), text))
     )
     rows = routed.select(
-        F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded")
+        F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded"), *keep
     ).select(
         "*", F.col("_loaded.error").alias("error"), F.posexplode_outer("_loaded.docs").alias("_at", "_doc")
     )
@@ -205,6 +207,8 @@ def auto_docs(
         F.col("_doc.content").alias("content"),
         maps.merge(F.col("_doc.metadata"), outer, file_entry).alias("metadata"),
         F.col("_file").alias("file_id"),
+        F.col("_at").alias("position"),
+        *keep,
         *([] if strict else ["error"]),
     )
 

@@ -90,7 +90,7 @@ def test_status_and_reports(spark):
         "file_id string, status string, ts timestamp",
     )
     assert {r["file_id"]: r["status"] for r in usage.latest_status(log).collect()} == {"a": "completed", "b": "processing"}
-    files = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    files = spark.createDataFrame([("a",), ("b",), ("c",)], "file_id string")
     written = spark.createDataFrame([("a", 2, None), ("b", 0, "bad")], "file_id string, chunks int, error string")
     assert {r["file_id"]: r["status"] for r in usage.file_states(files, written).collect()} == {"a": "completed", "b": "failed", "c": "processing"}
 

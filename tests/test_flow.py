@@ -44,6 +44,20 @@ def test_run_report_search_and_delete(spark, config):
     assert filtered.count() == 0
 
 
+def test_last_of_equal_ids_stays(spark, tmp_path):
+    for source, name, rows in (("b", "x.csv", "k,first"), ("a", "y.csv", "k,1,2"), ("a", "x.csv", "k,9")):
+        (tmp_path / source).mkdir(exist_ok=True)
+        (tmp_path / source / name).write_text("\n".join(rows.split(",")) + "\n")
+    sources = tuple(ingest.Source(s, str(tmp_path / s)) for s in ("b", "a"))
+    config = ingest.Config("p", "t", sources, cluster.scratch_path(spark, "last"))
+    report = ingest.run(spark, config).collect()
+    assert sorted((r["source_name"], r["file_id"], r["vectors"]) for r in report) == [
+        ("a", "x.csv", 1), ("a", "y.csv", 2), ("b", "x.csv", 1),
+    ]
+    row = store.read_table(spark, config.sink).collect()
+    assert [(r["id"], r["metadata"]["row"], r["file_id"]) for r in row] == [(".id_0", "1", "y.csv")]
+
+
 def test_delta_and_earlier_is_full(spark, config):
     root = config.sources[0].root
     old = datetime.now(timezone.utc) - timedelta(days=2)
