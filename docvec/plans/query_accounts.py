@@ -79,7 +79,7 @@ def usage_events(spark, sf):
 
 @query(
     """SELECT event_type AS model, user_id, SUM(length(props))::BIGINT AS total_token_count, count(*) AS input_item_count,
-              round(avg(value), 6) AS response_time_ms FROM events GROUP BY ALL"""
+              round(avg(value), 9) AS response_time_ms FROM events GROUP BY ALL"""
 )
 def usage_metrics(spark, sf):
     rows = table(spark, sf, "events").select(
@@ -87,7 +87,7 @@ def usage_metrics(spark, sf):
         F.lit(1).alias("items"), F.col("value").alias("response_time_ms"),
     )
     found = usage.usage_metrics(rows)
-    return found.withColumn("response_time_ms", F.round("response_time_ms", 6))
+    return found.withColumn("response_time_ms", F.round("response_time_ms", 9))
 
 
 @query(

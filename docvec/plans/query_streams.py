@@ -59,7 +59,7 @@ def stream_ingest(spark, sf):
 
 @query(
     """SELECT date_trunc('hour', ts) AS window_start, event_type AS model, count(*) AS requests,
-              SUM(length(props))::BIGINT AS total_tokens, round(avg(value), 6) AS latency_ms FROM events GROUP BY ALL"""
+              SUM(length(props))::BIGINT AS total_tokens, round(avg(value), 9) AS latency_ms FROM events GROUP BY ALL"""
 )
 def usage_window(spark, sf):
     path = cluster.scratch_path(spark, "usage")
@@ -72,7 +72,7 @@ def usage_window(spark, sf):
     values = ["requests", "total_tokens", "latency_ms"]
     found = kept_batches(spark, f"{path}/out", ["window_start", "model"], values)
     return found.withColumns(
-        {"window_start": F.col("window_start").cast("timestamp_ntz"), "latency_ms": F.round("latency_ms", 6)}
+        {"window_start": F.col("window_start").cast("timestamp_ntz"), "latency_ms": F.round("latency_ms", 9)}
     )
 
 
