@@ -24,10 +24,11 @@ from docvec.functions import text as tx
 # Defaults of the chunkers.
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 0
-BATCH_SIZE = 1000
 SEPARATOR = "\n\n"
 SEPARATORS = ("\n\n", "\n", " ", "")
-CHUNKER_NAMES = ("characterchunker", "customchunker", "recursivechunker")
+# Names of chunkers in metadata; any other name means the recursive chunker.
+CHARACTER = "characterchunker"
+CUSTOM = "customchunker"
 
 # ``.{1,n}`` in Java is compiled once and costs nothing per n; the limit only guards typos.
 MAX_SIZE = 10_000_000
@@ -263,9 +264,9 @@ def chunk_by_metadata(
         size = CHUNK_SIZE if size is None else size
         overlap = CHUNK_OVERLAP if overlap is None else overlap
         check_sizes(size, overlap)
-        if name == "characterchunker":
+        if name == CHARACTER:
             return split_on(text, SEPARATOR if separator is None else separator, size, overlap)
-        if name == "customchunker":
+        if name == CUSTOM:
             if custom is None:
                 raise ValueError("a document asks for a custom chunker and none was given")
             return list(custom(text))

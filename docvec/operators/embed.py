@@ -29,6 +29,8 @@ MODELS = (
 )
 # Texts per request, by kind of model service.
 REQUEST_BATCH = {"openai": 10, "hosted": 100, "gateway": 16}
+# Chunks handed on together.
+CHUNK_BATCH = 1000
 HASH_DIM = 64
 # A worker remembers the buckets of this many distinct tokens; more are computed again.
 TOKENS_KEPT = 200_000
@@ -156,7 +158,7 @@ def numbered(df: DataFrame, group: Sequence[str], order: str, width: int = 100_0
     )
 
 
-def batches(df: DataFrame, group: Sequence[str], order: str, n: int) -> DataFrame:
+def batches(df: DataFrame, group: Sequence[str], order: str, n: int = CHUNK_BATCH) -> DataFrame:
     """Number consecutive batches of ``n`` rows per group from 1; the last may be short."""
     check_batch_size(n)
     batch = whole_quotient(F.col("row_number") - 1, n) + 1

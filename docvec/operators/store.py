@@ -117,11 +117,16 @@ def _data(path: str, version: int) -> str:
 
 
 def _commit(rows: DataFrame, path: str, kind: str, batch_id: str | None, log: list) -> int:
-    """Write one version, then make it visible; returns the number of rows it stands for."""
+    """Write one version, then make it visible; returns the number of rows it stands for.
+
+    A change of nothing is not recorded.
+    """
     spark = rows.sparkSession
     version = log[-1]["version"] + 1 if log else 1
     rows.write.mode("overwrite").parquet(_data(path, version))
-    stored = spark.read.parquet(_data(path, version)).agg(F.sum("writes")).first()[0] or 0
+    stored = spark.read.schema("writes bigint").parquet(_data(path, version)).agg(F.sum("writes")).first()[0] or 0
+    if stored == 0 and kind == "change":
+        return 0
     entry = {"version": version, "kind": kind, "batch_id": batch_id, "stored": stored}
     types = {f.name: f.dataType for f in LOG.fields}
     row = spark.range(0, 1, 1, 1).select(*[F.lit(v).cast(types[k]).alias(k) for k, v in entry.items()])
@@ -187,8 +192,6 @@ def delete_file(spark: SparkSession, path: str, file_id: str) -> bool:
         F.lit(1).cast("bigint").alias("writes"),
         F.lit(True).alias("deleted"),
     )
-    if gone.isEmpty():
-        return False
     return _commit(marks, path, "change", None, log) > 0
 
 

@@ -12,9 +12,8 @@ from docvec.functions.numbers import whole_quotient
 
 # How many of the latest requests the mean latency covers.
 LATENCY_WINDOW = 5
-# File states; a run writes the first three, the others name its stages.
-STATES = ("processing", "completed", "failed")
-STAGES = ("PARSING", "AUGMENTING", "EMBEDDING", "STORING", "SUCCESS", "FAILED", "ENRICHING")
+# File states of a run.
+PROCESSING, COMPLETED, FAILED = "processing", "completed", "failed"
 
 
 def token_count(text: Column, tokenizer: Callable[[list[str]], list[int]] | None = None) -> Column:
@@ -141,9 +140,9 @@ def file_states(files: DataFrame, report: DataFrame, keys: Sequence[str] = ("fil
     processing.
     """
     state = (
-        F.when(F.col("error").isNotNull(), STATES[2])
-        .when(F.col("chunks") > 0, STATES[1])
-        .otherwise(STATES[0])
+        F.when(F.col("error").isNotNull(), FAILED)
+        .when(F.col("chunks") > 0, COMPLETED)
+        .otherwise(PROCESSING)
     )
     return files.join(report, list(keys), "left").withColumn("status", state)
 

@@ -59,13 +59,13 @@ def file_attributes(spark, sf):
 
 @query(
     f"""SELECT (c_custkey // {BUCKET})::VARCHAR AS folder,
-               string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS content, 'customers' AS source_name
+               string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS content
         FROM customer GROUP BY c_custkey // {BUCKET}"""
 )
 def text_files(spark, sf):
     found = files.read_content(spark, name_files(spark, sf), "customers", "part-*")
     folder = F.regexp_extract("id", FOLDER, 1)
-    return found.select(folder.alias("folder"), tx.decode_utf8(F.col("content")).alias("content"), "source_name")
+    return documents.text_docs(found).select(folder.alias("folder"), "content")
 
 
 @query("SELECT page_id, url FROM pages WHERE starts_with(url, 'https://m.')")

@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docvec import schemas
 from docvec.functions import maps
 from docvec.functions import text as tx
 from docvec.sources import jsondocs
 
+DOC = "id string, content string, metadata map<string,string>"
 # The file id under which a document's vectors can be deleted.
 FILE_KEY = "_file_entry_id"
 # A type that contains the left text takes the right route; the first match counts.
@@ -321,7 +321,7 @@ def doc_to_json(*columns: str) -> Column:
 
 def doc_from_json(text: Column) -> Column:
     """A document struct from JSON text; null is an error."""
-    parsed = F.from_json(text, schemas.DOCS, {"mode": "FAILFAST"})
+    parsed = F.from_json(text, DOC, {"mode": "FAILFAST"})
     return F.when(text.isNull(), F.raise_error(F.lit("no document to read"))).otherwise(parsed)
 
 

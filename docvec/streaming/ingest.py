@@ -70,8 +70,3 @@ def ingest(
 def once_per_id(rows: DataFrame, event_time: str, delay: str = "1 hour", key: str = "id") -> DataFrame:
     """Drop repeats of an id that arrive within ``delay``; state older than that is forgotten."""
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-
-
-def arrived_after(rows: DataFrame, column: str, last_run) -> DataFrame:
-    """A stream without rows of earlier runs, where no checkpoint exists yet."""
-    return rows if last_run is None else rows.filter(F.col(column) > F.lit(last_run))
