@@ -40,7 +40,7 @@ class Config:
 def listed(spark: SparkSession, config: Config, extract_type: str = "full", last_run: datetime | None = None) -> DataFrame:
     """Listing and content of all sources' files; a delta lists only later files."""
     found = [
-        files.with_prefix(files.read_content(spark, s.root, s.name, s.glob), s.prefix).withColumn("source", F.lit(i))
+        files.read_content(spark, s.root, s.name, s.glob, s.prefix).withColumn("source", F.lit(i))
         for i, s in enumerate(config.sources)
     ]
     return files.extract(found, extract_type, last_run)

@@ -72,11 +72,15 @@ def list_full(
     The folders of the prefix become part of the load path, so other folders are not listed.
     Spark's file index leaves out files without any bytes, which have nothing to load.
     """
-    folder = (prefix or "").rpartition("/")[0]
-    files = _binary(spark, f"{root.rstrip('/')}/{folder}" if folder else root, glob)
+    files = _binary(spark, _below(root, prefix), glob)
     return with_prefix(listing(files, root, source_name), prefix)
 
 
+def _below(root: str, prefix: str | None) -> str:
+    folder = (prefix or "").rpartition("/")[0]
+    return f"{root.rstrip('/')}/{folder}" if folder else root
+
+
 def list_delta(
     spark: SparkSession,
     root: str,
@@ -115,10 +119,11 @@ def file_attributes(spark: SparkSession, root: str, key: str | None = None) -> D
 
 
 def read_content(
-    spark: SparkSession, root: str, source_name: str = "default", glob: str | None = None
+    spark: SparkSession, root: str, source_name: str = "default", glob: str | None = None, prefix: str = ""
 ) -> DataFrame:
     """Listing plus the file bytes, which the executors read."""
-    return listing(_binary(spark, root, glob), root, source_name, with_content=True)
+    files = _binary(spark, _below(root, prefix), glob)
+    return with_prefix(listing(files, root, source_name, with_content=True), prefix)
 
 
 def extract(
