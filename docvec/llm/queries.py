@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import language, secrets, urls
+from docvec.llm import language, secrets, tokenfiles, urls
 from docvec.plans.registry import query
 
 
@@ -80,3 +80,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs, usable=~language.held_out(F.col("doc_id")))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as wavelet matrices and read back from them."""
+    import public_tokenizers
+
+    encoder = tokenfiles.tokenizer_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    shards = tokenfiles.write(load(spark, sf_dir, "documents", "doc_id", "text"), encoder, end=1)
+    return tokenfiles.digests(shards).withColumnRenamed("key", "doc_id")
