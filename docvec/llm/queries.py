@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import language, secrets, tokenfiles, urls
+from docvec.llm import language, secrets, tokenfiles, topk, urls
 from docvec.plans.registry import query
 
 
@@ -90,3 +90,26 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = tokenfiles.tokenizer_encoder(public_tokenizers.path("word_bpe_49k.json"))
     shards = tokenfiles.write(load(spark, sf_dir, "documents", "doc_id", "text"), encoder, end=1)
     return tokenfiles.digests(shards).withColumnRenamed("key", "doc_id")
+
+
+@query(
+    """
+    WITH usable AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id,
+            CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM usable q JOIN usable d ON q.vec_id <> d.vec_id AND len(q.v) = len(d.v)
+        WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """
+)
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    return topk.top_k(load(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 50 == 0)
