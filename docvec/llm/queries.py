@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import language, secrets, tokenfiles, topk, urls
+from docvec.llm import chat, language, mixing, secrets, tokenfiles, topk, urls
 from docvec.plans.registry import query
 
 
@@ -113,3 +113,50 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every vector whose id is divisible by 50."""
     return topk.top_k(load(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 50 == 0)
+
+
+@query()
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    found = mixing.mix(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate")
+
+
+CONTROL_SQL = "|".join(c.replace("|", "\\|").replace("[", "\\[").replace("]", "\\]") for c in chat.CONTROLS)
+SAMPLE_TURN = "</s>[INST] ok [/INST]"
+
+
+@query(
+    rf"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '{SAMPLE_TURN}' UNION ALL SELECT -7, 1, 'assistant', '{SAMPLE_TURN}'
+    ), sized AS (
+        SELECT *, role || chr(10) || text || chr(10) AS line,
+            length(role || text) + length(regexp_replace(role || chr(10) || text, '[^\\]', '', 'g'))
+                + len(regexp_extract_all(role || chr(10) || text, '{CONTROL_SQL}')) + {sum(map(len, chat.MARKS))} AS chars
+        FROM turns
+    ), told AS (
+        SELECT conv_id, count(*) AS n_turns, string_agg(line, '' ORDER BY turn, role, text) AS all_text,
+            coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+        sha256(loss) AS loss_sha256, formatted_chars
+    FROM told
+    """
+)
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted as token ids and read back from them."""
+    import public_tokenizers
+
+    rows = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    sample = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(SAMPLE_TURN).alias("text"),
+    )
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.digests(chat.format_table(rows.unionByName(sample), vocabulary), vocabulary)
