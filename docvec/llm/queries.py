@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import chat, language, mixing, secrets, tokenfiles, topk, urls
+from docvec.llm import chat, jaccard, language, mixing, secrets, tokenfiles, topk, urls
 from docvec.plans.registry import query
 
 
@@ -160,3 +160,9 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return chat.digests(chat.format_table(rows.unionByName(sample), vocabulary), vocabulary)
+
+
+@query()
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 80 % common five-word shingles."""
+    return jaccard.join(load(spark, sf_dir, "documents", "doc_id", "text"))
