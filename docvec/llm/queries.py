@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import chat, jaccard, language, mixing, secrets, tokenfiles, topk, urls
+from docvec.llm import chat, jaccard, language, mixing, pieces, secrets, spotsigs, tokenfiles, topk, urls
 from docvec.plans.registry import query
 
 
@@ -166,3 +166,26 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of 80 % common five-word shingles."""
     return jaccard.join(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next one are."""
+    return spotsigs.stability(load(spark, sf_dir, "documents", "doc_id", "text")).withColumnRenamed("key", "doc_id")
+
+
+@query()
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode(load(spark, sf_dir, "documents", "doc_id", "text"), model)
+    found = pieces.digests(pieces.decode(coded, model))
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        "ids_crc32",
+        F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"),
+        F.coalesce(F.col("decoded") == F.col("text"), F.lit(True)).alias("round_trip"),
+    )
