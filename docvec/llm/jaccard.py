@@ -404,3 +404,17 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int =
     whole = full.join(component, "node").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
     alone = found.where("n = 0").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("key").alias("component_id"))
     return whole.unionByName(alone)
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``df`` with one row of each component: that of the smallest key, of equal keys that of the smallest text hash.
+
+    Rows that repeat a key with the same text are one row. A row without words is a component of
+    its own and stays. All columns are kept as they are.
+    """
+    spot = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"))
+    found = join(df.select(spot.alias("spot"), F.col(text).alias("text")), "spot", "text", shingle, percent)
+    chosen = found.where(F.col("spot").eqNullSafe(F.col("component_id"))).select(F.col("spot.key").alias("kept_key"), F.col("spot.hash").alias("kept_hash"))
+    rows = df.select("*", F.xxhash64(text).alias("row_hash"))
+    here = F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("row_hash") == F.col("kept_hash"))
+    return rows.join(written(chosen, "kept"), here, "left_semi").dropDuplicates([key, "row_hash"]).drop("row_hash")

@@ -140,3 +140,17 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "d
     end = F.col("offset") + F.col("run") + UNIT // 2
     copies = F.floor(end / UNIT) - F.floor((end - F.col("parts")) / UNIT)
     return whole.select(*{key, *keep}, "size", "source_size", "target", (F.col("parts") / UNIT).alias("rate"), copies.cast("long").alias("copies"))
+
+
+def repeat(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options) -> DataFrame:
+    """The mix itself: each row of ``df`` as often as ``mix`` takes it, all columns as they are.
+
+    Rows that repeat a key with the same text are taken together. Texts move once, to meet their
+    number of copies.
+    """
+    rows = df.select("*", F.xxhash64(text).alias("row_hash"))
+    taken = mix(rows, text, source, key, keep=["row_hash"], **options).groupBy(key, "row_hash").agg(F.sum("copies").alias("row_copies"))
+    taken = taken.where("row_copies > 0").select(F.col(key).alias("row_key"), F.col("row_hash").alias("taken_hash"), "row_copies")
+    here = F.col(key).eqNullSafe(F.col("row_key")) & (F.col("row_hash") == F.col("taken_hash"))
+    met = rows.join(taken, here).drop("row_key", "taken_hash").dropDuplicates([key, "row_hash"])
+    return met.withColumn("row_copies", F.explode(F.sequence(F.lit(1), F.col("row_copies")))).drop("row_hash", "row_copies")
