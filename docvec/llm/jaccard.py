@@ -27,7 +27,7 @@ from docvec.llm.kernels import mix, pack48, shingle_sets, slices, unpack48
 SHINGLE = 5
 PERCENT = 80
 # Tokens that a task gathers before it hands them on by bucket, and tokens of a bucket.
-FLUSH, BUCKET = 1 << 20, 1_000_000
+FLUSH, BUCKET = 1 << 18, 1_000_000
 LEAST_BUCKETS = 256
 # Bounds of a group, and partners that one group meets in a task.
 MEMBERS, GROUP_TOKENS, PARTNERS = 256, 400_000, 32
@@ -50,7 +50,7 @@ def sets(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
 
 
 def dealt(df: DataFrame, text: str, shingle: int, buckets: int) -> DataFrame:
-    """The tokens of all sets by bucket: one row per bucket and about a million tokens of a task."""
+    """The tokens of all sets by bucket: one row per bucket and quarter of a million tokens of a task."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, np.ndarray]] = []

@@ -17,15 +17,14 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 def slices(column: pa.Array, size: int = STEP) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``size`` bytes together, and where they begin; null becomes empty."""
-    texts = pc.fill_null(column, "").to_pylist()
-    begin, held = 0, 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > size:
-            yield begin, texts[begin:i]
-            begin, held = i, 0
-        held += len(text) + 1
-    if begin < len(texts):
-        yield begin, texts[begin:]
+    texts = pc.fill_null(column, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < len(texts):
+        before = int(ends[begin - 1]) if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield begin, texts.slice(begin, stop - begin).to_pylist()
+        begin = stop
 
 
 def utf8(text: str) -> bytes:
