@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docvec.cluster import scratch_path, written
-from docvec.llm.kernels import HASH_STEP, IS_SPACE, LOWER, slices, span_hashes, utf8
+from docvec.llm.kernels import HASH_STEP, IS_SPACE, LOWER, STEP, slices, span_hashes, utf8
 
 MAGIC = b"WAVELET1"
 HEADER = "<8sQQQQQ"  # magic, tokens, documents, different ids, planes, bits of a block
@@ -407,7 +407,7 @@ def write(df: DataFrame, encoder: Callable[[], Encoder], end: int, text: str = "
 
         for batch in batches:
             names = batch.column("key").to_pylist()
-            for begin, texts in slices(batch.column("text")):
+            for begin, texts in slices(batch.column("text"), min(STEP, 2 * shard_tokens)):
                 ids, sizes = encode(texts)
                 ends = np.cumsum(sizes)
                 held.append(np.insert(ids, ends, end).astype(np.uint32))
