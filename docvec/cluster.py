@@ -44,10 +44,11 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` on at least as many partitions as there are cores.
+    """``df`` on as many partitions as there are cores, if it has less than a quarter of them.
 
     A small table is often one file with one row group, which a single task would read and
-    process. A large table has more partitions than cores already and stays as it is.
+    process. What is dealt out anew is at most a quarter of the cores' splits; other tables stay
+    as the scan has cut them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() < cores else df

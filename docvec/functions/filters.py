@@ -7,6 +7,7 @@ column has the name, the plain key; their values are text.
 
 import json
 import re
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,29 +54,47 @@ def _field(df: DataFrame, field: str) -> tuple[Column, T.DataType]:
     raise ValueError(f"no column and no metadata for field {field!r}")
 
 
-def _operands(column: Column, kind: T.DataType, values: list) -> tuple[Column, list[Column]]:
+def _operands(column: Column, kind: T.DataType, values: list, ranged: bool) -> tuple[Column, list[Column]]:
     """Column and literals in the type they compare in.
 
-    Text compares as numbers if every literal is one. Numbers keep their column bare.
+    Columns stay bare, so that a predicate reaches the scan; only in a range does text compare as
+    numbers, if every literal is one. Literals of whole and decimal columns never go through a
+    float.
     """
     texts = [v if isinstance(v, str) else json.dumps(v) for v in values]
     numeric = all(NUMBER.fullmatch(t.strip()) for t in texts)
     if isinstance(kind, T.NumericType):
         if not numeric:
             raise ValueError(f"not a number: {texts}")
-        whole = isinstance(kind, T.IntegralType) and all(re.fullmatch(r"[+-]?[0-9]{1,18}", t.strip()) for t in texts)
-        return column, [F.lit(int(t) if whole else float(t)) for t in texts]
+        if isinstance(kind, T.FloatType | T.DoubleType):
+            return column, [F.lit(float(t)) for t in texts]
+        return column, [_exact(t) for t in texts]
+    if isinstance(kind, T.StringType) and numeric and ranged:
+        # Twenty digits before the point and eighteen behind it; beyond them, and for huge or tiny
+        # literals, doubles.
+        if all(abs(Decimal(t.strip())) < Decimal(10) ** 20 and Decimal(t.strip()).as_tuple().exponent >= -18 for t in texts):
+            return column.try_cast("decimal(38,18)"), [F.lit(Decimal(t.strip())) for t in texts]
+        return column.try_cast("double"), [F.lit(float(t)) for t in texts]
     if isinstance(kind, T.StringType):
-        if numeric:
-            return column.try_cast("double"), [F.lit(float(t)) for t in texts]
         return column, [F.lit(t) for t in texts]
     return column, [F.lit(t).cast(kind) for t in texts]
 
 
+def _exact(text: str) -> Column:
+    """A literal for whole and decimal columns; one that no decimal holds is a double."""
+    value = Decimal(text.strip())
+    if value == value.to_integral_value() and abs(value) < 1 << 63:
+        return F.lit(int(value))
+    digits = value.as_tuple()
+    if len(digits.digits) <= 38 and -38 <= digits.exponent <= 0:
+        return F.lit(value)
+    return F.lit(float(value))
+
+
 def _list(value, size: int | None = None) -> list:
     values = json.loads(value) if isinstance(value, str) else list(value)
-    if not isinstance(values, list) or not values or (size and len(values) != size):
-        raise ValueError(f"expected a list of {size or 'at least one'} values, got {value!r}")
+    if not isinstance(values, list) or (size and len(values) != size):
+        raise ValueError(f"expected a list{f' of {size} values' if size else ''}, got {value!r}")
     return values
 
 
@@ -87,7 +106,11 @@ def match_any(column: Column, value: str) -> Column:
 
 
 def condition(df: DataFrame, field: str, operator: str, value=None) -> Column:
-    """One predicate with SQL meaning; a null field passes only ``IS_NULL``."""
+    """One predicate with SQL meaning; a null field passes only ``IS_NULL``.
+
+    Text equals a literal character by character, so ``5`` and ``05`` differ; in a range between
+    numbers text counts as the number it spells, and text that spells none is in no range.
+    """
     name = operator_name(operator)
     column, kind = _field(df, field)
     if name == "IS_NULL":
@@ -100,12 +123,18 @@ def condition(df: DataFrame, field: str, operator: str, value=None) -> Column:
     if name == "MATCH":
         return match_any(column.cast("string"), value)
     if name in ("IN", "NOT_IN"):
-        left, literals = _operands(column, kind, _list(value))
+        values = _list(value)
+        if not values:
+            return F.lit(False) if name == "IN" else column.isNotNull()
+        left, literals = _operands(column, kind, values, ranged=False)
         return left.isin(*literals) if name == "IN" else ~left.isin(*literals)
     if name in ("BETWEEN", "NOT_BETWEEN"):
-        left, (low, high) = _operands(column, kind, _list(value, 2))
-        return left.between(low, high) if name == "BETWEEN" else ~left.between(low, high)
-    left, (right,) = _operands(column, kind, [value])
+        left, (low, high) = _operands(column, kind, _list(value, 2), ranged=True)
+        if name == "BETWEEN":
+            return left.between(low, high)
+        # Text that is no number is not between two numbers.
+        return column.isNotNull() & ~F.coalesce(left.between(low, high), F.lit(False))
+    left, (right,) = _operands(column, kind, [value], ranged=name not in ("EQUAL", "NOT_EQUAL"))
     return {
         "EQUAL": left == right,
         "NOT_EQUAL": left != right,

@@ -1,6 +1,7 @@
 """Text columns. Everything here stays in the JVM."""
 
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ WHITESPACE = (
 # The same characters as the body of a regular expression class.
 BLANK = r"\t-\r\x1c-\x1f\x85\p{Z}"
 
+# What words are made of, as the body of a class.
+WORD = r"\p{L}\p{M}\p{N}\p{Pc}"
+
 # HTML elements that start a new line of text.
 BLOCK_TAGS = (
     "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
@@ -22,16 +26,11 @@ BLOCK_TAGS = (
 )
 # HTML elements whose body is never text.
 HIDDEN_TAGS = ("script", "style", "noscript", "template")
-# Named entities; the ampersand is last so that no entity is decoded twice.
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-)
+# A reference to a character: decimal, hexadecimal or by name. The names that HTML lets end
+# without a semicolon count if no letter, digit or sign of assignment follows.
+NAMED = {name.rstrip(";"): text for name, text in sorted(html5.items())}
+BARE = "|".join(sorted(name for name in html5 if not name.endswith(";")))
+REFERENCE = rf"&(?:#[0-9]{{1,7}};|#[xX][0-9a-fA-F]{{1,6}};|[A-Za-z][A-Za-z0-9]*;|(?:{BARE})(?![A-Za-z0-9=;]))"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,22 +108,30 @@ def cut_words(text: Column, window: int = 750, skip: int = 500) -> Column:
 
 # What is no text, found from left to right so that a comment inside a script stays part of
 # the script: comments, hidden elements with their body, and tags that do not end a line.
-ENDS_LINE = rf"(?:{BLOCK_TAGS})(?:\s[^>]*)?/?>"
+# Attributes may hold ">" between quotes; a tag whose quotes do not close ends at the next ">".
+ATTRIBUTES = r"""(?:\s(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*))?"""
+ENDS_LINE = rf"(?:{BLOCK_TAGS}){ATTRIBUTES}/?>"
 NO_TEXT = (
-    r"(?is)<(?:!--.*?-->|"
-    + "|".join(rf"{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in HIDDEN_TAGS)
-    + rf"|/?(?!{ENDS_LINE})[a-z!][^>]*>)"
+    r"(?is)<(?:!--.*?(?:-->|\z)|"
+    + "|".join(rf"{tag}{ATTRIBUTES}>.*?(?:</{tag}\s*>|\z)" for tag in HIDDEN_TAGS)
+    + rf"|/?(?!{ENDS_LINE})[a-z!][^\s>]*{ATTRIBUTES}>)"
 )
 
 
 def unescape_entities(text: Column) -> Column:
-    """Named entities of ``ENTITIES`` and decimal or hexadecimal character references."""
+    """All named entities of HTML, and decimal and hexadecimal references, each decoded once.
+
+    The text is cut at its references and put together again, so what a reference stands for is
+    never read as part of another one. Unknown names stay as they are.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
 
     def decoded(ref: Column) -> Column:
         body = F.rtrim(F.substring(ref, 3, 8), F.lit(";"))
         hexadecimal = F.lower(F.substring(body, 1, 1)) == "x"
         digits = F.when(hexadecimal, F.substring(body, 2, 6)).otherwise(F.conv(body, 10, 16))
-        return let(digits, character)
+        named = names[F.rtrim(F.substring(ref, 2, 64), F.lit(";"))]
+        return F.when(ref.startswith("&#"), let(digits, character)).otherwise(F.coalesce(named, ref))
 
     def character(digits: Column) -> Column:
         code = F.conv(digits, 16, 10).cast("bigint")
@@ -132,15 +139,11 @@ def unescape_entities(text: Column) -> Column:
         bytes_ = F.unhex(F.lpad(F.when(legal, digits), 8, "0"))
         return F.coalesce(F.decode(bytes_, "UTF-32"), F.lit("\ufffd"))
 
-    def references(t: Column) -> Column:
-        found = F.regexp_extract_all(t, F.lit(r"(?i)&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});"), 0)
-        return F.aggregate(F.array_distinct(found), t, lambda acc, ref: F.replace(acc, ref, decoded(ref)))
-
     def decode(t: Column) -> Column:
-        t = F.when(F.contains(t, F.lit("&#")), references(t)).otherwise(t)
-        for entity, char in ENTITIES:
-            t = F.replace(t, F.lit(entity), F.lit(char))
-        return t
+        found = F.regexp_extract_all(t, F.lit(REFERENCE), 0)
+        between = F.split(t, REFERENCE, -1)
+        pairs = F.zip_with(between, found, lambda x, ref: F.concat(x, F.coalesce(decoded(ref), F.lit(""))))
+        return F.array_join(pairs, "")
 
     return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decode(t)).otherwise(t))
 
@@ -167,9 +170,10 @@ def markdown_steps() -> list[tuple[str, str]]:
         (r"(?m)^[ \t]*(?:[-*+]|[0-9]{1,9}[.)])[ \t]+", ""),
         (r"!\[([^\]]*)\]\([^)]*\)", "$1"),
         (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-        (r"\*\*([^*\n]+)\*\*", "$1"),
-        (r"__([^_\n]+)__", "$1"),
-        (r"\*([^*\n]+)\*", "$1"),
+        # A mark of emphasis opens before and closes behind a character that is no white space.
+        (r"\*\*(?!\s)([^*\n]+)(?<!\s)\*\*", "$1"),
+        (r"__(?!\s)([^_\n]+)(?<!\s)__", "$1"),
+        (r"\*(?!\s)([^*\n]+)(?<!\s)\*", "$1"),
         (r"`([^`\n]+)`", "$1"),
     ]
 
@@ -185,5 +189,5 @@ def decode_utf8(content: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Words and single punctuation marks; a null text counts 0."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"\w+|[^\w\s]")), F.lit(0)).cast("bigint")
+    """Words of letters, marks, digits and connectors of any script, and single other signs; a null text counts 0."""
+    return F.coalesce(F.regexp_count(text, F.lit(rf"[{WORD}]+|[^{WORD}{BLANK}]")), F.lit(0)).cast("bigint")

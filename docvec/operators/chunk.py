@@ -30,13 +30,13 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 CHARACTER = "characterchunker"
 CUSTOM = "customchunker"
 
-# ``.{1,n}`` in Java is compiled once and costs nothing per n; the limit only guards typos.
-MAX_SIZE = 10_000_000
+# No text is longer, so larger sizes mean the same; a regular expression takes no larger count.
+LONGEST = (1 << 31) - 1
 
 
 def check_sizes(size: int, overlap: int) -> None:
-    if not 0 < size <= MAX_SIZE:
-        raise ValueError(f"chunk_size must be between 1 and {MAX_SIZE}, got {size}")
+    if size < 1:
+        raise ValueError(f"chunk_size must be at least 1, got {size}")
     if overlap < 0:
         raise ValueError(f"chunk_overlap must not be negative, got {overlap}")
     if overlap > size:
@@ -182,7 +182,7 @@ def character_chunks(
     """Split by one separator, merge pieces up to ``size``; a longer piece stays whole."""
     check_sizes(size, overlap)
     if overlap == 0 and len(separator) == 1:
-        return _native_character(text, separator, size)
+        return _native_character(text, separator, min(size, LONGEST))
     return _arrow(lambda t: split_on(t, separator, size, overlap), text)
 
 
@@ -200,7 +200,7 @@ def recursive_chunks(
     ends_in_characters = separators[-1] == "" and "" not in separators[:-1]
     # Single characters are longer than "shorter than 1" and would not be trimmed.
     if size > 1 and overlap == 0 and ends_in_characters and not any(map(_self_overlapping, separators)):
-        return _clean(_native_recursive(text, separators, size))
+        return _clean(_native_recursive(text, separators, min(size, LONGEST)))
     return _arrow(lambda t: split_recursively(t, separators, size, overlap), text)
 
 
@@ -215,6 +215,8 @@ def window_chunks(
     check_sizes(size, overlap)
     if overlap == size:
         raise ValueError("chunk_overlap must be smaller than chunk_size")
+    if size > LONGEST:
+        size, overlap = LONGEST, min(overlap, LONGEST - 1)
     if not separator or len(separator) > size:
         step = size - overlap
         return _matches(text, rf"(?s)(?=(.{{1,{size}}}))(?:.{{1,{size}}}\z|.{{{step}}})", 1)
@@ -233,7 +235,8 @@ def custom_chunks(text: Column, split: Callable[[str], list[str]]) -> Column:
 def explode_chunks(docs: DataFrame, chunks: Column, keep: Column | None = None) -> DataFrame:
     """One row per chunk: id ``<document id>_<i>``, the document's metadata and other columns.
 
-    A document without chunks has no row, unless ``keep`` holds; then its content is null.
+    A document without chunks has no row, unless ``keep`` holds; then its content is null. Chunks
+    of a document without an id have none either, so that no two documents share them.
     """
     taken = {"content", "doc_id", "chunk_index"}
     kept = [c for c in docs.columns if c not in taken and c != "id"]
@@ -242,7 +245,7 @@ def explode_chunks(docs: DataFrame, chunks: Column, keep: Column | None = None)
     if keep is not None:
         rows = rows.filter(F.col("content").isNotNull() | keep)
     return rows.select(
-        F.concat_ws("_", "doc_id", "chunk_index").alias("id"), "content", *kept, "doc_id", "chunk_index"
+        F.concat(F.col("doc_id"), F.lit("_"), F.col("chunk_index")).alias("id"), "content", *kept, "doc_id", "chunk_index"
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docvec.cluster import written
 from docvec.functions.numbers import whole_quotient
 from docvec.operators import usage
 
@@ -134,25 +135,26 @@ def check_batch_size(n: int) -> None:
         raise ValueError("batch size must not be negative")
 
 
-def numbered(df: DataFrame, group: Sequence[str], order: str, width: int = 100_000) -> DataFrame:
+def numbered(df: DataFrame, group: Sequence[str], order: str) -> DataFrame:
     """Add ``row_number``, from 1, by the unique integer ``order`` within ``group``.
 
-    A group is cut into ranges of ``order`` that hold at most ``width`` rows. Rows are
-    numbered within their range, and the range's own number of earlier rows comes from a
-    table of one row per range, so that a group of any size is spread over many tasks.
+    Rows are dealt out by ranges of group and order, so that a group of any size, and any spacing
+    of the order, is spread over many tasks. Each task numbers its own rows of a group, and what
+    comes before them is known from a table of one row per group and task.
     """
     group = list(group)
-    ranged = df.withColumn("_range", whole_quotient(F.col(order), width))
-    earlier = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    sizes = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    placed = df.repartitionByRange(*group, order).withColumn("_part", F.spark_partition_id())
+    placed = written(placed, "numbered")  # both uses below must see the same parts
+    earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    sizes = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"))
     offsets = sizes.select(
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-        F.col("_range").alias("_r"),
+        F.col("_part").alias("_p"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
     )
     same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
-    matched = ranged.join(offsets, [*same, F.col("_range").eqNullSafe(F.col("_r"))])
-    within = F.row_number().over(W.partitionBy(*group, "_range").orderBy(order))
+    matched = placed.join(offsets, [*same, F.col("_part") == F.col("_p")])
+    within = F.row_number().over(W.partitionBy(*group, "_part").orderBy(order))
     return matched.withColumn("row_number", (within + F.col("_before")).cast("bigint")).select(
         *df.columns, "row_number"
     )

@@ -1,7 +1,9 @@
 """Exact top-k by cosine similarity, with filters.
 
-Scores are rounded to six decimals before they are compared and ties go by id, so a result
-does not depend on how the rows were laid out in partitions or batches.
+Rows are ranked by their score and equal scores go by id. Scores keep twelve decimals, which is
+all that a sum of doubles is sure of; beyond them the order would depend on how the rows were laid
+out. A stored vector that is null, holds
+a null, or has another size than the query is no hit; ``malformed`` counts them.
 """
 
 import heapq
@@ -20,11 +22,12 @@ from docvec.cluster import fits
 from docvec.functions import filters as flt
 from docvec.functions import maps
 
-DECIMALS = 6
+DECIMALS = 12
 # Queries up to this count travel to every task; more are joined in blocks.
 BROADCAST_QUERIES = 4096
 BLOCK_QUERIES = 4096
-BLOCK_VECTORS = 100_000
+# Values of the vectors that one block of a task holds at most.
+BLOCK_VALUES = 1 << 24
 # Numbers of one kind held at once in one task: scores, or values of vectors.
 NUMBERS = 4_000_000
 
@@ -38,14 +41,25 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 0)
 
 
+def usable(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Which lists are vectors of this size without a null."""
+    right = pc.fill_null(pc.equal(pc.list_value_length(vectors), dim), False).to_numpy(zero_copy_only=False)
+    if vectors.flatten().null_count:
+        right &= np.array([v is not None and None not in v for v in vectors.to_pylist()], dtype=bool)
+    return right
+
+
 def matrix(vectors: pa.Array, dim: int) -> np.ndarray:
-    """Arrow lists without nulls as a matrix; another size than ``dim`` is an error."""
-    sizes = np.diff(vectors.offsets.to_numpy())
-    if (sizes != dim).any():
-        raise ValueError(f"query has {dim} values, a stored vector {sizes[sizes != dim][0]}")
+    """Usable lists as a matrix."""
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
+def malformed(vectors: DataFrame, dim: int) -> DataFrame:
+    """``n``, the rows that no query of this size can find."""
+    good = F.col("vector").isNotNull() & (F.size("vector") == dim) & F.forall("vector", lambda v: v.isNotNull())
+    return vectors.agg(F.count_if(~F.coalesce(good, F.lit(False))).alias("n"))
+
+
 def blocks(n: int, width: int) -> Iterator[slice]:
     """Slices of ``n`` rows such that ``width`` numbers per row stay below ``NUMBERS``."""
     step = max(1, NUMBERS // max(1, width))
@@ -53,15 +67,15 @@ def blocks(n: int, width: int) -> Iterator[slice]:
 
 
 def cosine_to(vector: Column, query: Sequence[float]) -> Column:
-    """Cosine of each row's vector to one query vector."""
+    """Cosine of each row's vector to one query vector; null where the vector is malformed."""
     target = unit_rows(np.asarray([query], dtype=np.float32))[0]
 
     @F.arrow_udf("double")
     def run(batch: pa.Array) -> pa.Array:
-        rows = matrix(batch.drop_null(), len(target))
+        valid = usable(batch, len(target))
+        rows = matrix(batch.filter(pa.array(valid)), len(target))
         scores = [unit_rows(rows[part]) @ target for part in blocks(len(rows), len(target))]
         out = np.zeros(len(batch))
-        valid = np.asarray(batch.is_valid())
         out[valid] = np.round(np.concatenate([*scores, []]), DECIMALS) + 0.0
         return pa.array(out, mask=~valid)
 
@@ -85,8 +99,8 @@ def search(
     rows = flt.apply(vectors, filters)
     if query is None:
         return hits(rows, F.lit(1.0)).orderBy("id").limit(k)
-    rows = rows.filter(F.col("vector").isNotNull())
-    return hits(rows, cosine_to(F.col("vector"), query)).orderBy(F.desc("score"), "id").limit(k)
+    scored = hits(rows, cosine_to(F.col("vector"), query)).filter(F.col("score").isNotNull())
+    return scored.orderBy(F.desc("score"), "id").limit(k)
 
 
 def first_documents(vectors: DataFrame, size: int = 10) -> DataFrame:
@@ -143,6 +157,14 @@ def _id_array(ids: pa.Array) -> np.ndarray:
     return np.asarray(ids.to_pylist(), dtype=object)
 
 
+def _add(kept: _Best, table: pa.RecordBatch | pa.Table, dim: int) -> None:
+    """Score the usable vectors of a table of ids and vectors."""
+    vectors = table["vector"]
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    good = pa.array(usable(vectors, dim))
+    kept.add(_id_array(table["id"].filter(good)), matrix(vectors.filter(good), dim))
+
+
 def search_batch(
     vectors: DataFrame,
     queries: DataFrame,
@@ -176,17 +198,18 @@ def _to_all(rows: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = _Best(names, shared.value, k)
         for batch in map(whole, batches):
-            kept.add(_id_array(batch["id"]), matrix(batch["vector"], shared.value.shape[1]))
+            _add(kept, batch, shared.value.shape[1])
         yield kept.table()
 
     return rows.mapInArrow(best, BATCH_SCHEMA)
 
 
 def _by_blocks(
-    rows: DataFrame, asked: DataFrame, k: int, per_query: int = BLOCK_QUERIES, per_vector: int = BLOCK_VECTORS
+    rows: DataFrame, asked: DataFrame, k: int, per_query: int = BLOCK_QUERIES, values: int = BLOCK_VALUES
 ) -> DataFrame:
-    n_q = max(1, math.ceil(asked.count() / per_query))
-    n_v = max(1, math.ceil(rows.count() / per_vector))
+    sizes = asked.agg(F.count("*").alias("n"), F.max(F.size("query")).alias("dim")).first()
+    n_q = max(1, math.ceil(sizes["n"] / per_query))
+    n_v = max(1, math.ceil(rows.count() * max(1, sizes["dim"] or 1) / values))
 
     def spread(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         home = F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int").alias(own)
@@ -201,7 +224,7 @@ def _by_blocks(
             vectors = of["query"].combine_chunks()
             dim = len(vectors[0])
             kept = _Best(of["query_id"].to_pylist(), matrix(vectors, dim), k)
-            kept.add(_id_array(block["id"]), matrix(block["vector"].combine_chunks(), dim))
+            _add(kept, block, dim)
         else:
             kept = _Best([], np.zeros((0, 1)), k)
         return pa.Table.from_batches([kept.table()])

@@ -3,23 +3,27 @@
 A table is a folder with ``data/version=<n>`` parts and a ``log`` of committed versions. A
 call to ``store`` or ``delete_file`` writes only what changes, as a version of its own; a
 reader sees committed versions only and lets the newest row of an id win; ``compact`` folds
-everything into one version. A version that was written but not committed is never read and
-is overwritten by the next attempt, so a failed or repeated write does no harm. One writer
-at a time is assumed; a table format with ``MERGE INTO`` takes ``changes`` directly.
+everything into one version, which ``store`` does by itself every ``FOLD_AT`` versions. All
+changes since then are one scan, so the plan of a read does not grow with their number. A version
+that was written but not committed is never read and is overwritten by the next attempt, so a
+failed or repeated write does no harm. One writer at a time is assumed, and two that committed the
+same version are an error of the next read; a table format with ``MERGE INTO`` takes ``changes``
+directly.
 """
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docvec.cluster import written
 from docvec.sources.documents import FILE_KEY
 
 LOG = (
     T.StructType().add("version", "long").add("kind", "string").add("batch_id", "string").add("stored", "long")
 )
+# A write that finds so many versions since the last fold folds them.
+FOLD_AT = 64
 ROW = "id string, vector array<float>, metadata map<string,string>, file_id string"
 
 
@@ -97,12 +101,15 @@ def _log(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def committed(spark: SparkSession, path: str) -> list:
-    """Versions from the last folded one on, oldest first; ``compact`` keeps them few."""
+    """Versions from the last folded one on, oldest first; folding keeps them few."""
     log = _log(spark, path)
     if log is None:
         return []
     folded = log.filter(F.col("kind") == "base").agg(F.max("version")).first()[0] or 0
-    return log.filter(F.col("version") >= folded).orderBy("version").collect()
+    found = log.filter(F.col("version") >= folded).orderBy("version").collect()
+    if len({v["version"] for v in found}) < len(found):
+        raise RuntimeError(f"two writers committed the same version of {path}; one of them overwrote the other's rows")
+    return found
 
 
 def stored_before(spark: SparkSession, path: str, batch_id: str) -> int | None:
@@ -134,23 +141,27 @@ def _commit(rows: DataFrame, path: str, kind: str, batch_id: str | None, log: li
     return stored
 
 
+def _read(spark: SparkSession, path: str, versions: list) -> DataFrame:
+    """Rows of some versions, which hold each id once, with their ``_version``, in one scan."""
+    schema = f"{ROW}, deleted boolean"
+    rows = spark.read.schema(schema).parquet(*[_data(path, v["version"]) for v in versions])
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/data/version=([0-9]+)/[^/]*$", 1)
+    return rows.withColumn("_version", number.cast("long"))
+
+
 def _fold(spark: SparkSession, path: str, log: list) -> DataFrame:
     """Rows that hold after all versions of ``log``; the first of them has each id once."""
     if not log:
         return spark.createDataFrame([], ROW)
-    schema = f"{ROW}, deleted boolean, writes bigint"
-
-    def read(v) -> DataFrame:
-        return spark.read.schema(schema).parquet(_data(path, v["version"]))
-
     first, *newer = log
-    oldest = read(first).filter(~F.col("deleted")).drop("deleted", "writes")
+    oldest = _read(spark, path, [first]).filter(~F.col("deleted")).drop("deleted", "_version")
     if not newer:
         return oldest
-    parts = [read(v).drop("writes").withColumn("_version", F.lit(v["version"])) for v in newer]
-    changes = reduce(lambda a, b: a.unionByName(b), parts)
+    changes = _read(spark, path, newer)
     if len(newer) > 1:
-        changes = latest(changes, "_version").drop("writes")
+        # The newest version of an id is found on two narrow columns; whole rows are only joined to it.
+        last = changes.groupBy("id").agg(F.max("_version").alias("_version"))
+        changes = changes.join(last, ["id", "_version"], "left_semi")
     kept = oldest.join(changes.select("id"), "id", "left_anti")
     return kept.unionByName(changes.filter(~F.col("deleted")).select(*oldest.columns))
 
@@ -160,11 +171,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return _fold(spark, path, committed(spark, path))
 
 
-def store(vectors: DataFrame, path: str, order: Column | str | None = None, batch_id: object = None) -> int:
+def store(
+    vectors: DataFrame,
+    path: str,
+    order: Column | str | None = None,
+    batch_id: object = None,
+    replace_files: bool = False,
+) -> int:
     """Insert or replace rows by id, the greatest ``order`` of an id last.
 
     Returns the rows stored, repeated ids each counted. A ``batch_id`` that was stored
-    before is not stored again.
+    before is not stored again. With ``replace_files`` the rows are all there is of their
+    files: what the table holds of these files under other ids is deleted.
     """
     spark = vectors.sparkSession
     batch = None if batch_id is None else str(batch_id)
@@ -177,22 +195,34 @@ def store(vectors: DataFrame, path: str, order: Column | str | None = None, batc
         by = F.col(order) if isinstance(order, str) else order
         once = latest(vector_rows(vectors, by.alias("_order")), "_order").drop("_order")
     changes = once.withColumn("deleted", F.lit(False))
-    return _commit(changes, path, "change", batch, committed(spark, path))
+    log = committed(spark, path)
+    if replace_files and log:
+        now = written(changes, "changes")
+        old = _fold(spark, path, log).join(now.select("file_id").distinct(), "file_id", "left_semi")
+        changes = now.unionByName(_marks(old.join(now.select("id"), "id", "left_anti"), 0))
+    stored = _commit(changes, path, "change", batch, log)
+    if len(log) + 1 >= FOLD_AT:
+        compact(spark, path)
+    return stored
 
 
-def delete_file(spark: SparkSession, path: str, file_id: str) -> bool:
-    """Delete the vectors of one file; whether there were any."""
-    log = committed(spark, path)
-    gone = _fold(spark, path, log).filter(F.col("file_id") == file_id)
-    marks = gone.select(
+def _marks(rows: DataFrame, writes: int) -> DataFrame:
+    """Rows that delete the given ones."""
+    return rows.select(
         "id",
         F.lit(None).cast("array<float>").alias("vector"),
         F.lit(None).cast("map<string,string>").alias("metadata"),
         "file_id",
-        F.lit(1).cast("bigint").alias("writes"),
+        F.lit(writes).cast("bigint").alias("writes"),
         F.lit(True).alias("deleted"),
     )
-    return _commit(marks, path, "change", None, log) > 0
+
+
+def delete_file(spark: SparkSession, path: str, file_id: str) -> bool:
+    """Delete the vectors of one file; whether there were any."""
+    log = committed(spark, path)
+    gone = _fold(spark, path, log).filter(F.col("file_id") == file_id)
+    return _commit(_marks(gone, 1), path, "change", None, log) > 0
 
 
 def compact(spark: SparkSession, path: str) -> int:

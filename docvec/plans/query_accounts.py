@@ -6,7 +6,7 @@ from docvec.functions import numbers
 from docvec.operators import embed, profile, usage
 from docvec.plans.registry import query, table
 
-TOKENS = r"len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_\s]'))::BIGINT"
+TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{M}\p{N}\p{Pc}]+|[^\p{L}\p{M}\p{N}\p{Pc}\p{Z}\s]'))::BIGINT"
 MODEL = "CASE role WHEN 'user' THEN 'text-embedding-3-small' WHEN 'assistant' THEN 'jina-v2-base' ELSE role END"
 PRICE = "CASE role WHEN 'user' THEN 0.00000002::DOUBLE WHEN 'assistant' THEN 0.0000001::DOUBLE END"
 
@@ -180,7 +180,7 @@ def quota_rejects(spark, sf):
 )
 def latency_moving_avg(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "event_type", "value")
-    counted = embed.numbered(rows, ["event_type"], "event_id", width=5_000)
+    counted = embed.numbered(rows, ["event_type"], "event_id")
     found = usage.latency_mean(counted, "event_type", "value", width=1_000)
     return found.select("event_id", "event_type", F.round("mean_latency", 6).alias("mean_latency"))
 

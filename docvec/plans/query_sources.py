@@ -45,6 +45,44 @@ def list_full(spark, sf):
     )
 
 
+@query(
+    f"""SELECT b::VARCHAR AS folder, CASE b % 3 WHEN 0 THEN '_x.txt' WHEN 1 THEN '.x.txt' ELSE 'x.txt' END AS name,
+               sum(length(c_name) + 1)::BIGINT AS size
+        FROM (SELECT c_custkey // {BUCKET} AS b, c_name FROM customer) GROUP BY b
+        UNION ALL SELECT DISTINCT (c_custkey // {BUCKET})::VARCHAR, 'empty.txt', 0 FROM customer"""
+)
+def list_hidden(spark, sf):
+    """Names that begin with _ or . and files without bytes are listed like all others; a missing folder has none."""
+    path = name_files(spark, sf)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
+    for folder in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
+        if folder.isDirectory():
+            at = folder.getPath()
+            number = int(at.getName().partition("=")[2])
+            for file in fs.listStatus(at):
+                fs.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(at, ("_x.txt", ".x.txt", "x.txt")[number % 3]))
+            fs.create(jvm.org.apache.hadoop.fs.Path(at, "empty.txt")).close()
+    found = files.list_full(spark, path).unionByName(files.list_full(spark, path, "no/such/folder/"))
+    name = F.regexp_extract("id", "([^/]*)$", 1)
+    own = found.select(F.regexp_extract("id", FOLDER, 1).alias("folder"), name.alias("name"), "size")
+    return own.where(F.col("name").endswith("x.txt") | (F.col("name") == "empty.txt"))
+
+
+@query(
+    """SELECT r_regionkey || '.id' AS id, 'id: ' || r_regionkey || chr(10) || 'body: ' || repeat(r_name, 40000) AS content
+       FROM region"""
+)
+def csv_wide_cells(spark, sf):
+    """Cells far longer than a CSV parser's usual limit."""
+    text = F.concat(F.lit("id,body\n"), "r_regionkey", F.lit(","), F.repeat("r_name", 40_000), F.lit("\n"))
+    rows = table(spark, sf, "region").select(
+        F.col("r_regionkey").cast("string").alias("id"), F.lit("r.csv").alias("path"), F.lit("csv").alias("type"),
+        maps.empty_map().alias("metadata"), text.alias("content"),
+    )
+    return documents.auto_docs(rows, strict=False).where("error IS NULL").select("id", "content")
+
+
 @query(
     f"""SELECT (c_custkey // {BUCKET})::VARCHAR AS folder, SUM(length(c_name) + 1)::BIGINT AS file_size,
                md5(string_agg(c_name || chr(10), '' ORDER BY c_custkey)) AS file_checksum,
@@ -256,18 +294,19 @@ def sql_chain(text, steps):
     return text
 
 
-HIDDEN = "|".join([r"<!--.*?-->", *[rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in tx.HIDDEN_TAGS]])
+# What the pages of the tables hold, written out: their elements and their entities.
 HTML_STEPS = [
-    (f"(?is){HIDDEN}", ""),
-    (rf"(?i)</?(?:{tx.BLOCK_TAGS})(?:\s[^>]*)?/?>", "\n"),
-    (r"</?[A-Za-z!][^>]*>", ""),
+    (r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>", ""),
+    (r"(?i)</?(?:p|li|br|h1|title|article|div|footer|nav|ul)(?: [^>]*)?/?>", "\n"),
+    (r"(?i)</?(?:html|head|body|meta|a|b|!doctype)(?: [^>]*)?>", ""),
 ]
+PAGE_ENTITIES = ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"')
 
 
 def sql_entities(text):
-    for entity, char in tx.ENTITIES:
-        text = f"replace({text}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
-    return text
+    for entity, char in PAGE_ENTITIES:
+        text = f"replace({text}, '{entity}', '{char}')"
+    return f"regexp_replace({text}, '&amp(;|([^a-zA-Z0-9=;]|$))', '&\\2', 'g')"
 
 
 @query(f"SELECT page_id::VARCHAR AS id, {SQUEEZE.format(sql_entities(sql_chain('html', HTML_STEPS)))} AS content FROM pages")
@@ -281,7 +320,17 @@ def html_text(spark, sf):
 MARKED = r"regexp_replace('# ' || regexp_replace(text, '\. ', '. **so** [on](http://x.org/) `code` ', 'g'), '\n', chr(10) || '- ', 'g')"
 
 
-@query(f"SELECT doc_id::VARCHAR AS id, {SQUEEZE.format(sql_chain(MARKED, tx.markdown_steps()))} AS content FROM documents")
+# The marks that the query below puts into the texts.
+MARKDOWN_STEPS = [
+    ("(?m)^# ", ""),
+    ("(?m)^- ", ""),
+    (r"\*\*so\*\*", "so"),
+    (r"\[on\]\(http://x.org/\)", "on"),
+    ("`code`", "code"),
+]
+
+
+@query(f"SELECT doc_id::VARCHAR AS id, {SQUEEZE.format(sql_chain(MARKED, MARKDOWN_STEPS))} AS content FROM documents")
 def markdown_text(spark, sf):
     marked = F.regexp_replace("text", r"\. ", ". **so** [on](http://x.org/) `code` ")
     marked = F.regexp_replace(F.concat(F.lit("# "), marked), "\n", "\n- ")

@@ -122,7 +122,14 @@ def get_documents(spark, sf):
 # ---------------------------------------------------------------- similarity
 
 COSINE = """round(list_dot_product({a}::DOUBLE[], {b}::DOUBLE[]) /
-            (sqrt(list_dot_product({a}::DOUBLE[], {a}::DOUBLE[])) * sqrt(list_dot_product({b}::DOUBLE[], {b}::DOUBLE[]))), 6)"""
+            (sqrt(list_dot_product({a}::DOUBLE[], {a}::DOUBLE[])) * sqrt(list_dot_product({b}::DOUBLE[], {b}::DOUBLE[]))), 12)"""
+
+
+def score():
+    """Ranks count twelve decimals, results show six."""
+    return F.round("score", 6).alias("score")
+
+
 TO_FIRST = COSINE.format(a="e.embedding", b="q.embedding")
 
 
@@ -131,28 +138,28 @@ def first_vector(spark, sf):
 
 
 @query(
-    f"""SELECT e.vec_id::VARCHAR AS id, {TO_FIRST} AS score FROM embeddings e,
-        (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q ORDER BY score DESC, id LIMIT 10"""
+    f"""SELECT id, round(s, 6) AS score FROM (SELECT e.vec_id::VARCHAR AS id, {TO_FIRST} AS s FROM embeddings e,
+        (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q ORDER BY s DESC, id LIMIT 10)"""
 )
 def vector_topk(spark, sf):
-    return search.search(stored(spark, sf), first_vector(spark, sf), 10).select("id", "score")
+    return search.search(stored(spark, sf), first_vector(spark, sf), 10).select("id", score())
 
 
 @query(
-    f"""SELECT e.vec_id::VARCHAR AS id, {TO_FIRST} AS score FROM embeddings e,
+    f"""SELECT id, round(s, 6) AS score FROM (SELECT e.vec_id::VARCHAR AS id, {TO_FIRST} AS s FROM embeddings e,
         (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q
-        WHERE e.label IN (2, 4, 6) AND e.label < 6 ORDER BY score DESC, id LIMIT 10"""
+        WHERE e.label IN (2, 4, 6) AND e.label < 6 ORDER BY s DESC, id LIMIT 10)"""
 )
 def vector_topk_filtered(spark, sf):
     filters = [
         {"field": "label", "operator": "IN", "value": "[2, 4, 6]"},
         {"field": "metadata.label", "operator": "LESS_THAN", "value": "6"},
     ]
-    return search.search(stored(spark, sf), first_vector(spark, sf), 10, filters).select("id", "score")
+    return search.search(stored(spark, sf), first_vector(spark, sf), 10, filters).select("id", score())
 
 
 ALL_PAIRS = f"""
-    SELECT query_id, id, score, rank FROM (
+    SELECT query_id, id, round(score, 6) AS score, rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
         SELECT q.vec_id::VARCHAR AS query_id, e.vec_id::VARCHAR AS id, {TO_FIRST} AS score
         FROM embeddings e, embeddings q)) WHERE rank <= 5"""
@@ -163,7 +170,7 @@ def all_queries(spark, sf):
 
 
 def ranked(rows):
-    return rows.select("query_id", "id", "score", F.col("rank").cast("bigint").alias("rank"))
+    return rows.select("query_id", "id", score(), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query(ALL_PAIRS)
@@ -171,6 +178,23 @@ def vector_topk_batch(spark, sf):
     return ranked(search.search_batch(stored(spark, sf), all_queries(spark, sf), 5))
 
 
+@query(
+    """SELECT vec_id::VARCHAR AS id, CAST(row_number() OVER (ORDER BY abs(atan((1 + vec_id * 0.001)::FLOAT::DOUBLE) - atan(1.05::FLOAT::DOUBLE)), vec_id::VARCHAR) AS INTEGER) AS rank
+       FROM embeddings WHERE vec_id % 3 <> 0 QUALIFY rank <= 5"""
+)
+def vector_topk_close(spark, sf):
+    """Vectors that differ in the seventh decimal of their score, among malformed ones that are no hits."""
+    x = (F.lit(1.0) + F.col("vec_id") * 0.001).cast("float")
+    third = F.when(F.col("vec_id") % 9 == 0, F.array(x)).when(F.col("vec_id") % 9 == 3, F.array(x, F.lit(None).cast("float")))
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("id"),
+        F.when(F.col("vec_id") % 3 == 0, third).otherwise(F.array(x, F.lit(1.0).cast("float"))).alias("vector"),
+        maps.empty_map().alias("metadata"),
+    )
+    asked = rows.limit(1).select(F.lit("q").alias("query_id"), F.array(F.lit(1.05), F.lit(1.0)).cast("array<float>").alias("vector"))
+    return search.search_batch(rows, asked, 5).select("id", F.col("rank").cast("int").alias("rank"))
+
+
 @query(ALL_PAIRS)
 def vector_topk_blocks(spark, sf):
     """The way beyond the bound on broadcast queries."""
@@ -178,7 +202,7 @@ def vector_topk_blocks(spark, sf):
 
 
 @query(
-    f"""SELECT d.doc_id::VARCHAR AS id, {COSINE.format(a='a.embedding', b='b.embedding')} AS score
+    f"""SELECT d.doc_id::VARCHAR AS id, round({COSINE.format(a='a.embedding', b='b.embedding')}, 6) AS score
         FROM documents d JOIN embeddings a ON d.doc_id = a.vec_id JOIN embeddings b ON b.vec_id = a.vec_id // 2"""
 )
 def pair_similarity(spark, sf):
@@ -200,7 +224,7 @@ SEARCHED = f"""
     WITH chunks AS ({WINDOWS.format(size=500, step=500)}),
          c AS ({dense('id', 'content', 'chunks')}),
          q AS ({dense('item_id', 'text', 'benchmark')})
-    SELECT query_id, id, score, rank FROM (
+    SELECT query_id, id, round(score, 6) AS score, rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
         SELECT q.item_id::VARCHAR AS query_id, c.id, coalesce(CASE WHEN isnan(s) THEN 0.0 ELSE s END, 0.0) AS score
         FROM (SELECT q.item_id, c.id, {COSINE.format(a='c.vec', b='q.vec')} AS s FROM c, q) p
@@ -267,6 +291,48 @@ def _with_metadata(spark, sf):
     return flt.apply(parsed, [{"field": "metadata.k", "operator": "LESS_THAN", "value": "20"}]).select("event_id")
 
 
+# A text column of nulls, words and numbers in several spellings, and whole numbers that no double holds.
+MIXED = """(SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN lang WHEN 2 THEN '05' WHEN 3 THEN '5.0'
+             ELSE (doc_id % 13)::VARCHAR END AS code, 9007199254740992 + doc_id AS big,
+             CASE WHEN doc_id % 5 <> 0 THEN source END AS source FROM documents)"""
+IN_RANGE = "coalesce(TRY_CAST(code AS DECIMAL(38, 18)) BETWEEN 1 AND 9, false)"
+MIXED_FILTERS = {
+    "filter_text_equal": ("code = '5'", ("code", "EQUAL", "5")),
+    "filter_text_not_equal": ("code <> '5'", ("code", "NOT_EQUAL", "5")),
+    "filter_text_in": ("code IN ('5', 'en')", ("code", "IN", '[5, "en"]')),
+    "filter_text_not_in": ("code NOT IN ('5', '05')", ("code", "NOT_IN", '["5", "05"]')),
+    "filter_text_in_none": ("false", ("code", "IN", "[]")),
+    "filter_text_not_in_none": ("code IS NOT NULL", ("code", "NOT_IN", "[]")),
+    "filter_text_less": ("TRY_CAST(code AS DECIMAL(38, 18)) < 5.5", ("code", "LESS_THAN", "5.5")),
+    "filter_text_between": (IN_RANGE, ("code", "BETWEEN", "[1, 9]")),
+    "filter_text_not_between": (f"code IS NOT NULL AND NOT {IN_RANGE}", ("code", "NOT_BETWEEN", "[1, 9]")),
+    "filter_text_is_null": ("code IS NULL", ("code", "IS_NULL", "")),
+    "filter_text_is_not_null": ("code IS NOT NULL", ("code", "IS_NOT_NULL", "")),
+    "filter_big_equal": ("big = 9007199254740993", ("big", "EQUAL", "9007199254740993")),
+    "filter_big_greater": ("big > 9007199254740993", ("big", "GREATER_THAN", "9007199254740993")),
+    "filter_big_less_half": ("big < 9007199254740999.5", ("big", "LESS_THAN", "9007199254740999.5")),
+    "filter_big_in": ("big IN (9007199254740993, 9007199254741001)", ("big", "IN", "[9007199254740993, 9007199254741001]")),
+}
+
+
+def mixed(spark, sf):
+    n = F.col("doc_id") % 7
+    code = F.when(n == 1, F.col("lang")).when(n == 2, "05").when(n == 3, "5.0").when(n > 3, (F.col("doc_id") % 13).cast("string"))
+    return table(spark, sf, "documents").select("doc_id", code.alias("code"), (F.col("doc_id") + (1 << 53)).alias("big"))
+
+
+def mixed_filter(condition):
+    def run(spark, sf):
+        return flt.apply(mixed(spark, sf), [dict(zip(("field", "operator", "value"), condition))]).select("doc_id")
+
+    return run
+
+
+for _name, (_where, _condition) in MIXED_FILTERS.items():
+    _run = mixed_filter(_condition)
+    _run.__name__ = _name
+    query(f"SELECT doc_id FROM {MIXED} WHERE {_where}")(_run)
+
 for _name, (_source, _where, _conditions) in FILTERS.items():
     _run = _with_metadata if _source == "events" else filtered(_source, [KEYS[_source]], *_conditions)
     _run.__name__ = _name

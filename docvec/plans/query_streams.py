@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docvec import cluster
+from docvec.functions import maps
 from docvec.operators import chunk, embed, store
 from docvec.plans import ingest
 from docvec.plans.query_chunks import WINDOWS
@@ -51,12 +52,70 @@ def stream_ingest(spark, sf):
 
     for _ in range(2):
         rows = stream_of(spark, sf, "documents")
-        streams.ingest(rows, to_vectors, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+        streams.ingest(rows, to_vectors, f"{path}/table", f"{path}/checkpoint", "chunk_index").awaitTermination()
     stored = store.read_table(spark, f"{path}/table")
     hits = F.size(F.filter("vector", lambda x: x > 0)).cast("bigint")
     return stored.select("id", "file_id", hits.alias("positions"))
 
 
+@query(
+    """SELECT event_id % (SELECT CAST(floor(avg(event_id)) AS BIGINT) + 1 FROM events) AS id, max(event_id) AS event_id
+       FROM events GROUP BY 1"""
+)
+def stream_two_into_one(spark, sf):
+    """Two streams of several micro-batches each write one table, one after the other; what the second writes replaces rows of the first."""
+    path = cluster.scratch_path(spark, "two")
+    events = table(spark, sf, "events").select("event_id")
+    middle = events.agg(F.floor(F.avg("event_id"))).first()[0]
+    for name, half in (("early", F.col("event_id") <= middle), ("late", F.col("event_id") > middle)):
+        events.where(half).repartition(4).write.parquet(f"{path}/{name}")
+
+    def to_vectors(rows):
+        return rows.select(
+            (F.col("event_id") % (middle + 1)).cast("string").alias("id"),
+            F.array(F.col("event_id").cast("float")).alias("vector"),
+            maps.from_columns({"event": F.col("event_id")}).alias("metadata"),
+            F.lit("f").alias("file_id"),
+            "event_id",
+        )
+
+    for name in ("early", "late"):
+        files = streams.table_stream(spark, f"{path}/{name}", "*.parquet", "event_id bigint", max_files=1)
+        streams.ingest(files, to_vectors, f"{path}/table", f"{path}/state-{name}", "event_id").awaitTermination()
+    stored = store.read_table(spark, f"{path}/table")
+    return stored.select(F.col("id").cast("bigint").alias("id"), F.col("metadata")["event"].cast("bigint").alias("event_id"))
+
+
+def age(spark, folder, days):
+    """Set the time of all files of a folder back."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(conf)
+    for status in fs.listStatus(at):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query("SELECT doc_id // 50 AS bucket, count(*) AS n FROM documents GROUP BY doc_id // 50")
+def stream_old_files(spark, sf):
+    """Files that arrive late and are years old are read like the others, over several micro-batches."""
+    path = cluster.scratch_path(spark, "aged")
+    docs = table(spark, sf, "documents").select(F.floor(F.col("doc_id") / 50).alias("bucket"), "doc_id")
+    lines = F.to_json(F.struct("bucket", "doc_id")).alias("value")
+
+    def count(batch, number):
+        rows = batch.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where("line <> ''")
+        rows.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/out/part={number}")
+
+    for turn, days in enumerate((0, 900)):
+        part = docs.where(F.col("bucket") % 2 == turn).select("bucket", lines).repartition("bucket")
+        part.select("value").write.mode("append").text(f"{path}/in/turn={turn}")
+        age(spark, f"{path}/in/turn={turn}", days)
+        files = streams.file_stream(spark, f"{path}/in", glob="*.txt", max_files=3)
+        accounts.run_each(files, count, f"{path}/checkpoint", mode="append").awaitTermination()
+    found = spark.read.parquet(f"{path}/out").select(F.get_json_object("line", "$.bucket").cast("bigint").alias("bucket"))
+    return found.groupBy("bucket").agg(F.count("*").alias("n"))
+
+
 @query(
     """SELECT date_trunc('hour', ts) AS window_start, event_type AS model, count(*) AS requests,
               SUM(length(props))::BIGINT AS total_tokens, round(avg(value), 9) AS latency_ms FROM events GROUP BY ALL"""

@@ -2,6 +2,7 @@
 
 import csv
 import io
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -113,6 +114,7 @@ def csv_leaves(text: Column, id_key: str = "id", strict: bool = True) -> Column:
     """
 
     def rows(text: str) -> Iterator[jsondocs.Leaf]:
+        csv.field_size_limit(sys.maxsize)  # the parser's own limit is 131,072 characters a cell
         for i, row in enumerate(csv.DictReader(io.StringIO(text, newline=""))):
             cells = [(k.strip(), (v or "").strip()) for k, v in row.items() if k is not None]
             content = "\n".join(f"{k}: {v}" for k, v in cells)

@@ -1,12 +1,16 @@
 """File listings: full, by prefix, incremental, over several sources."""
 
 import re
+from collections.abc import Iterator
 from datetime import datetime
 from functools import reduce
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docvec.cluster import written
 from docvec.functions import maps
 from docvec.functions import text as tx
 
@@ -40,6 +44,63 @@ def object_key(path: Column, root: str) -> Column:
     return F.when(bare.startswith(base + "/"), F.substring(bare, len(base) + 2, 1 << 30)).otherwise(bare)
 
 
+WALKED = "path string, modificationTime timestamp, length bigint, folder boolean"
+
+
+def walk(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below ``root``, with hidden names and without any bytes too.
+
+    Spark's own index leaves out names that begin with ``_`` or ``.`` and empty files. Here tasks
+    list the folders, one level of the tree after the other; a level is a written table. A root
+    that does not exist has no files. ``root`` is a path or URI that pyarrow's file systems know.
+    """
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                store, base = fs.FileSystem.from_uri(folder)
+                scheme = folder[: len(folder.rstrip("/")) - len(base.rstrip("/"))] if folder.rstrip("/").endswith(base.rstrip("/")) else ""
+                found = store.get_file_info(fs.FileSelector(base, recursive=False, allow_not_found=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([scheme + x.path for x in found], pa.string()),
+                        pa.array([x.mtime for x in found], pa.timestamp("us", "UTC")),
+                        pa.array([x.size or 0 for x in found], pa.int64()),
+                        pa.array([x.type == fs.FileType.Directory for x in found], pa.bool_()),
+                    ],
+                    ["path", "modificationTime", "length", "folder"],
+                )
+
+    level = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string")
+    levels = []
+    while not level.isEmpty():
+        levels.append(written(level.mapInArrow(entries, WALKED), "walk"))
+        folders = levels[-1].where("folder").select("path")
+        level = folders.repartition("path")
+    if not levels:
+        return spark.createDataFrame([], WALKED).drop("folder")
+    return reduce(lambda a, b: a.unionByName(b), levels).where("NOT folder").drop("folder")
+
+
+def contents(files: DataFrame) -> DataFrame:
+    """``files`` with the bytes of each file of a walk, read by the tasks."""
+
+    @F.arrow_udf("binary")
+    def read(paths: pa.Array) -> pa.Array:
+        from pyarrow import fs
+
+        found = []
+        for path in paths.to_pylist():
+            store, name = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(name) as file:
+                found.append(file.read())
+        return pa.array(found, pa.binary())
+
+    return files.repartition("path").withColumn("content", read("path"))
+
+
 def _binary(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(root)
@@ -67,15 +128,32 @@ def listing(
 def list_full(
     spark: SparkSession, root: str, prefix: str = "", source_name: str = "default", glob: str | None = None
 ) -> DataFrame:
-    """Every file below ``root`` whose key starts with ``prefix``.
+    """Every file below ``root`` whose key starts with ``prefix``, hidden and empty ones too.
 
-    The folders of the prefix become part of the load path, so other folders are not listed.
-    Spark's file index leaves out files without any bytes, which have nothing to load.
+    The folders of the prefix become part of the path to walk, so other folders are not listed;
+    a folder that does not exist gives an empty listing.
     """
-    files = _binary(spark, _below(root, prefix), glob)
+    files = walk(spark, _below(root, prefix))
+    if glob:
+        files = files.where(F.regexp_extract("path", "[^/]*$", 0).rlike(_glob_pattern(glob)))
     return with_prefix(listing(files, root, source_name), prefix)
 
 
+def _glob_pattern(glob: str) -> str:
+    """``*`` and ``?`` of a file name as a regular expression."""
+    return "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in glob) + "$"
+
+
+def _existing(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """Files with content by Spark's reader; none where the folder does not exist."""
+    try:
+        return _binary(spark, root, glob)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, content binary")
+        raise
+
+
 def _below(root: str, prefix: str | None) -> str:
     folder = (prefix or "").rpartition("/")[0]
     return f"{root.rstrip('/')}/{folder}" if folder else root
@@ -121,8 +199,12 @@ def file_attributes(spark: SparkSession, root: str, key: str | None = None) -> D
 def read_content(
     spark: SparkSession, root: str, source_name: str = "default", glob: str | None = None, prefix: str = ""
 ) -> DataFrame:
-    """Listing plus the file bytes, which the executors read."""
-    files = _binary(spark, _below(root, prefix), glob)
+    """Listing plus the file bytes, which the executors read.
+
+    Files without bytes and names that begin with ``_`` or ``.`` hold no documents and are left to
+    ``list_full``; ``contents`` reads those too.
+    """
+    files = _existing(spark, _below(root, prefix), glob)
     return with_prefix(listing(files, root, source_name, with_content=True), prefix)
 
 

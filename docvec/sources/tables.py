@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docvec.cluster import fits, written
+from docvec.cluster import written
 from docvec.functions import maps
 from docvec.functions import text as tx
 
@@ -76,11 +76,12 @@ def read_rows(spark: SparkSession, paths: str | Sequence[str], encoding: str = E
     return reader.options(encoding=encoding, **options).csv(paths)
 
 
-# Blocks of files up to this count are sent to all tasks; more are joined by a shuffle.
-BROADCAST_BLOCKS = 2_000_000
+def plain_path(path: Column) -> Column:
+    """A file's path as listings spell it; the scan's own column is percent-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def with_row_numbers(rows: DataFrame, max_broadcast: int = BROADCAST_BLOCKS) -> DataFrame:
+def with_row_numbers(rows: DataFrame) -> DataFrame:
     """Add ``_docvec_path`` and ``_docvec_row``, the 0-based position in the row's file.
 
     A scan keeps the rows of one file block together and in order, so a row's position is
@@ -99,14 +100,13 @@ def with_row_numbers(rows: DataFrame, max_broadcast: int = BROADCAST_BLOCKS) ->
     earlier = W.partitionBy("_docvec_path").orderBy("_docvec_block").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_docvec_n").over(earlier), F.lit(0)).alias("_docvec_before")
     blocks = written(sizes.select("*", before), "blocks")
-    if fits(blocks, max_broadcast):
-        blocks = F.broadcast(blocks)
     distance = F.col("_docvec_at") - F.col("_docvec_first")
     inside = (distance >= 0) & (distance < F.col("_docvec_n"))
     number = F.when(inside, distance + F.col("_docvec_before")).otherwise(
         F.raise_error(F.lit("files were cut into other blocks while they were read; read them again"))
     )
-    return at.join(blocks, block, "left").select(*rows.columns, "_docvec_path", number.alias("_docvec_row"))
+    path = plain_path(F.col("_docvec_path")).alias("_docvec_path")
+    return at.join(blocks, block, "left").select(*rows.columns, path, number.alias("_docvec_row"))
 
 
 def csv_docs(
@@ -127,5 +127,5 @@ def csv_docs(
         rows, path = with_row_numbers(rows), F.col("_docvec_path")
         row = F.col("_docvec_row")
     else:
-        path, row = F.col("_metadata.file_path"), None
+        path, row = plain_path(F.col("_metadata.file_path")), None
     return row_docs(rows, id_key, to_embed, to_metadata, source_column, path, row, unique_ids)

@@ -1,11 +1,12 @@
 """Incremental ingest: a stream of files or rows into the vector table.
 
 The checkpoint of the stream replaces a remembered time of the last run: it knows which
-files were read, so a late file with an old time stamp is still picked up, as long as it is
-not older than ``MAX_AGE`` against the newest one. Older files are skipped and forgotten,
-which bounds what the stream has to remember.
+files were read, so a late file with an old time stamp is still picked up, however old it is.
+A caller who would rather have the stream forget old files sets ``max_age``; files that are
+older against the newest one are then skipped.
 """
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from docvec.operators import store
 from docvec.sources import files
 
-MAX_AGE = "365d"
+# Longer than any file is old.
+ANY_AGE = "100000d"
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -25,7 +27,7 @@ def file_stream(
     source_name: str = "default",
     glob: str | None = None,
     max_files: int | None = None,
-    max_age: str = MAX_AGE,
+    max_age: str = ANY_AGE,
 ) -> DataFrame:
     """New files below ``root`` with their content, in the shape of ``files.read_content``."""
     reader = spark.readStream.format("binaryFile").schema(BINARY).options(
@@ -49,15 +51,20 @@ def ingest(
     to_vectors: Callable[[DataFrame], DataFrame],
     table: str,
     checkpoint: str,
-    order: str | None = None,
+    order: str,
 ) -> StreamingQuery:
     """Store the vectors of each micro-batch, then stop when no new input is left.
 
-    A replayed micro-batch has the same number and is not stored twice.
+    Of rows that share an id the one with the greatest ``order`` stays, within a micro-batch; a
+    later one replaces earlier ones. A replayed micro-batch has the same number and is not stored
+    twice; the number counts together with the id that the checkpoint gives its stream, so several
+    streams, or a new checkpoint, may write into one table.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        store.store(to_vectors(batch), table, order, batch_id=number)
+        spark = batch.sparkSession
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        store.store(to_vectors(batch), table, order, batch_id=f"{stream}/{number}")
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -42,8 +42,8 @@ def test_numbered_equals_row_number(spark):
     seen: dict = {}
     for g, o in sorted(rows, key=lambda r: r[1]):
         seen[(g, o)] = sum(1 for k in seen if k[0] == g) + 1
-    for width in (1, 7, 100, 100_000):
-        got = {(r["g"], r["o"]): r["row_number"] for r in embed.numbered(df, ["g"], "o", width).collect()}
+    for rows in (df, df.repartition(7)):
+        got = {(r["g"], r["o"]): r["row_number"] for r in embed.numbered(rows, ["g"], "o").collect()}
         assert got == seen
     batches = embed.content_batches(df.withColumn("t", F.col("o").cast("string")), ["g"], "o", "t", 50)
     for r in batches.filter("g = 'a'").collect():
@@ -51,6 +51,19 @@ def test_numbered_equals_row_number(spark):
         assert r["contents"] == want and r["items"] == len(want)
 
 
+def test_hot_group_with_a_sparse_order_is_split(spark):
+    """One group, orders far apart: several tasks number it, and the table of offsets stays small."""
+    df = spark.range(0, 4000, 1, 4).select(F.lit("g").alias("g"), (F.col("id") * 1_000_003).alias("o"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = embed.numbered(df, ["g"], "o")
+        assert [r["row_number"] for r in got.orderBy("o").collect()] == list(range(1, 4001))
+        parts = df.repartitionByRange("g", "o").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts == 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("width", [4, 5, 64])
 def test_latency_mean(spark, width):
     values = [float((i * 37) % 11) for i in range(50)]

@@ -80,7 +80,7 @@ def test_stream_equals_batch_and_takes_new_files(spark, config, tmp_path):
 
     def run():
         rows = streams.file_stream(spark, root, max_files=1)
-        streams.ingest(rows, to_vectors, table, state).awaitTermination()
+        streams.ingest(rows, to_vectors, table, state, "chunk_index").awaitTermination()
         return {r["id"] for r in store.read_table(spark, table).select("id").collect()}
 
     want = {r["id"] for r in to_vectors(ingest.listed(spark, config)).select("id").collect()}

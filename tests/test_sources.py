@@ -33,23 +33,23 @@ def one(spark, column, **values):
 @pytest.fixture(scope="module")
 def bucket(tmp_path_factory):
     root = str(tmp_path_factory.mktemp("bucket"))
-    write(root, "file1.txt", "x" * 100)
-    write(root, "file2.pdf", "y" * 500)
-    write(root, "folder1/file3.json", '{"key": "value", "nested": {"key": "value"}}')
-    write(root, "folder10/file4.csv", "id\n1\n")
+    write(root, "apple.txt", "x" * 100)
+    write(root, "apron.pdf", "y" * 500)
+    write(root, "deep/leaf.json", '{"tree": ["oak", 7], "root": {"depth": 2.5}}')
+    write(root, "deeper/rows.csv", "id\n1\n")
     return root
 
 
 def test_full_listing(spark, bucket):
     rows = {r["id"]: r for r in files.list_full(spark, bucket).collect()}
-    assert sorted(rows) == ["file1.txt", "file2.pdf", "folder1/file3.json", "folder10/file4.csv"]
-    assert rows["file2.pdf"]["size"] == 500 and rows["file2.pdf"]["type"] == "application/pdf"
-    assert rows["file1.txt"]["name"] == "file1.txt" and rows["file1.txt"]["path"].endswith("/file1.txt")
-    assert "T" in rows["file1.txt"]["metadata"]["last_modified"]
+    assert sorted(rows) == ["apple.txt", "apron.pdf", "deep/leaf.json", "deeper/rows.csv"]
+    assert rows["apron.pdf"]["size"] == 500 and rows["apron.pdf"]["type"] == "application/pdf"
+    assert rows["apple.txt"]["name"] == "apple.txt" and rows["apple.txt"]["path"].endswith("/apple.txt")
+    assert "T" in rows["apple.txt"]["metadata"]["last_modified"]
 
 
 @pytest.mark.parametrize(
-    "prefix,want", [("folder1/", 1), ("folder1", 2), ("file", 2), ("folder1/file3", 1), ("", 4)]
+    "prefix,want", [("deep/", 1), ("deep", 2), ("ap", 2), ("deep/leaf", 1), ("", 4)]
 )
 def test_prefix(spark, bucket, prefix, want):
     assert files.list_full(spark, bucket, prefix).count() == want
@@ -76,9 +76,9 @@ def test_delta_is_strict(spark, tmp_path):
 
 
 def test_attributes(spark, bucket):
-    row = files.file_attributes(spark, bucket, "folder1/file3.json").first()
-    assert row["file_name"] == "folder1/file3.json" and row["file_size"] == 44
-    with open(os.path.join(bucket, "folder1/file3.json"), "rb") as f:
+    row = files.file_attributes(spark, bucket, "deep/leaf.json").first()
+    assert row["file_name"] == "deep/leaf.json" and row["file_size"] == 44
+    with open(os.path.join(bucket, "deep/leaf.json"), "rb") as f:
         assert row["file_checksum"] == hashlib.md5(f.read()).hexdigest()
     assert row["file_type"] == "application/json"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -86,14 +86,14 @@ def test_attributes(spark, bucket):
 
 
 def test_content_below_a_prefix(spark, bucket):
-    rows = files.read_content(spark, bucket, "s", prefix="folder1/").collect()
-    assert [(r["id"], bytes(r["content"])[:6]) for r in rows] == [("folder1/file3.json", b'{"key"')]
+    rows = files.read_content(spark, bucket, "s", prefix="deep/").collect()
+    assert [(r["id"], bytes(r["content"])[:6]) for r in rows] == [("deep/leaf.json", b'{"tree')]
     later = files.read_content(spark, bucket).filter(F.col("last_modified") > datetime(2020, 1, 1))
     assert "PushedFilters: [IsNotNull(modificationTime), GreaterThan" in later._jdf.queryExecution().toString()
 
 
 def test_extract(spark, bucket):
-    both = [files.list_full(spark, bucket, "file", "a"), files.list_full(spark, bucket, "folder1", "b")]
+    both = [files.list_full(spark, bucket, "ap", "a"), files.list_full(spark, bucket, "deep", "b")]
     got = files.extract(both, "full").groupBy("source_name").count().collect()
     assert {r[0]: r[1] for r in got} == {"a": 2, "b": 2}
     assert files.extract(both, "delta", datetime.now(timezone.utc) + timedelta(days=1)).count() == 0
@@ -103,25 +103,25 @@ def test_extract(spark, bucket):
 
 # ---------------------------------------------------------------- CSV
 
-PEOPLE = "id,name,age,city\n1,John Doe,30,New York\n2,Jane Smith,25,Los Angeles\n3,Bob Johnson,40,Chicago\n"
+PARTS = "id,part,price,bin\n1,Bolt M8,30,Shelf Nine\n2,Hex Nut,25,Lower Deck\n3,Flat Washer,40,Crate\n"
 
 
 def test_csv(spark, tmp_path):
-    path = write(str(tmp_path), "people.csv", "﻿" + PEOPLE)
+    path = write(str(tmp_path), "parts.csv", "﻿" + PARTS)
     rows = tables.csv_docs(spark, path).orderBy("id").collect()
     assert [r["id"] for r in rows] == ["1.id", "2.id", "3.id"]
-    assert rows[0]["content"] == "id: 1\nname: John Doe\nage: 30\ncity: New York"
+    assert rows[0]["content"] == "id: 1\npart: Bolt M8\nprice: 30\nbin: Shelf Nine"
     assert [r["metadata"]["row"] for r in rows] == ["0", "1", "2"]
-    assert rows[0]["metadata"]["source"].endswith("people.csv")
+    assert rows[0]["metadata"]["source"].endswith("parts.csv")
 
 
 def test_csv_selector_and_source_column(spark, tmp_path):
-    path = write(str(tmp_path), "p.csv", PEOPLE)
+    path = write(str(tmp_path), "p.csv", PARTS)
     rows = tables.csv_docs(
-        spark, path, to_embed=["city", "name", "none"], to_metadata=["age", "none"], source_column="name"
+        spark, path, to_embed=["bin", "part", "none"], to_metadata=["price", "none"], source_column="part"
     ).orderBy("id").collect()
-    assert rows[1]["content"] == "city: Los Angeles\nname: Jane Smith"
-    assert rows[1]["metadata"] == {"age": "25", "source": "Jane Smith", "row": "1"}
+    assert rows[1]["content"] == "bin: Lower Deck\npart: Hex Nut"
+    assert rows[1]["metadata"] == {"price": "25", "source": "Hex Nut", "row": "1"}
 
 
 def test_csv_options_short_rows_and_missing_id(spark, tmp_path):
@@ -315,10 +315,10 @@ def test_auto_records_errors(spark):
 
 
 def test_pages(spark):
-    rows = as_files(spark, [("test_pdf", "pdf", b"1|2|3")])
-    got = documents.page_docs(rows, lambda c: [f"This is page {p}" for p in c.decode().split("|")]).collect()
-    assert [r["id"] for r in got] == ["test_pdf"] * 3
-    assert [r["content"] for r in got] == ["This is page 1", "This is page 2", "This is page 3"]
+    rows = as_files(spark, [("manual", "pdf", b"1|2|3")])
+    got = documents.page_docs(rows, lambda c: [f"Leaf number {p}" for p in c.decode().split("|")]).collect()
+    assert [r["id"] for r in got] == ["manual"] * 3
+    assert [r["content"] for r in got] == ["Leaf number 1", "Leaf number 2", "Leaf number 3"]
     assert [r["metadata"]["page"] for r in got] == ["0", "1", "2"]
 
 
@@ -347,11 +347,11 @@ def test_convert_and_images(spark):
 
 
 def test_document_json(spark):
-    df = spark.createDataFrame([("test_id", "test content", {"source": "test"})], "id string, content string, metadata map<string,string>")
+    df = spark.createDataFrame([("d-17", "snow on the pass", {"road": "B7"})], "id string, content string, metadata map<string,string>")
     text = df.select(documents.doc_to_json()).first()[0]
-    assert json.loads(text) == {"id": "test_id", "content": "test content", "metadata": {"source": "test"}}
+    assert json.loads(text) == {"id": "d-17", "content": "snow on the pass", "metadata": {"road": "B7"}}
     back = spark.createDataFrame([(text,)], "t string").select(documents.doc_from_json(F.col("t")).alias("d")).first()["d"]
-    assert back.asDict() == {"id": "test_id", "content": "test content", "metadata": {"source": "test"}}
+    assert back.asDict() == {"id": "d-17", "content": "snow on the pass", "metadata": {"road": "B7"}}
     for bad in (None, "{"):
         with pytest.raises(Exception, match="no document|MALFORMED|Malformed"):
             spark.createDataFrame([(bad,)], "t string").select(documents.doc_from_json(F.col("t"))).collect()

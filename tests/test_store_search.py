@@ -18,9 +18,9 @@ def vectors(spark, rows):
 
 
 THREE = [
-    ("vec1", [0.1, 0.2, 0.3], {"source": "A", FILE_KEY: "f1"}),
-    ("vec2", [0.4, 0.5, 0.6], {"source": "B", FILE_KEY: "f1"}),
-    ("vec3", [0.7, 0.8, 0.9], {"source": "C", FILE_KEY: "f2"}),
+    ("north", [0.6, 0.0, 0.8], {"zone": "wet", FILE_KEY: "f1"}),
+    ("south", [0.0, 0.6, 0.8], {"zone": "dry", FILE_KEY: "f1"}),
+    ("west", [0.0, 1.0, 0.0], {"zone": "dry", FILE_KEY: "f2"}),
 ]
 
 
@@ -37,13 +37,13 @@ def test_store_get_search_delete(spark, path):
     assert store.read_table(spark, path).count() == 0
     assert store.store(vectors(spark, THREE), path) == 3
     table = store.read_table(spark, path)
-    assert ids(search.first_documents(table, 10)) == ["vec1", "vec2", "vec3"]
-    hits = search.search(table, [0.7, 0.8, 0.9], 2).collect()
-    assert [h["id"] for h in hits] == ["vec3", "vec2"] and hits[0]["score"] == 1.0
+    assert ids(search.first_documents(table, 10)) == ["north", "south", "west"]
+    hits = search.search(table, [0.0, 2.0, 0.0], 2).collect()
+    assert [h["id"] for h in hits] == ["west", "south"] and hits[0]["score"] == 1.0
     assert store.info(table).first()[0] == 3
     assert store.delete_file(spark, path, "f1") is True
     assert store.delete_file(spark, path, "f1") is False
-    assert ids(store.read_table(spark, path)) == ["vec3"]
+    assert ids(store.read_table(spark, path)) == ["west"]
 
 
 def test_repeated_ids_last_wins_and_all_count(spark, path):
@@ -86,7 +86,7 @@ def test_uncommitted_version_is_not_read(spark, path):
     left.write.parquet(f"{path}/data/version=2")
     assert "x" not in ids(store.read_table(spark, path))
     store.store(vectors(spark, [("y", [0.0, 0.0, 1.0], {})]), path)
-    assert ids(store.read_table(spark, path)) == ["vec1", "vec2", "vec3", "y"]
+    assert ids(store.read_table(spark, path)) == ["north", "south", "west", "y"]
 
 
 def test_delete_keeps_rows_without_a_file(spark):
@@ -96,7 +96,7 @@ def test_delete_keeps_rows_without_a_file(spark):
 
 def test_upsert_counts(spark):
     base = vectors(spark, THREE)
-    new = vectors(spark, [("vec1", [1.0], {}), ("vec1", [2.0], {}), ("new", [3.0], {})])
+    new = vectors(spark, [("north", [1.0], {}), ("north", [2.0], {}), ("new", [3.0], {})])
     assert store.upsert_counts(base, new).first().asDict() == {"stored": 3, "created": 1, "updated": 1}
 
 
@@ -106,7 +106,7 @@ def brute(base, queries, k):
         scored = []
         for i, v in base:
             n = np.linalg.norm(v) * np.linalg.norm(q)
-            scored.append((-(round(float(np.dot(v, q) / n), 6) if n else 0.0), i))
+            scored.append((-(round(float(np.dot(v, q) / n), 12) if n else 0.0), i))
         out[qid] = [(i, -s + 0.0) for s, i in sorted(scored)[:k]]
     return out
 
@@ -122,9 +122,11 @@ def test_batch_search_equals_brute_force(spark, limit):
     got = {}
     for r in search.search_batch(rows, asked, 7, max_broadcast=limit).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["id"], r["score"]))
-    assert got == brute(base, queries, 7)
+    want = brute(base, queries, 7)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+    assert all(abs(s - t) < 1e-9 for q, x in got.items() for (_, s), (_, t) in zip(x, want[q]))
     one = search.search(rows, queries[0][1], 7).collect()
-    assert [(r["id"], r["score"]) for r in one] == got["q0"]
+    assert [r["id"] for r in one] == [i for i, _ in got["q0"]]
 
 
 def test_blocks_cover_all_pairs(spark):
@@ -133,7 +135,7 @@ def test_blocks_cover_all_pairs(spark):
     rows = vectors(spark, [(i, v, {}) for i, v in base])
     asked = rows.select(F.col("id").alias("query_id"), "vector")
     renamed = asked.select("query_id", F.col("vector").alias("query"))
-    found = search._by_blocks(rows.select("id", "vector"), renamed, 3, per_query=17, per_vector=25)
+    found = search._by_blocks(rows.select("id", "vector"), renamed, 3, per_query=17, values=75)
     assert found.groupBy("query_id", "id").count().filter("count > 1").isEmpty()
     whole = {(r["query_id"], r["id"], r["score"]) for r in search.search_batch(rows, asked, 3).collect()}
     parts = {(r["query_id"], r["id"], r["score"]) for r in found.collect()}
@@ -144,8 +146,18 @@ def test_no_queries_and_wrong_size(spark):
     rows = vectors(spark, THREE)
     none = spark.createDataFrame([], "query_id string, vector array<float>")
     assert search.search_batch(rows, none, 3).count() == 0
-    with pytest.raises(Exception, match="query has 2 values"):
-        search.search(rows, [1.0, 2.0], 1).collect()
+    assert search.search(rows, [1.0, 2.0], 1).count() == 0
+    assert search.malformed(rows, 2).first()[0] == 3
+
+
+def test_close_scores_and_malformed_vectors(spark):
+    rows = vectors(spark, [("b", [1.0, 0.0009], {}), ("x", [1.0, 0.0], {}), ("short", [1.0], {}), ("hole", [1.0, None], {}), ("none", None, {})])
+    assert [r["id"] for r in search.search(rows, [1.0, 0.0], 5).collect()] == ["x", "b"]
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, vector array<float>")
+    for limit in (0, 10):
+        got = search.search_batch(rows, asked, 5, max_broadcast=limit).orderBy("rank").collect()
+        assert [r["id"] for r in got] == ["x", "b"]
+    assert search.malformed(rows, 2).first()[0] == 3
 
 
 def test_vector_functions(spark):
