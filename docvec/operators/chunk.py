@@ -136,6 +136,26 @@ def texts_to_lists(split: Callable[..., list[str]]) -> Callable[..., Column]:
     return run
 
 
+def texts_to_results(split: Callable[..., list[str]]) -> Callable[..., Column]:
+    """As ``texts_to_lists``, but a struct of ``chunks`` and ``error``, so that a text that fails fails alone."""
+
+    @F.arrow_udf("struct<chunks:array<string>,error:string>")
+    def run(text: pa.Array, *settings: pa.Array) -> pa.Array:
+        lists, errors = [], []
+        for row in zip(text.to_pylist(), *[s.to_pylist() for s in settings]):
+            error = None
+            try:
+                found = None if row[0] is None else split(*row)
+            except Exception as failure:
+                found, error = None, f"not chunked: {failure or type(failure).__name__}"
+            lists.append(found)
+            errors.append(error)
+        columns = [pa.array(lists, pa.list_(pa.string())), pa.array(errors, pa.string())]
+        return pa.StructArray.from_arrays(columns, names=["chunks", "error"])
+
+    return run
+
+
 def _arrow(split: Callable[..., list[str]], text: Column) -> Column:
     return texts_to_lists(split)(text)
 
@@ -250,13 +270,17 @@ def explode_chunks(docs: DataFrame, chunks: Column, keep: Column | None = None)
 
 
 def chunk_by_metadata(
-    docs: DataFrame, custom: Callable[[str], list[str]] | None = None, keep: Column | None = None
+    docs: DataFrame,
+    custom: Callable[[str], list[str]] | None = None,
+    keep: Column | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """Chunk each document as its own metadata says.
 
     ``metadata['chunker_name']`` picks the chunker and ``metadata['chunker_information']``, a
     JSON object, its settings; absent settings are the defaults. An unknown or missing name,
-    or settings that are present but null, mean the recursive chunker.
+    or settings that are present but null, mean the recursive chunker. If not strict, a document
+    that cannot be chunked gives one row without content that names the ``error``.
     """
     info = F.from_json(
         F.col("metadata")["chunker_information"],
@@ -280,5 +304,12 @@ def chunk_by_metadata(
     meta = F.col("metadata")
     nulled = F.map_contains_key(meta, "chunker_information") & meta["chunker_information"].isNull()
     name = F.when(~nulled, F.lower(meta["chunker_name"]))
-    chunks = texts_to_lists(split)(F.col("content"), name, *settings)
-    return explode_chunks(given, chunks, keep).drop("_info")
+    if strict:
+        chunks = texts_to_lists(split)(F.col("content"), name, *settings)
+        return explode_chunks(given, chunks, keep).drop("_info")
+    done = given.withColumn("_done", texts_to_results(split)(F.col("content"), name, *settings))
+    earlier = F.col("error") if "error" in docs.columns else F.lit(None).cast("string")
+    done = done.withColumn("error", F.coalesce(earlier, F.col("_done.error")))
+    failed = F.col("error").isNotNull()
+    kept = failed if keep is None else failed | keep
+    return explode_chunks(done, F.col("_done.chunks"), kept).drop("_info", "_done")

@@ -88,12 +88,32 @@ def hash_embedder(text: Column, dim: int = HASH_DIM) -> Column:
     return run(text)
 
 
-def model_embedder(text: Column, model: Model, dim: int, batch_size: int = 100) -> Column:
+def model_embedder(text: Column, model: Model, dim: int, batch_size: int = 100, strict: bool = True) -> Column:
     """Vectors of the caller's ``model``, called with up to ``batch_size`` texts in order.
 
     A reply of another length, or a vector of another size than ``dim``, is an error.
-    Null texts are not sent and have no vector.
+    Null texts are not sent and have no vector. If not strict, the texts of a call that fails are
+    sent again one by one, and those that fail alone have no vector.
     """
+
+    def asked(texts: list[str]) -> list[np.ndarray]:
+        reply = model(texts)
+        if len(reply) != len(texts):
+            raise ValueError(f"sent {len(texts)} texts, received {len(reply)} vectors")
+        for vector in reply:
+            if len(vector) != dim:
+                raise ValueError(f"expected {dim} values per vector, received {len(vector)}")
+        return [np.asarray(v, dtype=np.float32) for v in reply]
+
+    def one_by_one(texts: list[str]) -> list:
+        found: list = []
+        for t in texts:
+            try:
+                found += asked([t])
+            except Exception:
+                found.append(None)
+        return found
+
     check_batch_size(batch_size)
 
     @F.arrow_udf("array<float>")
@@ -103,13 +123,15 @@ def model_embedder(text: Column, model: Model, dim: int, batch_size: int = 100)
         out: list = [None] * len(values)
         for start in range(0, len(at), batch_size):
             part = at[start : start + batch_size]
-            reply = model([values[i] for i in part])
-            if len(reply) != len(part):
-                raise ValueError(f"sent {len(part)} texts, received {len(reply)} vectors")
-            for i, vector in zip(part, reply):
-                if len(vector) != dim:
-                    raise ValueError(f"expected {dim} values per vector, received {len(vector)}")
-                out[i] = np.asarray(vector, dtype=np.float32)
+            texts = [values[i] for i in part]
+            try:
+                found = asked(texts)
+            except Exception:
+                if strict:
+                    raise
+                found = one_by_one(texts)
+            for i, vector in zip(part, found):
+                out[i] = vector
         return pa.array(out, type=pa.list_(pa.float32()))
 
     return run(text)

@@ -24,11 +24,11 @@ LOG = (
 )
 # A write that finds so many versions since the last fold folds them.
 FOLD_AT = 64
-ROW = "id string, vector array<float>, metadata map<string,string>, file_id string"
+ROW = "id string, vector array<float>, metadata map<string,string>, file_id string, content string"
 
 
 def vector_rows(chunks: DataFrame, *more: Column) -> DataFrame:
-    """Embedded chunks as rows to store; the chunk text itself is not kept.
+    """Embedded chunks as rows to store, with the chunk text if there is a ``content`` column.
 
     The file id leaves the metadata map as a column of its own, so that a delete by file
     reaches the Parquet scan.
@@ -38,6 +38,7 @@ def vector_rows(chunks: DataFrame, *more: Column) -> DataFrame:
         "vector",
         "metadata",
         (F.col("file_id") if "file_id" in chunks.columns else F.col("metadata")[FILE_KEY]).alias("file_id"),
+        (F.col("content") if "content" in chunks.columns else F.lit(None).cast("string")).alias("content"),
         *more,
     )
 
@@ -213,6 +214,7 @@ def _marks(rows: DataFrame, writes: int) -> DataFrame:
         F.lit(None).cast("array<float>").alias("vector"),
         F.lit(None).cast("map<string,string>").alias("metadata"),
         "file_id",
+        F.lit(None).cast("string").alias("content"),
         F.lit(writes).cast("bigint").alias("writes"),
         F.lit(True).alias("deleted"),
     )

@@ -1,8 +1,10 @@
 """The whole flow: list, load, chunk, embed, store, report; and search over the result."""
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,48 +20,81 @@ FIRST = 10
 
 @dataclass(frozen=True)
 class Source:
-    """A folder of files, with its readers' options."""
+    """A folder of files, with how they are read and, by id, the metadata a store keeps of its objects.
+
+    An object's ``chunker_name`` and ``chunker_information`` choose the chunker of its file.
+    """
 
     name: str
     root: str
     prefix: str = ""
     glob: str | None = None
+    load: documents.Load = field(default_factory=documents.Load)
+    objects: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class Config:
-    """What to read, how to embed it, and the folder of the table."""
+    """What to read, how to chunk and embed it, and the folder of the table.
+
+    ``keep_content`` stores the text of chunks beside their vectors; ``replace_files`` lets a file
+    that is read again replace all that is stored of it.
+    """
 
     id: str
     name: str
     sources: tuple[Source, ...]
     sink: str
     embedder: Callable[[Column], Column] = field(default=embed.hash_embedder)
+    chunker: Callable[[str], list[str]] | None = None
+    keep_content: bool = False
+    replace_files: bool = False
 
 
 def listed(spark: SparkSession, config: Config, extract_type: str = "full", last_run: datetime | None = None) -> DataFrame:
     """Listing and content of all sources' files; a delta lists only later files."""
-    found = [
-        files.read_content(spark, s.root, s.name, s.glob, s.prefix).withColumn("source", F.lit(i))
-        for i, s in enumerate(config.sources)
-    ]
+    found = []
+    for i, s in enumerate(config.sources):
+        rows = files.read_content(spark, s.root, s.name, s.glob, s.prefix).withColumn("source", F.lit(i))
+        found.append(rows if s.objects is None else files.merge_object_metadata(rows, s.objects).select(*rows.columns))
     return files.extract(found, extract_type, last_run)
 
 
-def loaded(found: DataFrame) -> DataFrame:
-    """Documents of all files by extension; a file that cannot be read gives a row with its error."""
+def loaded(found: DataFrame, sources: tuple[Source, ...] = ()) -> DataFrame:
+    """Documents of all files by extension; a file that cannot be read gives a row with its error.
+
+    Sources that are read alike are read together.
+    """
     route = documents.route_by_extension(F.col("path"))
     keep = [c for c in ("source",) if c in found.columns]
-    return documents.auto_docs(found, by=route, strict=False, keep=keep)
-
-
-def vectors(found: DataFrame, embedder: Callable[[Column], Column] = embed.hash_embedder) -> DataFrame:
+    alike: list[tuple[documents.Load, list[int]]] = []
+    for i, s in enumerate(sources):
+        same = next((numbers for load, numbers in alike if load == s.load), None)
+        if same is None:
+            alike.append((s.load, [i]))
+        else:
+            same.append(i)
+    if len(alike) < 2:
+        return documents.auto_docs(found, by=route, strict=False, keep=keep, options=alike[0][0] if alike else None)
+    parts = [documents.auto_docs(found.where(F.col("source").isin(n)), by=route, strict=False, keep=keep, options=o) for o, n in alike]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def vectors(
+    found: DataFrame,
+    embedder: Callable[[Column], Column] = embed.hash_embedder,
+    sources: tuple[Source, ...] = (),
+    chunker: Callable[[str], list[str]] | None = None,
+) -> DataFrame:
     """Embedded chunks of all files, in one pass without a shuffle.
 
-    A file that cannot be read has one row with its error and no content.
+    A file that cannot be read, and a document that cannot be chunked, has one row with its error
+    and no content. A chunk for which the embedder gave no vector has the error.
     """
-    chunks = chunk.chunk_by_metadata(loaded(found), keep=F.col("error").isNotNull())
-    return embed.embed(chunks, embedder(F.col("content")))
+    chunks = chunk.chunk_by_metadata(loaded(found, sources), chunker, strict=False)
+    embedded = embed.embed(chunks, embedder(F.col("content")))
+    missing = F.when(F.col("content").isNotNull() & F.col("vector").isNull(), "not embedded")
+    return embedded.withColumn("error", F.coalesce("error", missing))
 
 
 def to_store(embedded: DataFrame) -> DataFrame:
@@ -76,23 +111,49 @@ def run(
     """Ingest the sources' files and report each file's state, chunks and error.
 
     Embedded chunks are written once and then stored and counted from there: a model may be
-    slow or paid for, and must not be asked again when a later stage is repeated. Of chunks
-    that share an id the last one stays, in the order of sources, file ids and positions.
+    slow or paid for, and must not be asked again when a later stage is repeated. A batch that
+    was stored before is not read or embedded again; its report is read back. Of chunks that
+    share an id the last one stays, in the order of sources, file ids and positions, and the
+    report counts the rows that stay.
     """
+    kept = None if batch_id is None else f"{config.sink}/reports/{_folder(batch_id)}"
+    if kept is not None and store.stored_before(spark, config.sink, str(batch_id)) is not None:
+        return spark.read.schema(REPORT).parquet(kept)
     found = listed(spark, config, extract_type, last_run)
-    embedded = written(vectors(found, config.embedder).drop("content"), "embedded")
+    embedded = vectors(found, config.embedder, config.sources, config.chunker)
+    embedded = written(embedded if config.keep_content else embedded.drop("content"), "embedded")
     last = F.struct("source", "file_id", "position", "chunk_index")
-    store.store(to_store(embedded), config.sink, last, batch_id)
-    return report(found, embedded)
+    done = report(found, embedded)
+    if kept is not None:
+        done.write.mode("overwrite").parquet(kept)
+        done = spark.read.schema(REPORT).parquet(kept)
+    store.store(to_store(embedded), config.sink, last, batch_id, config.replace_files)
+    return done
+
+
+REPORT = "file_id string, source_name string, status string, vectors bigint, error string"
+
+
+def _folder(batch_id: object) -> str:
+    return hashlib.sha256(str(batch_id).encode()).hexdigest()[:32]
 
 
 def report(found: DataFrame, embedded: DataFrame) -> DataFrame:
-    """State of each file: failed with its error, completed with its vectors, or still processing."""
+    """State of each file: failed with its error, completed with its vectors, or still processing.
+
+    A vector counts where it stays: for the last file, in the order of the run, that has its id.
+    """
     file = ["source", "file_id"]
-    per_chunk = embedded.select(
+    good = embedded.where(F.col("error").isNull())
+    last = good.groupBy("id").agg(F.max(F.struct("source", "file_id", "position", "chunk_index")).alias("last"))
+    stays = last.select("id", "last.*", F.lit(True).alias("written"))
+    per_chunk = embedded.select("id", *file, "position", "chunk_index", "error").join(
+        stays, ["id", *file, "position", "chunk_index"], "left"
+    )
+    per_chunk = per_chunk.select(
         *file,
-        F.when(F.col("error").isNull(), F.col("id")).alias("chunk_id"),
-        F.col("error").isNull().alias("written"),
+        F.when(F.col("error").isNull(), F.coalesce("id", F.lit(""))).alias("chunk_id"),
+        F.coalesce("written", F.lit(False)).alias("written"),
         "error",
     )
     listed_files = found.select("source", F.col("id").alias("file_id"), "source_name")

@@ -3,7 +3,8 @@
 import csv
 import io
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,9 @@ ROUTES = (
     ("json", "json"),
 )
 GENERIC = "generic"
+PARSED = "parsed"
+# Metadata that chooses a file's chunker.
+CHUNKER_KEYS = ("chunker_name", "chunker_information")
 # Loader names a file may ask for, and the extensions that lead to a route.
 EXTENSION_ROUTES = {"csv": "csv", "html": "html", "htm": "html", "md": "markdown", "pdf": "pages", "json": "json"}
 # The marker of an image in converted Markdown.
@@ -106,19 +110,43 @@ def route_by_extension(path: Column) -> Column:
     return F.coalesce(table[tx.file_extension(path)], F.lit(GENERIC))
 
 
-def csv_leaves(text: Column, id_key: str = "id", strict: bool = True) -> Column:
+@dataclass(frozen=True)
+class Load:
+    """How files are read. Fields of CSV rows and JSON values are chosen by ``to_embed`` and
+    ``to_metadata``, their ids by ``id_key``; a CSV row's ``source`` may come from a column.
+    ``parsers`` turn the bytes of files into page texts, by extension, whatever the file's type.
+    """
+
+    id_key: str = "id"
+    to_embed: tuple[str, ...] = ()
+    to_metadata: tuple[str, ...] = ()
+    source_column: str | None = None
+    delimiter: str = ","
+    quote: str = '"'
+    encoding: str = "UTF-8"
+    parsers: Mapping[str, Callable[[bytes], list[str]]] = field(default_factory=dict)
+    unique_ids: bool = False
+
+
+def csv_leaves(text: Column, id_key: str = "id", strict: bool = True, options: "Load | None" = None) -> Column:
     """Rows of a CSV text with its own header, in the shape of ``jsondocs.json_leaves``.
 
     For files with many different headers; files that share one are better read by
     ``tables.csv_docs``, which splits large files.
     """
+    chosen = options or Load(id_key=id_key)
 
     def rows(text: str) -> Iterator[jsondocs.Leaf]:
         csv.field_size_limit(sys.maxsize)  # the parser's own limit is 131,072 characters a cell
-        for i, row in enumerate(csv.DictReader(io.StringIO(text, newline=""))):
-            cells = [(k.strip(), (v or "").strip()) for k, v in row.items() if k is not None]
-            content = "\n".join(f"{k}: {v}" for k, v in cells)
-            yield f"{row.get(id_key) or ''}.{id_key}", content, {"row": str(i)}
+        reader = csv.DictReader(io.StringIO(text, newline=""), delimiter=chosen.delimiter, quotechar=chosen.quote)
+        for i, row in enumerate(reader):
+            named = {k: (v or "").strip() for k, v in row.items() if k is not None}
+            shown = [k for k in chosen.to_embed if k in named] if chosen.to_embed else named
+            content = "\n".join(f"{k.strip()}: {named[k]}" for k in shown)
+            metadata = {k: named[k] for k in chosen.to_metadata if k in named} | {"row": str(i)}
+            if chosen.source_column:
+                metadata["source"] = named.get(chosen.source_column, "")
+            yield f"{row.get(chosen.id_key) or ''}.{chosen.id_key}", content, metadata
 
     return jsondocs.leaf_reader(rows, strict, "not valid CSV")(text)
 
@@ -133,6 +161,18 @@ def page_leaves(content: Column, pages: Callable[[bytes], list[str]], strict: bo
     return jsondocs.leaf_reader(numbered, strict, "not valid pages")(content)
 
 
+def parsed_leaves(
+    content: Column, extension: Column, parsers: Mapping[str, Callable[[bytes], list[str]]], strict: bool = True
+) -> Column:
+    """Pages of files by the parser of their extension, in the shape of ``jsondocs.json_leaves``."""
+
+    def numbered(content: bytes, extension: str) -> Iterator[jsondocs.Leaf]:
+        for i, page in enumerate(parsers[extension](content)):
+            yield "", page, {"page": str(i)}
+
+    return jsondocs.leaf_reader(numbered, strict, "not valid pages")(content, extension)
+
+
 def auto_docs(
     files: DataFrame,
     by: Column | None = None,
@@ -140,6 +180,7 @@ def auto_docs(
     unique_ids: bool = False,
     strict: bool = True,
     keep: Sequence[str] = (),
+    options: Load | None = None,
 ) -> DataFrame:
     """Load each file by its route, in one pass over the files.
 
@@ -147,9 +188,14 @@ def auto_docs(
     documents; a Python worker sees only the content of the routes that need it. Each
     document carries its file's id under ``_file_entry_id``, its position in the file, and
     the file's columns named by ``keep``. If not strict, a file that cannot be read gives one
-    row without content that names the ``error``.
+    row without content that names the ``error``. ``options`` sets how files are read.
     """
+    options = options or Load(unique_ids=unique_ids)
+    unique_ids = unique_ids or options.unique_ids
     chosen = by if by is not None else route(F.col("type"))
+    extension = tx.file_extension(F.col("path"))
+    if options.parsers:
+        chosen = F.when(extension.isin(*options.parsers), PARSED).otherwise(chosen)
     routed = files.withColumn("_route", chosen)
     binary = dict(files.dtypes)["content"] == "binary"
 
@@ -160,6 +206,8 @@ def auto_docs(
         """Content as text on the given routes, null elsewhere."""
         if not binary:
             return content_of(*routes)
+        if options.encoding.upper() not in ("UTF-8", "UTF8"):
+            return F.decode(content_of(*routes), options.encoding)
         if strict:
             return tx.decode_utf8(content_of(*routes))
         return F.regexp_replace(F.try_validate_utf8(content_of(*routes).cast("string")), r"^\x{FEFF}", "")
@@ -185,11 +233,17 @@ def auto_docs(
         numbered = lambda p, i: leaf(p, maps.from_columns({"page": i}))
         paged = checked(F.transform(F.split(text, "\f"), numbered), text)
     loaded = (
-        F.when(F.col("_route") == "csv", csv_leaves(text_of("csv"), strict=strict))
-        .when(F.col("_route") == "json", jsondocs.json_leaves(text_of("json"), strict=strict))
+        F.when(F.col("_route") == "csv", csv_leaves(text_of("csv"), strict=strict, options=options))
+        .when(
+            F.col("_route") == "json",
+            jsondocs.json_leaves(text_of("json"), options.id_key, options.to_embed, options.to_metadata, strict=strict),
+        )
         .when(F.col("_route") == "pages", paged)
         .otherwise(checked(F.array(leaf(text, maps.empty_map())), text))
     )
+    if options.parsers:
+        parsed = parsed_leaves(content_of(PARSED), extension, options.parsers, strict)
+        loaded = F.when(F.col("_route") == PARSED, parsed).otherwise(loaded)
     rows = routed.select(
         F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded"), *keep
     ).select(
@@ -199,10 +253,10 @@ def auto_docs(
     # Pages and whole files go under the file's id; leaves and rows have their own.
     own = F.when(F.col("_route").isin("csv", "json"), F.col("_doc.id")).otherwise(F.col("_file"))
     doc_id = F.concat_ws("_", own, "_at") if unique_ids else own
-    # CSV rows record their source instead of the file's metadata.
-    outer = F.when(
-        F.col("_route") == "csv", maps.from_columns({"source": F.col("path")})
-    ).otherwise(maps.or_empty(F.col("_outer")))
+    # CSV rows record their source instead of the file's metadata, but keep the file's chunker.
+    chunker = maps.pick(maps.or_empty(F.col("_outer")), list(CHUNKER_KEYS))
+    source = maps.empty_map() if options.source_column else maps.from_columns({"source": F.col("path")})
+    outer = F.when(F.col("_route") == "csv", maps.merge(chunker, source)).otherwise(maps.or_empty(F.col("_outer")))
     file_entry = maps.from_columns({FILE_KEY: F.col("_file")})
     return rows.select(
         doc_id.alias("id"),

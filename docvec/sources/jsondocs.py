@@ -76,21 +76,21 @@ def leaf_array(rows: list[list[Leaf]]) -> pa.Array:
 
 def leaf_reader(
     parse: Callable[..., Iterable[Leaf]], strict: bool, failure: str
-) -> Callable[[Column], Column]:
-    """Run ``parse`` over Arrow batches; the result is a struct of ``docs`` and ``error``.
+) -> Callable[..., Column]:
+    """Run ``parse`` over Arrow batches of one or more columns; the result is a struct of ``docs`` and ``error``.
 
     What cannot be parsed is an error of the job or, if not strict, of its own row, which
     then has no documents and the text ``failure``. Null has neither.
     """
 
     @F.arrow_udf(f"struct<docs:array<{LEAF}>,error:string>")
-    def run(batch: pa.Array) -> pa.Array:
+    def run(batch: pa.Array, *more: pa.Array) -> pa.Array:
         rows: list[list[Leaf]] = []
         errors: list[str | None] = []
-        for item in batch.to_pylist():
+        for item, *rest in zip(batch.to_pylist(), *[x.to_pylist() for x in more]):
             error = None
             try:
-                found = [] if item is None else list(parse(item))
+                found = [] if item is None else list(parse(item, *rest))
             except Exception:
                 if strict:
                     raise

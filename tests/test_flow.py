@@ -52,12 +52,101 @@ def test_last_of_equal_ids_stays(spark, tmp_path):
     config = ingest.Config("p", "t", sources, cluster.scratch_path(spark, "last"))
     report = ingest.run(spark, config).collect()
     assert sorted((r["source_name"], r["file_id"], r["vectors"]) for r in report) == [
-        ("a", "x.csv", 1), ("a", "y.csv", 2), ("b", "x.csv", 1),
+        ("a", "x.csv", 0), ("a", "y.csv", 1), ("b", "x.csv", 0),
     ]
     row = store.read_table(spark, config.sink).collect()
     assert [(r["id"], r["metadata"]["row"], r["file_id"]) for r in row] == [(".id_0", "1", "y.csv")]
 
 
+def test_settings_reach_the_flow(spark, tmp_path):
+    """Selectors, a parser by extension, object metadata, content and errors of single files."""
+    root = tmp_path / "mix"
+    root.mkdir()
+    (root / "p.csv").write_text("no;part;bin\n7;Bolt;Shelf\n8;Nut;Deck\n")
+    (root / "d.docx").write_bytes(b"one|two")
+    (root / "q.docx").write_bytes(b"\xff")
+    (root / "c.txt").write_text("aa bb cc")
+    (root / "o.txt").write_text("overlap too large")
+    (root / "m.txt").write_text("the model fails here")
+    info = [("c.txt", {"chunker_name": "characterchunker", "chunker_information": '{"chunk_size": 5, "separator": " "}'}),
+            ("o.txt", {"chunker_information": '{"chunk_size": 5, "chunk_overlap": 9}'})]
+    objects = spark.createDataFrame(info, "id string, metadata map<string,string>")
+    load = documents.Load(
+        id_key="no", to_embed=("bin", "part"), to_metadata=("part",), source_column="bin", delimiter=";",
+        parsers={"docx": lambda c: c.decode().split("|")}, unique_ids=True,
+    )
+
+    def model(texts):
+        if any("fails" in t for t in texts):
+            raise ValueError("no answer")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    def ask(text):
+        return embed.model_embedder(text, model, 2, strict=False)
+
+    source = ingest.Source("disk", str(root), load=load, objects=objects)
+    config = ingest.Config("p", "t", (source,), cluster.scratch_path(spark, "mix"), ask, keep_content=True)
+    report = {r["file_id"]: (r["status"], r["vectors"], r["error"]) for r in ingest.run(spark, config, batch_id=1).collect()}
+    assert report == {
+        "p.csv": ("completed", 2, None), "d.docx": ("completed", 2, None), "c.txt": ("completed", 2, None),
+        "q.docx": ("failed", 0, "not valid pages"), "m.txt": ("failed", 0, "not embedded"),
+        "o.txt": ("failed", 0, "not chunked: chunk_overlap 9 is larger than chunk_size 5"),
+    }
+    rows = {r["id"]: r for r in store.read_table(spark, config.sink).collect()}
+    assert rows["7.no_0_0"]["content"] == "bin: Shelf\npart: Bolt"
+    assert rows["8.no_1_0"]["metadata"] == {"part": "Nut", "row": "1", "source": "Deck", documents.FILE_KEY: "p.csv"}
+    assert [rows[f"d.docx_{i}_0"]["content"] for i in (0, 1)] == ["one", "two"]
+    assert [rows[f"c.txt_0_{i}"]["content"] for i in (0, 1)] == ["aa bb", "cc"]
+
+    def never(text):
+        return F.raise_error(F.lit("asked again")).cast("array<float>")
+
+    again = ingest.Config("p", "t", (source,), config.sink, never)
+    assert {r["file_id"]: (r["status"], r["vectors"], r["error"]) for r in ingest.run(spark, again, batch_id=1).collect()} == report
+
+
+def test_a_shorter_file_replaces_its_chunks(spark, tmp_path):
+    root = tmp_path / "short"
+    root.mkdir()
+    (root / "a.txt").write_text("word " * 300)
+    (root / "b.txt").write_text("other")
+    config = ingest.Config("p", "t", (ingest.Source("d", str(root)),), cluster.scratch_path(spark, "short"), replace_files=True)
+    ingest.run(spark, config)
+    assert store.read_table(spark, config.sink).count() == 4
+    (root / "a.txt").write_text("word")
+    ingest.run(spark, config)
+    assert sorted(r["id"] for r in store.read_table(spark, config.sink).collect()) == ["a.txt_0", "b.txt_0"]
+
+
+def test_missing_folder_is_empty(spark, tmp_path):
+    config = ingest.Config("p", "t", (ingest.Source("d", str(tmp_path), prefix="no/such/"),), cluster.scratch_path(spark, "none"))
+    assert ingest.run(spark, config).collect() == []
+
+
+def test_many_writes_are_few_scans(spark):
+    path = cluster.scratch_path(spark, "many")
+    rows = spark.range(3).select(F.col("id").cast("string").alias("id"), F.array(F.lit(1.0)).cast("array<float>").alias("vector"),
+                                 F.expr("cast(map() as map<string,string>)").alias("metadata"), F.lit("f").alias("file_id"))
+    for i in range(12):
+        store.store(rows.withColumn("vector", F.array(F.lit(float(i))).cast("array<float>")), path)
+    plan = store.read_table(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 5  # whatever the number of writes
+    assert {r["vector"][0] for r in store.read_table(spark, path).collect()} == {11.0}
+
+
+def test_folding_by_itself_and_two_writers(spark, monkeypatch):
+    monkeypatch.setattr(store, "FOLD_AT", 3)
+    path = cluster.scratch_path(spark, "fold")
+    rows = spark.createDataFrame([("a", [1.0], {}, "f")], "id string, vector array<float>, metadata map<string,string>, file_id string")
+    for _ in range(5):
+        store.store(rows, path)
+    assert len(store.committed(spark, path)) <= 3 and store.read_table(spark, path).count() == 1
+    log = spark.read.schema(store.LOG).parquet(f"{path}/log")
+    log.orderBy(F.desc("version")).limit(1).write.mode("append").parquet(f"{path}/log")
+    with pytest.raises(RuntimeError, match="two writers"):
+        store.read_table(spark, path)
+
+
 def test_delta_and_earlier_is_full(spark, config):
     root = config.sources[0].root
     old = datetime.now(timezone.utc) - timedelta(days=2)
