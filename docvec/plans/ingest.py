@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.cluster import written
+from docvec.cluster import remove, scratch_path
 from docvec.operators import chunk, embed, search, store, usage
 from docvec.sources import documents, files
 
@@ -121,14 +121,16 @@ def run(
         return spark.read.schema(REPORT).parquet(kept)
     found = listed(spark, config, extract_type, last_run)
     embedded = vectors(found, config.embedder, config.sources, config.chunker)
-    embedded = written(embedded if config.keep_content else embedded.drop("content"), "embedded")
+    scratch = scratch_path(spark, "embedded")
+    embedded = embedded if config.keep_content else embedded.drop("content")
+    embedded.write.parquet(scratch)
+    embedded = spark.read.schema(embedded.schema).parquet(scratch)
     last = F.struct("source", "file_id", "position", "chunk_index")
-    done = report(found, embedded)
-    if kept is not None:
-        done.write.mode("overwrite").parquet(kept)
-        done = spark.read.schema(REPORT).parquet(kept)
+    kept = kept or scratch_path(spark, "report")
+    report(found, embedded).write.mode("overwrite").parquet(kept)
     store.store(to_store(embedded), config.sink, last, batch_id, config.replace_files)
-    return done
+    remove(spark, scratch)
+    return spark.read.schema(REPORT).parquet(kept)
 
 
 REPORT = "file_id string, source_name string, status string, vectors bigint, error string"

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docvec.functions import numbers
+from docvec.functions import text as tx
 from docvec.operators import embed, profile, usage
 from docvec.plans.registry import query, table
 
@@ -11,6 +12,23 @@ MODEL = "CASE role WHEN 'user' THEN 'text-embedding-3-small' WHEN 'assistant' TH
 PRICE = "CASE role WHEN 'user' THEN 0.00000002::DOUBLE WHEN 'assistant' THEN 0.0000001::DOUBLE END"
 
 
+@query(
+    """SELECT event_id, greatest(least(value, 80.0), 20.5) AS clamped, event_type AS plain,
+              CASE WHEN event_id % 2 = 0 THEN event_type || chr(10) END AS code, true AS now_is_iso
+       FROM events"""
+)
+def small_functions(spark, sf):
+    """Clamped numbers, texts without quote marks, code out of fences, and the time as ISO-8601."""
+    fence = F.concat(F.lit("x ```"), F.when(F.col("event_id") % 2 == 0, "python").otherwise("sql"), F.lit("\n"), "event_type", F.lit("\n``` y"))
+    return table(spark, sf, "events").select(
+        "event_id",
+        numbers.clamp(F.col("value"), 20.5, 80.0).alias("clamped"),
+        tx.unquote(F.concat(F.lit('"'), "event_type", F.lit('"'))).alias("plain"),
+        tx.fenced_code(fence).alias("code"),
+        numbers.iso_now().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}$").alias("now_is_iso"),
+    )
+
+
 def requests(spark, sf):
     """Each conversation as one request batch per role."""
     model = (

@@ -123,6 +123,14 @@ WORDS_OVERLAPPED = (
     + NUMBERED.format(order="c", source="done")
 )
 
+BLANK_OVERLAPPED = (
+    """WITH RECURSIVE pieces AS (
+         SELECT doc_id, unnest(ps) AS piece, unnest(range(1, len(ps) + 1)) AS i
+         FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS ps FROM documents)),"""
+    + OVERLAPPED.replace("{key}", "doc_id").replace("{gap}", "2").replace("{join}", "\n\n")
+    + NUMBERED.format(order="c", source="done")
+)
+
 # Groups of pieces as in RECURSIVE: runs of short lines, runs of short words of a long line,
 # and the characters of a long word.
 RECURSIVE_OVERLAPPED = (
@@ -201,6 +209,14 @@ def custom_chunks(spark, sf):
     return chunked(spark, sf, chunk.custom_chunks(F.col("content"), lambda text: text.split(". ")))
 
 
+@query(BLANK_OVERLAPPED)
+def char_chunks_at_blank_lines(spark, sf):
+    """The default separator, in texts whose lines have blank ones between them."""
+    spaced = docs(spark, sf).withColumn("content", F.replace("content", F.lit("\n"), F.lit("\n\n")))
+    rows = chunk.explode_chunks(spaced, chunk.character_chunks(F.col("content"), SIZE, OVERLAP))
+    return rows.select("id", "doc_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), "content")
+
+
 ROUTED = """
     SELECT id, doc_id, chunk_index, content, 'en' AS lang FROM ({lines}) WHERE doc_id IN
         (SELECT doc_id::VARCHAR FROM documents WHERE lang = 'en')
