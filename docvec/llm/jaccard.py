@@ -29,6 +29,8 @@ PERCENT = 80
 # Tokens that a task gathers before it hands them on by bucket, and tokens of a bucket.
 FLUSH, BUCKET = 1 << 18, 1_000_000
 LEAST_BUCKETS = 256
+# Rows of the matrix that name their pairs in one task.
+ROWS = 500_000
 # Bounds of a group, and partners that one group meets in a task.
 MEMBERS, GROUP_TOKENS, PARTNERS = 256, 400_000, 32
 LOW48 = np.uint64((1 << 48) - 1)
@@ -319,6 +321,41 @@ def meet(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     return left.groupBy("a", "share").cogroup(right.groupBy("o_a", "o_share")).applyInArrow(compare, "u long, v long")
 
 
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups, ``a`` below ``b``, that share a token with members of different components and near sizes.
+
+    Two groups of near copies share many tokens. Tokens whose rows are mostly of one component
+    (``most``) go to one task together, which names each pair once; a component with very many
+    rows is split by token over several tasks.
+    """
+    shares = rows.groupBy("most").agg(F.ceil(F.count("*") / ROWS).alias("shares"))
+    spread = rows.join(shares, "most").withColumn("share", F.pmod(F.xxhash64("token"), "shares"))
+
+    def pairs(table: pa.Table) -> pa.Table:
+        token, gid, comp, low, high = (table.column(k).to_numpy() for k in ("token", "gid", "comp", "low", "high"))
+        names, group = np.unique(gid, return_inverse=True)
+        order = np.lexsort((group, token))
+        token, group, comp, low, high = (x[order] for x in (token, group, comp, low, high))
+        cuts = [0, *(np.flatnonzero(token[1:] != token[:-1]) + 1).tolist(), len(token)]
+        found, waiting = [np.empty(0, np.int64)], 0
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            for i in range(a, b - 1):
+                rest = slice(i + 1, b)
+                fits = (group[rest] > group[i]) & (comp[rest] != comp[i]) & (high[rest] * 100 >= low[i] * percent) & (high[i] * 100 >= low[rest] * percent)
+                found.append(group[i] * len(names) + group[rest][fits])
+                waiting += len(found[-1])
+            if waiting > 1 << 21:
+                found, waiting = [np.unique(np.concatenate(found))], 0
+        code = np.unique(np.concatenate(found))
+        return pa.Table.from_arrays([pa.array(names[code // len(names)]), pa.array(names[code % len(names)])], schema=PAIRS)
+
+    columns = spread.select("most", "share", "token", "gid", "comp", F.col("low").cast("long"), F.col("high").cast("long"))
+    return columns.groupBy("most", "share").applyInArrow(pairs, "a long, b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label``, the same for connected nodes; only nodes of edges are named.
 
@@ -364,11 +401,9 @@ def linked_nodes(df: DataFrame, text: str, shingle: int, percent: int, total: in
     # Then all groups of a token meet that still hold different components.
     known = components(first).select(F.col("node").alias("comp"), "label")
     now = tokens.join(known, "comp", "left").withColumn("comp", F.coalesce("label", "comp")).drop("label", "members")
-    now = written(now.join(open_tokens(now), "token", "left_semi"), "open")
-    other = now.select("token", *[F.col(c).alias(f"o_{c}") for c in ("gid", "comp", "low", "high")])
-    near = (F.col("high") * 100 >= F.col("o_low") * percent) & (F.col("o_high") * 100 >= F.col("low") * percent)
-    rest = now.join(other, "token").where((F.col("gid") < F.col("o_gid")) & (F.col("comp") != F.col("o_comp")) & near)
-    rest = rest.select(F.col("gid").alias("a"), F.col("o_gid").alias("b")).distinct()
+    often = F.mode("comp", True).alias("most")
+    now = written(now.join(open_tokens(now, often), "token"), "open")
+    rest = open_pairs(now, percent)
     done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = meet(rest.join(done, ["a", "b"], "left_anti"), table, percent)
 

@@ -5,6 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Bytes that one step of the array work takes at most, unless one word is longer.
 STEP = 1 << 21
@@ -15,6 +16,18 @@ IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+# Bytes of a batch of rows between Spark and Python.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that Spark hands to Python in bytes, so that long texts need no more memory.
+
+    Spark counts 10,000 rows or 64 MB; several copies of a batch are held at once on either side.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def slices(column: pa.Array, size: int = STEP) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``size`` bytes together, and where they begin; null becomes empty."""
     texts = pc.fill_null(column, "")
@@ -66,6 +79,18 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.nda
     return mix(own + (stop - begin).astype(np.uint64))
 
 
+def long_hashes(raw: bytes, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of ordered spans, some of them at a time, so that the arrays stay small."""
+    found, a = [np.empty(0, np.uint64)], 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(stop, int(begin[a]) + HASH_STEP, side="right")))
+        first, last = int(begin[a]), int(stop[b - 1])
+        data = np.frombuffer(raw, dtype=np.uint8, count=last - first, offset=first)
+        found.append(span_hashes(data, begin[a:b] - first, stop[a:b] - first))
+        a = b
+    return np.concatenate(found)
+
+
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each word of ``raw`` begins and ends, and a 64-bit hash of its bytes.
 

@@ -13,6 +13,7 @@ so one path is left, and the ids are those of the library.
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvec.llm.kernels import slices, utf8
+from docvec.llm.kernels import long_hashes, slices, utf8
 
 SPACE = "▁"
 # Distinct words, and pairs of neighbours, that a worker remembers; beyond them it starts anew.
-WORDS_KEPT, PAIRS_KEPT = 600_000, 1_000_000
+WORDS_KEPT, PAIRS_KEPT = 500_000, 500_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -52,15 +53,32 @@ class Pieces:
         for i, b in bytewise.items():
             self.table[i] = bytes([b])
         self.prefix = self.model.decode(self.model.encode(" ")) == " " and self.model.normalize("a").startswith(SPACE)
-        # Marked words: a run of marks with what follows. A line break that no piece has ends a word too.
-        cut = "\n" if not any("\n" in p for p in self.id_of) else ""
-        whole = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of)
-        self.word = re.compile(r"(?s).+" if whole else f"{SPACE}*[^{SPACE}{cut}]+|{SPACE}+" + (f"|{cut}+" if cut else ""))
-        self.grow()
+        # Marked words begin with a run of marks. No piece goes across two neighbours that stand side
+        # by side in none, so a word may end between two such characters too.
+        self.whole = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of)
+        self.apart = np.zeros((256, 256), bool)  # of ASCII characters
+        self.apart[:128, :128] = True
+        for p in self.id_of:
+            for before, c in zip(p, p[1:]):
+                if before.isascii() and c.isascii():
+                    self.apart[ord(before), ord(c)] = False
+        self.moves: list[dict[str, int]] = []  # grown when first needed, which decoding never does
+
+    def cut(self, raw: bytes, starts: np.ndarray) -> np.ndarray:
+        """Where words begin in normalized texts that stand one after the other and begin at ``starts``."""
+        data = np.frombuffer(raw, np.uint8)
+        begins = np.zeros(len(data), bool)
+        begins[starts[starts < len(data)]] = True
+        if not self.whole:
+            begins[1:] |= self.apart[data[:-1], data[1:]]
+            if len(data) > 2:
+                mark = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
+                begins[mark[np.diff(mark, prepend=-9) != 3]] = True  # the first of each run of marks
+        return np.flatnonzero(begins)
 
     def grow(self) -> None:
         """Aho-Corasick automaton: for each state its moves, and the pieces that end there, longest first."""
-        self.moves: list[dict[str, int]] = [{}]
+        self.moves = [{}]
         own: list[int | None] = [None]
         for name, i in self.id_of.items():
             state = 0
@@ -104,101 +122,116 @@ class Pieces:
         return parts
 
 
+def pair_key(left: int, right: int) -> int:
+    return (left << 32) + right
+
+
 class Coder:
     """Encodes texts; remembers words and pairs of neighbours."""
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         self.pieces, self.kept = Pieces(path), kept
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        self.neighbours: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[int, int] = {}  # hash of a word: its number
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def fits(self, left: int, right: int) -> bool:
-        """Whether a BPE encoder leaves these two pieces side by side; ``left`` is -1 at a word's begin."""
-        p, pair = self.pieces, (left, right)
-        if pair not in self.neighbours:
-            if len(self.neighbours) >= PAIRS_KEPT:
-                self.neighbours.clear()
-            names = [p.names[i] for i in pair if i >= 0]
-            self.neighbours[pair] = p.merged("".join(names)) == names
-        return self.neighbours[pair]
+        """Whether a BPE encoder leaves these two pieces side by side; a negative ``left`` is none."""
+        p = self.pieces
+        if len(self.neighbours) >= PAIRS_KEPT:
+            self.neighbours.clear()
+        names = [p.names[i] for i in (left, right) if i >= 0]
+        ok = self.neighbours[pair_key(left, right)] = p.merged("".join(names)) == names
+        return ok
 
     def walk(self, words: list[str]) -> Iterator[list[int]]:
         """The ids of each of the words, which are sorted.
 
-        State i, of the first i characters: the automaton's state, the last piece (-2 for an
-        unknown character, -1 for none), its length, and the sum of scores.
+        The forward states of a prefix are the automaton's state, the last piece of the best way
+        to spell it (-1 for none or an unknown character), that piece's length, and in a unigram
+        model the sum of scores. They stand on stacks that keep what two words have in common.
         """
         p = self.pieces
-        bpe, ending, scores, moves, neighbours = p.bpe, p.ending, p.scores, p.moves, self.neighbours
-        states: list[tuple[int, int, int, float]] = [(0, -1, 0, 0.0)]
+        if not p.moves:
+            p.grow()
+        bpe, ending, scores, moves, known = p.bpe, p.ending, p.scores, p.moves, self.neighbours
+        automata, lasts, lengths, sums = [0], [-1], [0], [0.0]
         before = ""
         for word in words:
             common, most = 0, min(len(before), len(word))
             while common < most and before[common] == word[common]:
                 common += 1
-            del states[common + 1 :]
-            automaton = states[common][0]
-            for i in range(common, len(word)):
-                c = word[i]
-                further = moves[automaton].get(c)
-                automaton = p.step(automaton, c) if further is None else further
-                best = None
-                for length, piece in ending[automaton]:
-                    last, total = states[i + 1 - length][1], states[i + 1 - length][3]
+            for stack in (automata, lasts, lengths, sums):
+                del stack[common + 1 :]
+            state, at = automata[common], common
+            for c in word[common:]:
+                at += 1
+                further = moves[state].get(c)
+                state = p.step(state, c) if further is None else further
+                best, size, total = -1, 1, sums[at - 1] + p.worst  # a character that is no piece
+                for length, piece in ending[state]:
                     if bpe:
-                        if last == -2:
-                            last = -1
-                        ok = neighbours.get((last, piece))
-                        if ok is None:
-                            ok = self.fits(last, piece)
-                        if ok:
-                            best = (automaton, piece, length, 0.0)
+                        last = lasts[at - length]
+                        ok = known.get((last << 32) + piece)
+                        if self.fits(last, piece) if ok is None else ok:
+                            best, size = piece, length
                             break
-                    elif best is None or total + scores[piece] > best[3]:
-                        best = (automaton, piece, length, total + scores[piece])
-                if best is None:  # a character that is no piece
-                    best = (automaton, -2, 1, states[i][3] + p.worst)
-                states.append(best)
-            ids, at = [], len(word)
+                    elif best < 0 or sums[at - length] + scores[piece] > total:
+                        best, size, total = piece, length, sums[at - length] + scores[piece]
+                automata.append(state)
+                lasts.append(best)
+                lengths.append(size)
+                sums.append(total)
+            ids = []
             while at:
-                _, piece, length, _ = states[at]
-                if piece >= 0:
-                    ids.append(piece)
+                if lasts[at] >= 0:
+                    ids.append(lasts[at])
                 elif p.byte_id:
                     ids += [p.byte_id[b] for b in reversed(utf8(word[at - 1]))]
                 else:
                     ids.append(p.unknown)
-                at -= length
+                at -= lengths[at]
             yield ids[::-1]
             before = word
 
-    def learn(self, words: set[str]) -> None:
-        ordered = sorted(words)
-        found = list(self.walk(ordered))
-        self.known.update(zip(ordered, range(len(self.known), len(self.known) + len(ordered)), strict=True))
+    def learn(self, words: list[str], hashes: list[int]) -> None:
+        order = sorted(range(len(words)), key=words.__getitem__)
+        found = list(self.walk([words[k] for k in order]))
+        self.known.update(zip([hashes[k] for k in order], range(len(self.known), len(self.known) + len(order)), strict=True))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in found for i in x), np.int32, int(sizes.sum()))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
-        words = [self.pieces.word.findall(t) for t in self.pieces.model.normalize(texts)] if texts else []
+        import pandas as pd
+
+        raw = [utf8(t) for t in (self.pieces.model.normalize(texts) if texts else [])]
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)])
+        joined = b"".join(raw)
+        begin = self.pieces.cut(joined, bounds[:-1])
+        stop = np.append(begin[1:], len(joined))
+        code, distinct = pd.factorize(long_hashes(joined, begin, stop))
+        distinct = distinct.tolist()
         if len(self.known) > self.kept:
             self.forget()
-        new = {w for ws in words for w in ws if w not in self.known}
-        if new:
-            self.learn(new)
-        count = np.fromiter(map(len, words), np.int64, len(words))
-        number = np.fromiter((self.known[w] for ws in words for w in ws), np.int64, int(count.sum()))
-        size = (self.starts[1:] - self.starts[:-1])[number]
-        ends = np.cumsum(size)
-        place = np.repeat(self.starts[number] - (ends - size), size) + np.arange(int(size.sum()))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
-        return self.flat[place], np.diff(bounds)
+        number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            first = np.empty(len(distinct), np.int64)
+            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+            spots = zip(begin[first[new]].tolist(), stop[first[new]].tolist(), strict=True)
+            hashes = [distinct[k] for k in new.tolist()]
+            self.learn([joined[a:b].decode("utf-8", "surrogatepass") for a, b in spots], hashes)
+            number[new] = np.fromiter(map(self.known.__getitem__, hashes), np.int64, len(hashes))
+        number = number[code]
+        size = self.starts[number + 1] - self.starts[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(self.starts[number] - ends[:-1], size) + np.arange(int(ends[-1]))
+        return self.flat[place], np.diff(ends[np.searchsorted(begin, bounds)])
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: marks become spaces, but for the one that encoding sets before a text."""

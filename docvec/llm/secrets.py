@@ -132,10 +132,11 @@ def scan(df: DataFrame, text: str = "text", reach: int = REACH, keep_text: bool
 
     Spans are structs of start, rank of the kind, kind and end in code points, end exclusive,
     ordered by start and rank. A null or empty text has none. Every row is kept, repeated rows
-    too; columns of ``df`` with the names of the result or ``text_key`` are replaced. The patterns run once per row:
-    their findings are written to the shared folder, with the text only if ``keep_text``.
+    too; columns of ``df`` with these names, or ``weak_spans``, ``linked_spans`` or ``text_key``, are
+    dropped. The patterns run once per row: their findings are written to the shared folder, with
+    the text only if ``keep_text``.
     """
-    df = df.drop("base_spans", "weak_spans", "spans", "text_key")
+    df = df.drop("base_spans", "weak_spans", "linked_spans", "spans", "text_key")
     rows = parts(df, text)
     rows = written(rows if keep_text else rows.drop(text), "secrets")
     plain = rows.where(F.col("text_key").isNull()).withColumn("linked_spans", F.expr(f"CAST(NULL AS array<{SPAN}>)"))
