@@ -1,6 +1,7 @@
 """The whole flow: list, load, chunk, embed, store, report; and search over the result."""
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -38,7 +39,8 @@ class Config:
     """What to read, how to chunk and embed it, and the folder of the table.
 
     ``keep_content`` stores the text of chunks beside their vectors; ``replace_files`` lets a file
-    that is read again replace all that is stored of it.
+    that is read again replace all that is stored of it. ``model`` and ``user`` name what usage is
+    recorded under; a model without a known price has usage without a cost.
     """
 
     id: str
@@ -49,6 +51,8 @@ class Config:
     chunker: Callable[[str], list[str]] | None = None
     keep_content: bool = False
     replace_files: bool = False
+    model: str = "hash"
+    user: str = ""
 
 
 def listed(spark: SparkSession, config: Config, extract_type: str = "full", last_run: datetime | None = None) -> DataFrame:
@@ -116,8 +120,9 @@ def run(
     share an id the last one stays, in the order of sources, file ids and positions, and the
     report counts the rows that stay.
     """
-    kept = None if batch_id is None else f"{config.sink}/reports/{_folder(batch_id)}"
-    if kept is not None and store.stored_before(spark, config.sink, str(batch_id)) is not None:
+    run_id = _folder(uuid.uuid4() if batch_id is None else batch_id)
+    kept = f"{config.sink}/reports/run={run_id}"
+    if batch_id is not None and store.stored_before(spark, config.sink, str(batch_id)) is not None:
         return spark.read.schema(REPORT).parquet(kept)
     found = listed(spark, config, extract_type, last_run)
     embedded = vectors(found, config.embedder, config.sources, config.chunker)
@@ -126,13 +131,37 @@ def run(
     embedded.write.parquet(scratch)
     embedded = spark.read.schema(embedded.schema).parquet(scratch)
     last = F.struct("source", "file_id", "position", "chunk_index")
-    kept = kept or scratch_path(spark, "report")
     report(found, embedded).write.mode("overwrite").parquet(kept)
+    record(spark, config, embedded, kept, run_id)
     store.store(to_store(embedded), config.sink, last, batch_id, config.replace_files)
     remove(spark, scratch)
     return spark.read.schema(REPORT).parquet(kept)
 
 
+def record(spark: SparkSession, config: Config, embedded: DataFrame, report_path: str, run_id: str) -> None:
+    """Write a run's usage, one event per file, and the states of its files; a repeated run writes them once."""
+    asked = embedded.where(F.col("vector").isNotNull()).groupBy("source", "file_id")
+    tokens = asked.agg(F.sum("total_tokens").alias("total_tokens")).withColumns(
+        {"model": F.lit(config.model), "user_id": F.lit(config.user or config.id)}
+    )
+    events = usage.usage_events(usage.with_cost(tokens, embed.models(spark)), application=F.col("file_id"))
+    events.write.mode("overwrite").parquet(f"{config.sink}/usage/run={run_id}")
+    states = spark.read.schema(REPORT).parquet(report_path).select(
+        "file_id", "source_name", "status", F.current_timestamp().alias("ts")
+    )
+    states.write.mode("overwrite").parquet(f"{config.sink}/states/run={run_id}")
+
+
+def recorded_usage(spark: SparkSession, config: Config) -> DataFrame:
+    """Usage events of all runs into the table; ``application`` is the file."""
+    return spark.read.parquet(f"{config.sink}/usage").drop("run")
+
+
+def recorded_states(spark: SparkSession, config: Config) -> DataFrame:
+    """The latest state of each file over all runs into the table."""
+    return usage.latest_status(spark.read.parquet(f"{config.sink}/states"))
+
+
 REPORT = "file_id string, source_name string, status string, vectors bigint, error string"
 
 

@@ -6,6 +6,7 @@ from docvec import cluster
 from docvec.functions import maps
 from docvec.operators import chunk, embed, store
 from docvec.plans import ingest
+from docvec.plans.query_accounts import TOKENS
 from docvec.plans.query_chunks import WINDOWS
 from docvec.plans.registry import query, table
 from docvec.sources import documents
@@ -135,6 +136,47 @@ def usage_window(spark, sf):
     )
 
 
+@query(
+    """SELECT date_trunc('hour', ts) AS window_start, event_type AS model, count(*) AS requests,
+              SUM(length(props))::BIGINT AS total_tokens, round(avg(value), 9) AS latency_ms FROM events GROUP BY ALL"""
+)
+def usage_window_batches(spark, sf):
+    """Six micro-batches that all hold rows of the same hours: each one adds to the state of those before."""
+    path = cluster.scratch_path(spark, "usage6")
+    rows = table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("model"),
+        F.length("props").alias("total_tokens"), F.col("value").alias("latency_ms"),
+    )
+    rows.repartition(6).write.parquet(f"{path}/in")
+    events = streams.table_stream(spark, f"{path}/in", "*.parquet", rows.schema, max_files=1)
+    windows = accounts.usage_by_window(events, delay="400 days")
+    accounts.run_each(windows, write_batch(f"{path}/out"), f"{path}/checkpoint").awaitTermination()
+    found = kept_batches(spark, f"{path}/out", ["window_start", "model"], ["requests", "total_tokens", "latency_ms"])
+    return found.withColumns(
+        {"window_start": F.col("window_start").cast("timestamp_ntz"), "latency_ms": F.round("latency_ms", 9)}
+    )
+
+
+@query(
+    f"""SELECT doc_id // 50 AS bucket, sum({TOKENS})::BIGINT AS tokens, round(sum({TOKENS}) * 0.00000002::DOUBLE, 10) AS cost,
+               'completed' AS status
+        FROM documents GROUP BY doc_id // 50"""
+)
+def run_usage(spark, sf):
+    """What a run of the whole flow records: tokens and cost per file, and the files' states."""
+    config = ingest.Config(
+        "q", "texts", (ingest.Source("texts", f"{write_sources(spark, sf)}/texts", glob="*.txt"),),
+        cluster.scratch_path(spark, "accounted"), model="text-embedding-3-small", user="u",
+    )
+    ingest.run(spark, config, batch_id="first")
+    ingest.run(spark, config, batch_id="first")
+    bucket = F.regexp_extract("file_id", "bucket=([0-9]+)/", 1).cast("bigint").alias("bucket")
+    used = ingest.recorded_usage(spark, config).select(
+        F.col("application").alias("file_id"), F.col("completion_tokens").alias("tokens"), F.round("cost", 10).alias("cost")
+    )
+    return used.join(ingest.recorded_states(spark, config), "file_id").select(bucket, "tokens", "cost", "status")
+
+
 @query(
     """SELECT user_id AS file_id, arg_max(event_type, event_id) AS status, max(ts) AS timestamp
        FROM events GROUP BY user_id"""
