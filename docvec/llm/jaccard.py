@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
-from docvec.llm.kernels import mix, pack48, shingle_sets, slices, unpack48
+from docvec.llm.kernels import mix, pack48, shingle_sets, slices, trim, unpack48
 
 SHINGLE = 5
 PERCENT = 80
@@ -46,6 +46,7 @@ def sets(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     @F.arrow_udf("struct<node:bigint,n:bigint>")
     def counted(texts: pa.Array) -> pa.Array:
         found = [(node_of(s) if len(s) else None, len(s)) for _, part in slices(texts) for s in shingle_sets(part, shingle)]
+        trim()
         return pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([n for _, n in found], pa.int64())], ["node", "n"])
 
     return df.select(F.col(key).alias("key"), counted(text).alias("s")).select("key", "s.node", "s.n")
@@ -95,6 +96,7 @@ def dealt(df: DataFrame, text: str, shingle: int, buckets: int) -> DataFrame:
                     waiting = 0
         if held:
             yield flush()
+        trim()
 
     return df.select(text).mapInArrow(rows, "bucket long, nodes binary, sizes binary, counts binary, tokens binary")
 
@@ -160,6 +162,7 @@ def candidates(parts: DataFrame, percent: int) -> DataFrame:
                     hashed = np.partition(mix(tokens), min(1, len(tokens) - 1))[:2].astype(np.int64)
                     rows.append({"node": node, "n": n, "tokens": pack48(tokens), "head": head, "h1": int(hashed[0]), "h2": int(hashed[-1])})
             yield pa.RecordBatch.from_pylist(rows, schema=CANDIDATES)
+        trim()
 
     whole = parts.groupBy("node").agg(F.first("n").alias("n"), F.collect_list("shared").alias("pieces"))
     return whole.mapInArrow(chosen, "node long, n int, tokens binary, head int, h1 long, h2 long")

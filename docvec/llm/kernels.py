@@ -1,5 +1,7 @@
 """Array work on texts inside a task: words, their hashes, word shingles and packed integers."""
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def trim() -> None:
+    """Give freed memory back to the system, so that a worker between two tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(column: pa.Array, size: int = STEP) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``size`` bytes together, and where they begin; null becomes empty."""
     texts = pc.fill_null(column, "")

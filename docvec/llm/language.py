@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docvec.llm.kernels import LOWER, slices, utf8
+from docvec.llm.kernels import LOWER, slices, trim, utf8
 
 UNKNOWN = "und"
 # Language codes by family; a code that is not listed is a family of its own.
@@ -216,6 +216,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             a, b = shared.value.predict(texts)
             langs += a
             scores += b
+        trim()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
 
     found = df.withColumn("lang_pred", predicted(text))

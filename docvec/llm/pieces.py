@@ -21,11 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvec.llm.kernels import long_hashes, slices, utf8
+from docvec.llm.kernels import long_hashes, slices, trim, utf8
 
 SPACE = "▁"
 # Distinct words, and pairs of neighbours, that a worker remembers; beyond them it starts anew.
-WORDS_KEPT, PAIRS_KEPT = 500_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 450_000, 300_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -268,6 +268,7 @@ def encode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
         ids = np.concatenate([np.empty(0, np.int32), *[i for i, _ in found]])
         ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
         lists = pa.ListArray.from_arrays(ends, pa.array(ids))
+        trim()
         return pc.if_else(texts.is_null(), pa.scalar(None, lists.type), lists) if texts.null_count else lists
 
     return df.withColumn("ids", encoded(text))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
-from docvec.llm.kernels import byte_class, slices, with_runs
+from docvec.llm.kernels import byte_class, slices, trim, with_runs
 
 REACH = 200
 
@@ -98,6 +98,7 @@ def parts(df: DataFrame, text: str) -> DataFrame:
                 base = base_spans(value, low, has_hex)
                 for column, spans in zip(both, (base, weak_spans(value, low, has_opaque, base)), strict=True):
                     column.append([dict(zip(keys, s, strict=True)) for s in spans])
+        trim()
         return pa.StructArray.from_arrays([pa.array(c, kind) for c in both], ["base", "weak"])
 
     rows = df.withColumn("base_spans", found(text))
