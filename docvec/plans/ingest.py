@@ -40,7 +40,8 @@ class Config:
 
     ``keep_content`` stores the text of chunks beside their vectors; ``replace_files`` lets a file
     that is read again replace all that is stored of it. ``model`` and ``user`` name what usage is
-    recorded under; a model without a known price has usage without a cost.
+    recorded under; a model without a known price has usage without a cost. With ``empty_files`` a
+    file without bytes has a row in the report too.
     """
 
     id: str
@@ -53,13 +54,14 @@ class Config:
     replace_files: bool = False
     model: str = "hash"
     user: str = ""
+    empty_files: bool = False
 
 
 def listed(spark: SparkSession, config: Config, extract_type: str = "full", last_run: datetime | None = None) -> DataFrame:
     """Listing and content of all sources' files; a delta lists only later files."""
     found = []
     for i, s in enumerate(config.sources):
-        rows = files.read_content(spark, s.root, s.name, s.glob, s.prefix).withColumn("source", F.lit(i))
+        rows = files.read_content(spark, s.root, s.name, s.glob, s.prefix, config.empty_files).withColumn("source", F.lit(i))
         found.append(rows if s.objects is None else files.merge_object_metadata(rows, s.objects).select(*rows.columns))
     return files.extract(found, extract_type, last_run)
 

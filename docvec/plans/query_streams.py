@@ -1,5 +1,6 @@
 """Registered queries: streams run to the end of their input, and the whole flow."""
 
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from docvec import cluster
@@ -9,7 +10,7 @@ from docvec.plans import ingest
 from docvec.plans.query_accounts import TOKENS
 from docvec.plans.query_chunks import WINDOWS
 from docvec.plans.registry import query, table
-from docvec.sources import documents
+from docvec.sources import documents, files
 from docvec.streaming import accounts
 from docvec.streaming import ingest as streams
 
@@ -255,3 +256,48 @@ def run_files(spark, sf):
     bucket = F.regexp_extract("file_id", "bucket=([0-9]+)/", 1).cast("bigint")
     n = F.when(F.col("source_name") == "events", F.col("vectors"))
     return report.select("source_name", bucket.alias("bucket"), "status", "error", n.alias("n"))
+
+
+HIDDEN = 50
+
+
+def hidden_files(spark, sf):
+    """Names of customers as one file of each bucket, most of them hidden by their own or their folder's name, and empty files.
+
+    The tasks write them, since Spark gives its files names of its own.
+    """
+    path = cluster.scratch_path(spark, "hidden")
+    rows = table(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / HIDDEN).alias("bucket")).agg(
+        F.array_join(F.sort_array(F.collect_list("c_name")), "\n").alias("text")
+    )
+
+    def write(batches):
+        for batch in batches:
+            for bucket, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "text")), strict=True):
+                store, base = fs.FileSystem.from_uri(path)
+                name = ("_x.txt", ".x.txt", "_d/x.txt", "x.txt")[bucket % 4]
+                for file, content in ((name, text), (f"{'_' * (bucket % 2)}empty.txt", "")):
+                    at = f"{base}/bucket={bucket}/{file}"
+                    store.create_dir(at.rpartition("/")[0])
+                    with store.open_output_stream(at, compression=None) as out:
+                        out.write(content.encode())
+            yield batch
+
+    rows.mapInArrow(write, rows.schema).write.format("noop").mode("overwrite").save()
+    return path
+
+
+@query(
+    f"""WITH b AS (SELECT c_custkey // {HIDDEN} AS bucket, count(*) AS n FROM customer GROUP BY ALL)
+        SELECT 'bucket=' || bucket || CASE bucket % 4 WHEN 0 THEN '/_x.txt' WHEN 1 THEN '/.x.txt' WHEN 2 THEN '/_d/x.txt'
+               ELSE '/x.txt' END AS file_id, 'completed' AS status, n::BIGINT AS vectors FROM b
+        UNION ALL
+        SELECT 'bucket=' || bucket || CASE bucket % 2 WHEN 1 THEN '/_empty.txt' ELSE '/empty.txt' END, 'processing', 0 FROM b"""
+)
+def run_hidden(spark, sf):
+    """Files with hidden names and in hidden folders go through the whole flow, a chunk per line; empty files are reported."""
+    root = hidden_files(spark, sf)
+    objects = files.list_full(spark, root).select("id", maps.from_columns({"chunker_name": F.lit(chunk.CUSTOM)}).alias("metadata"))
+    source = ingest.Source("names", root, objects=objects)
+    config = ingest.Config("q", "hidden", (source,), cluster.scratch_path(spark, "found"), chunker=str.splitlines, empty_files=True)
+    return ingest.run(spark, config).select("file_id", "status", "vectors")

@@ -2,7 +2,7 @@
 
 import re
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.cluster import written
+from docvec.cluster import scratch_path, written
 from docvec.functions import maps
 from docvec.functions import text as tx
 
@@ -46,23 +46,42 @@ def object_key(path: Column, root: str) -> Column:
 
 WALKED = "path string, modificationTime timestamp, length bigint, folder boolean"
 
+# Fixed value: bytes of files that a task hands over at once, unless one file alone has more.
+BATCH_BYTES = 16_000_000
+
+
+def _store(root: str):
+    """pyarrow's file system of ``root``, the path in it, and what a path in it needs in front; None if it has none."""
+    from pyarrow import fs
+
+    try:
+        store, base = fs.FileSystem.from_uri(root)
+    except (ValueError, OSError, NotImplementedError):
+        return None
+    return store, base, root[: len(root.rstrip("/")) - len(base.rstrip("/"))] if root.rstrip("/").endswith(base.rstrip("/")) else ""
+
 
 def walk(spark: SparkSession, root: str) -> DataFrame:
     """Every file below ``root``, with hidden names and without any bytes too.
 
     Spark's own index leaves out names that begin with ``_`` or ``.`` and empty files. Here tasks
     list the folders, one level of the tree after the other; a level is a written table. A root
-    that does not exist has no files. ``root`` is a path or URI that pyarrow's file systems know.
+    that does not exist has no files. In a store that pyarrow does not know, such as ``s3a``, the
+    driver lists the files by Hadoop. The checksums that Hadoop keeps beside local files are no files.
     """
+    known = _store(root)
+    if known is None:
+        return _hadoop_files(spark, root)
+    store, base, scheme = known
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         for batch in batches:
             for folder in batch.column("path").to_pylist():
-                store, base = fs.FileSystem.from_uri(folder)
-                scheme = folder[: len(folder.rstrip("/")) - len(base.rstrip("/"))] if folder.rstrip("/").endswith(base.rstrip("/")) else ""
-                found = store.get_file_info(fs.FileSelector(base, recursive=False, allow_not_found=True))
+                found = store.get_file_info(fs.FileSelector(folder[len(scheme) :], recursive=False, allow_not_found=True))
+                sums = {f".{x.base_name}.crc" for x in found} if store.type_name == "local" else ()
+                found = [x for x in found if x.base_name not in sums]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([scheme + x.path for x in found], pa.string()),
@@ -73,32 +92,74 @@ def walk(spark: SparkSession, root: str) -> DataFrame:
                     ["path", "modificationTime", "length", "folder"],
                 )
 
-    level = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string")
+    level = spark.createDataFrame([(scheme + (base.rstrip("/") or "/"),)], "path string")
     levels = []
     while not level.isEmpty():
         levels.append(written(level.mapInArrow(entries, WALKED), "walk"))
         folders = levels[-1].where("folder").select("path")
         level = folders.repartition("path")
-    if not levels:
-        return spark.createDataFrame([], WALKED).drop("folder")
     return reduce(lambda a, b: a.unionByName(b), levels).where("NOT folder").drop("folder")
 
 
-def contents(files: DataFrame) -> DataFrame:
-    """``files`` with the bytes of each file of a walk, read by the tasks."""
+def _hadoop_files(spark: SparkSession, root: str) -> DataFrame:
+    """A walk by Hadoop's file system, on the driver."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    if fs.exists(at):
+        found = fs.listFiles(at, True)
+        while found.hasNext():
+            file = found.next()
+            modified = datetime.fromtimestamp(file.getModificationTime() / 1000, timezone.utc)
+            rows.append((file.getPath().toString(), modified, file.getLen()))
+    return spark.createDataFrame(rows, "path string, modificationTime timestamp, length bigint")
 
-    @F.arrow_udf("binary")
-    def read(paths: pa.Array) -> pa.Array:
-        from pyarrow import fs
 
-        found = []
-        for path in paths.to_pylist():
-            store, name = fs.FileSystem.from_uri(path)
-            with store.open_input_stream(name) as file:
-                found.append(file.read())
-        return pa.array(found, pa.binary())
+def contents(files: DataFrame, root: str) -> DataFrame:
+    """``files`` of a walk below ``root`` with the bytes of each file, read by the tasks.
+
+    From a store that pyarrow does not know, the driver copies the files to the shared folder by
+    Hadoop, under names that Spark reads; so ``files`` should be only those that Spark leaves out.
+    """
+    known = _store(root)
+    if known is None:
+        return _copied(files)
+    store, _, scheme = known
 
-    return files.repartition("path").withColumn("content", read("path"))
+    @F.arrow_udf("binary")
+    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for paths, lengths in batches:
+            found, size = [], 0
+            for path, length in zip(paths.to_pylist(), lengths.to_pylist(), strict=True):
+                if found and size + length > BATCH_BYTES:
+                    yield pa.array(found, pa.binary())
+                    found, size = [], 0
+                if length:
+                    with store.open_input_stream(path[len(scheme) :], compression=None) as file:
+                        found.append(file.read())
+                else:
+                    found.append(b"")
+                size += length
+            yield pa.array(found, pa.binary())
+
+    return files.repartition("path").withColumn("content", read("path", "length"))
+
+
+def _copied(files: DataFrame) -> DataFrame:
+    """``files`` with their bytes, by way of copies in the shared folder."""
+    spark = files.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = scratch_path(spark, "copied")
+    names = []
+    for i, row in enumerate(files.where("length > 0").select("path").toLocalIterator()):
+        old, new = (jvm.org.apache.hadoop.fs.Path(x) for x in (row["path"], f"{at}/{i}.copy"))
+        jvm.org.apache.hadoop.fs.FileUtil.copy(old.getFileSystem(conf), old, new.getFileSystem(conf), new, False, conf)
+        names.append((row["path"], f"{i}.copy"))
+    if not names:
+        return files.withColumn("content", F.lit(b""))
+    copies = _binary(spark, at).select(F.regexp_extract("path", "[^/]*$", 0).alias("copy"), "content")
+    copies = spark.createDataFrame(names, "path string, copy string").join(copies, "copy").drop("copy")
+    return files.join(copies, "path", "left").withColumn("content", F.coalesce("content", F.lit(b"")))
 
 
 def _binary(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -197,14 +258,29 @@ def file_attributes(spark: SparkSession, root: str, key: str | None = None) -> D
 
 
 def read_content(
-    spark: SparkSession, root: str, source_name: str = "default", glob: str | None = None, prefix: str = ""
+    spark: SparkSession,
+    root: str,
+    source_name: str = "default",
+    glob: str | None = None,
+    prefix: str = "",
+    empty: bool = False,
 ) -> DataFrame:
-    """Listing plus the file bytes, which the executors read.
+    """Listing plus the file bytes, which the executors read; with ``empty``, files without bytes too.
 
-    Files without bytes and names that begin with ``_`` or ``.`` hold no documents and are left to
-    ``list_full``; ``contents`` reads those too.
+    Spark's reader takes the files it knows of, and ``contents`` those that its index leaves out
+    because of a name that begins with ``_`` or ``.``, be it the file's or a folder's.
     """
-    files = _existing(spark, _below(root, prefix), glob)
+    below = _below(root, prefix)
+    files = _existing(spark, below, glob)
+    rest = walk(spark, below)
+    if not empty:
+        rest = rest.where("length > 0")
+    if glob:
+        rest = rest.where(F.regexp_extract("path", "[^/]*$", 0).rlike(_glob_pattern(glob)))
+    key = object_key(F.col("path"), root)
+    seen = files.select(key.alias("key"))
+    left_out = written(rest.withColumn("key", key).join(seen, "key", "left_anti").drop("key"), "left-out")
+    files = files.unionByName(contents(left_out, below))
     return with_prefix(listing(files, root, source_name, with_content=True), prefix)
 
 

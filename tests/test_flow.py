@@ -1,3 +1,4 @@
+import dataclasses
 import os
 from datetime import datetime, timedelta, timezone
 
@@ -8,7 +9,7 @@ import __spark_entry__ as entry
 from docvec import cluster
 from docvec.operators import chunk, embed, store
 from docvec.plans import ingest
-from docvec.sources import documents
+from docvec.sources import documents, files
 from docvec.streaming import accounts
 from docvec.streaming import ingest as streams
 
@@ -123,6 +124,50 @@ def test_missing_folder_is_empty(spark, tmp_path):
     assert ingest.run(spark, config).collect() == []
 
 
+HIDDEN = {"_notes.md": "of notes", ".x.txt": "a dot", "_d/deep one/y.txt": "in a folder", ".d/50%_z.txt": "percent", "plain.txt": "seen"}
+
+
+def hidden_folder(tmp_path, name="in"):
+    root = tmp_path / name
+    for key, text in HIDDEN.items():
+        (root / key).parent.mkdir(parents=True, exist_ok=True)
+        (root / key).write_text(text)
+    (root / "_empty.txt").write_text("")
+    (root / "none.txt").write_text("")
+    (root / "._notes.md.crc").write_bytes(b"crc\0")  # what Hadoop keeps beside a local file
+    return str(root)
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_hidden_names_go_through_the_flow(spark, tmp_path, scheme):
+    source = ingest.Source("d", scheme + hidden_folder(tmp_path))
+    config = ingest.Config("p", "t", (source,), cluster.scratch_path(spark, "hidden"), keep_content=True)
+    report = {r["file_id"]: (r["status"], r["vectors"]) for r in ingest.run(spark, config).collect()}
+    assert report == dict.fromkeys(HIDDEN, ("completed", 1))
+    stored = {r["file_id"]: r["content"] for r in store.read_table(spark, config.sink).collect()}
+    assert stored == HIDDEN
+    named = dataclasses.replace(config, sink=cluster.scratch_path(spark, "named"), empty_files=True)
+    report = {r["file_id"]: (r["status"], r["vectors"]) for r in ingest.run(spark, named).collect()}
+    assert report == dict.fromkeys(HIDDEN, ("completed", 1)) | dict.fromkeys(("_empty.txt", "none.txt"), ("processing", 0))
+
+
+def test_hidden_names_in_a_store_only_hadoop_knows(spark, tmp_path):
+    root = hidden_folder(tmp_path)
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.hidden.link./in", f"file://{root}")
+    found = files.read_content(spark, "viewfs://hidden/in", empty=True).collect()
+    assert {r["id"]: bytes(r["content"]).decode() for r in found} == HIDDEN | {"_empty.txt": "", "none.txt": ""}
+
+
+def test_many_small_and_large_hidden_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", 1000)
+    want = {f"_{i}.txt": f"{i}" * (1 + 400 * (i % 3)) for i in range(40)} | {"_empty.txt": ""}
+    for name, text in want.items():
+        (tmp_path / name).write_text(text)
+    found = files.read_content(spark, str(tmp_path), empty=True, glob="_*")
+    assert {r["id"]: bytes(r["content"]).decode() for r in found.repartition(1).collect()} == want
+    assert found.where(F.col("last_modified") > datetime(2100, 1, 1)).count() == 0
+
+
 def test_many_writes_are_few_scans(spark):
     path = cluster.scratch_path(spark, "many")
     rows = spark.range(3).select(F.col("id").cast("string").alias("id"), F.array(F.lit(1.0)).cast("array<float>").alias("vector"),
