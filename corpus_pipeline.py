@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docvec.cluster import written
 from docvec.llm import jaccard, language, mixing, pieces, secrets
-from docvec.llm.kernels import small_batches
+from docvec.llm.kernels import set_aside, small_batches
 
 # A text whose language is less certain than this is in none of the learned languages.
 LEAST_SCORE = 0.2
@@ -16,27 +16,28 @@ VOCABULARY = "piece_bpe_32k.model"
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn the languages from the labelled documents; documents in none of them go, a missing label is filled in."""
     small_batches(spark)
+    docs, given = set_aside(docs, "doc_id", "text", "lang")
     found = language.identify(docs, language.fit(docs))
     known = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return given(known.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     small_batches(spark)
-    return jaccard.keep_one(docs).select(*docs.columns)
+    return jaccard.keep_one(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark."""
     small_batches(spark)
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are dropped or repeated until every source has its share of words."""
     small_batches(spark)
-    return mixing.repeat(docs).select(*docs.columns)
+    return mixing.repeat(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

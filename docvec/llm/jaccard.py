@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
-from docvec.llm.kernels import mix, pack48, shingle_sets, slices, trim, unpack48
+from docvec.llm.kernels import mix, pack48, set_aside, shingle_sets, slices, trim, unpack48
 
 SHINGLE = 5
 PERCENT = 80
@@ -450,9 +450,10 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     Rows that repeat a key with the same text are one row. A row without words is a component of
     its own and stays. All columns are kept as they are.
     """
+    df, given = set_aside(df, key, text)
     spot = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"))
     found = join(df.select(spot.alias("spot"), F.col(text).alias("text")), "spot", "text", shingle, percent)
     chosen = found.where(F.col("spot").eqNullSafe(F.col("component_id"))).select(F.col("spot.key").alias("kept_key"), F.col("spot.hash").alias("kept_hash"))
     rows = df.select("*", F.xxhash64(text).alias("row_hash"))
     here = F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("row_hash") == F.col("kept_hash"))
-    return rows.join(written(chosen, "kept"), here, "left_semi").dropDuplicates([key, "row_hash"]).drop("row_hash")
+    return given(rows.join(written(chosen, "kept"), here, "left_semi").dropDuplicates([key, "row_hash"]))

@@ -2,12 +2,12 @@
 
 import contextlib
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes that one step of the array work takes at most, unless one word is longer.
 STEP = 1 << 21
@@ -30,6 +30,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def set_aside(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but those ``used`` under names that no operator works with, and what gives them back.
+
+    What is given back has the columns of ``df``, in their order, and no others.
+    """
+    kept = {u if u in df.columns else next((c for c in df.columns if c.lower() == u.lower()), u) for u in used}
+    names = [c if c in kept else f"extra_{i}" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), lambda found: found.select(*names).toDF(*df.columns)
+
+
 def trim() -> None:
     """Give freed memory back to the system, so that a worker between two tasks holds little."""
     pa.default_memory_pool().release_unused()

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
+from docvec.llm.kernels import set_aside
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -148,9 +149,10 @@ def repeat(df: DataFrame, text: str = "text", source: str = "source", key: str =
     Rows that repeat a key with the same text are taken together. Texts move once, to meet their
     number of copies.
     """
+    df, given = set_aside(df, text, source, key)
     rows = df.select("*", F.xxhash64(text).alias("row_hash"))
     taken = mix(rows, text, source, key, keep=["row_hash"], **options).groupBy(key, "row_hash").agg(F.sum("copies").alias("row_copies"))
     taken = taken.where("row_copies > 0").select(F.col(key).alias("row_key"), F.col("row_hash").alias("taken_hash"), "row_copies")
     here = F.col(key).eqNullSafe(F.col("row_key")) & (F.col("row_hash") == F.col("taken_hash"))
     met = rows.join(taken, here).drop("row_key", "taken_hash").dropDuplicates([key, "row_hash"])
-    return met.withColumn("row_copies", F.explode(F.sequence(F.lit(1), F.col("row_copies")))).drop("row_hash", "row_copies")
+    return given(met.withColumn("row_copies", F.explode(F.sequence(F.lit(1), F.col("row_copies")))))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
-from docvec.llm.kernels import byte_class, slices, trim, with_runs
+from docvec.llm.kernels import byte_class, set_aside, slices, trim, with_runs
 
 REACH = 200
 
@@ -164,5 +164,6 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int
             result.append(value)
         return pa.array(result, pa.string())
 
+    df, given = set_aside(df, text)
     found = scan(df, text, reach)
-    return found.withColumn(text, cleaned(text, "spans.start", "spans.end")).drop("base_spans", "spans")
+    return given(found.withColumn(text, cleaned(text, "spans.start", "spans.end")))

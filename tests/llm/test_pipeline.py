@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from docvec.cluster import written
 from docvec.llm import mixing, secrets
@@ -47,6 +49,25 @@ def test_every_stage_against_its_own_input(spark):
     assert all(r["n_tokens"] == len(r["ids"]) > 0 for r in after)
 
 
+def test_extra_columns_pass_unharmed(spark):
+    """Columns named like those the stages work with, and names that Spark would take apart."""
+    names = ["spans", "base_spans", "weak_spans", "linked_spans", "text_key", "row_hash", "row_copies", "row_key", "taken_hash",
+             "kept_key", "kept_hash", "score", "lang_pred", "copies", "size", "ids", "n_tokens", "a.b", "extra_5"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = docs.columns
+    marks = [F.concat(F.lit(f"{n} of "), F.col("doc_id")).alias(n) for n in names]
+    docs = written(docs.select(F.col("doc_id"), *marks, *plain[1:]), "marked")
+    columns, bare = docs.columns, docs.select(*plain)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, bare = written(stage(spark, docs, SF), "marked"), written(stage(spark, bare, SF), "bare")
+        assert docs.columns == columns, name
+        rows = docs.collect()
+        assert all(r[n] == f"{n} of {r['doc_id']}" for r in rows for n in names), name
+        assert Counter(tuple(r[c] for c in plain) for r in rows) == Counter(map(tuple, bare.collect())), name
+    last = corpus_pipeline.sentencepiece(spark, docs, SF)
+    assert Counter(map(str, last.collect())) == Counter(map(str, corpus_pipeline.sentencepiece(spark, bare, SF).collect()))
+
+
 def test_language_id_keeps_clean_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert corpus_pipeline.language_id(spark, docs, "").count() == docs.where(docs["text"].rlike(r"\p{L}")).count()
