@@ -201,8 +201,35 @@ def list_full(
 
 
 def _glob_pattern(glob: str) -> str:
-    """``*`` and ``?`` of a file name as a regular expression."""
-    return "^" + "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in glob) + "$"
+    """A glob of file names, as Hadoop reads it, as a regular expression: ``*``, ``?``, ``{a,b}``, ``[a-z]``, ``[!a]``, ``\\``."""
+    found, braces, in_set, at = [], 0, False, 0
+    while at < len(glob):
+        c = glob[at]
+        if c == "\\":
+            at += 1
+            if at == len(glob):
+                raise ValueError(f"glob {glob!r} ends with a backslash")
+            found.append(re.escape(glob[at]))
+        elif in_set:
+            if c == "[":
+                raise ValueError(f"glob {glob!r} has an unclosed [")
+            in_set = c != "]"
+            found.append("^" if c in "!^" and glob[at - 1] == "[" else "\\&" if c == "&" else c)
+        elif c == "[":
+            in_set = True
+            found.append(c)
+        elif c == "{":
+            braces += 1
+            found.append("(?:")
+        elif c in ",}" and braces:
+            braces -= c == "}"
+            found.append("|" if c == "," else ")")
+        else:
+            found.append({"*": ".*", "?": "."}.get(c) or re.escape(c))
+        at += 1
+    if braces or in_set:
+        raise ValueError(f"glob {glob!r} has an unclosed {'[' if in_set else '{'}")
+    return rf"\A{''.join(found)}\z"
 
 
 def _existing(spark: SparkSession, root: str, glob: str | None) -> DataFrame:

@@ -55,6 +55,28 @@ def test_prefix(spark, bucket, prefix, want):
     assert files.list_full(spark, bucket, prefix).count() == want
 
 
+@pytest.mark.parametrize(
+    "glob,want",
+    [("*.{csv,json}", {"a.csv", "b.json"}), ("part-[0-9]*", {"part-1.txt"}), ("part-[!0-9]*", {"part-x.txt"}),
+     ("{a,{b,part-?}}.*", {"a.csv", "b.json", "part-1.txt", "part-x.txt"}), ("c\\[1].t*", {"c[1].txt"}), ("*", None)],
+)
+def test_globs_are_those_of_the_reader(spark, tmp_path, glob, want):
+    names = {"a.csv", "b.json", "part-1.txt", "part-x.txt", "c[1].txt"}
+    for name in names:
+        write(str(tmp_path), name, "x")
+    assert {r["id"] for r in files.list_full(spark, str(tmp_path), glob=glob).collect()} == (want or names)
+    assert {r["id"] for r in files.read_content(spark, str(tmp_path), glob=glob).collect()} == (want or names)
+    hidden = write(str(tmp_path), "_d/a.csv", "y")
+    found = {r["id"] for r in files.read_content(spark, str(tmp_path), glob=glob).collect()}
+    assert os.path.exists(hidden) and found - names == ({"_d/a.csv"} if not want or "a.csv" in want else set())
+
+
+@pytest.mark.parametrize("glob", ["{a", "[a", "a\\"])
+def test_broken_globs_are_errors(spark, tmp_path, glob):
+    with pytest.raises(ValueError, match="glob"):
+        files.list_full(spark, str(tmp_path), glob=glob)
+
+
 def test_listing_does_not_read_content(spark, bucket):
     plan = files.list_full(spark, bucket)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
