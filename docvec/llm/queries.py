@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.llm import chat, jaccard, language, mixing, pieces, secrets, spotsigs, tokenfiles, topk, urls
+from docvec.llm import chat, infill, jaccard, language, mixing, pieces, secrets, spotsigs, tokenfiles, topk, urls, variants, warc
 from docvec.llm.kernels import small_batches
 from docvec.plans.registry import query
 
@@ -191,3 +191,69 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"),
         F.coalesce(F.col("decoded") == F.col("text"), F.lit(True)).alias("round_trip"),
     )
+
+
+@query(
+    """
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+            sha256('1:' || doc_id) AS d
+        FROM documents
+    ), numbers AS (
+        SELECT doc_id, t, tokens, CAST(len(tokens) AS BIGINT) AS n,
+            list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(d, i, 8) AS BIGINT)) AS h
+        FROM drawn
+    ), cuts AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM numbers
+    ), parts AS (
+        SELECT *, array_to_string(tokens[1:a], '') AS p, array_to_string(tokens[a + 1:b], '') AS m, array_to_string(tokens[b + 1:n], '') AS s
+        FROM cuts
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM parts
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in its form for filling in the middle, and the text restored from that."""
+    made = infill.transform(load(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "fim.*")
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query(
+    """
+    WITH paid AS (
+        SELECT page_id, sha256(coalesce(html, '')) AS digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS size FROM pages
+    ), firsts AS (
+        SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM paid
+    )
+    SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+        CASE WHEN size >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN size >= 100 AND page_id > first THEN first END AS refers_to
+    FROM firsts
+    """
+)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of web archives, read back from them."""
+    archives = warc.write(load(spark, sf_dir, "pages", "page_id", "url", "html"))
+    found = warc.read(archives, with_payload=False)
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", warc.sound(found).alias("record_type"), "refers_to")
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all documents with the spelling it is a variant of."""
+    return variants.group(variants.word_counts(load(spark, sf_dir, "documents", "doc_id", "text")))
