@@ -98,7 +98,8 @@ def test_counts_against_brute_force(spark):
     got = variants.word_counts(df).orderBy("id").collect()
     assert {r["word"]: r["n"] for r in got} == brute_counts(docs)
     assert [r["word"] for r in got] == sorted(r["word"] for r in got)
-    assert {tuple(r) for r in variants.group(variants.word_counts(df)).collect()} == brute(c := brute_counts(docs), near_words(c))
+    counts = brute_counts(docs)
+    assert {tuple(r) for r in variants.group(variants.word_counts(df)).collect()} == brute(counts, near_words(counts))
 
 
 def test_very_long_words_and_no_words(spark):
