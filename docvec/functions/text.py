@@ -1,11 +1,12 @@
-"""Text columns. Everything here stays in the JVM."""
+"""Text columns. Everything here but the scan of HTML stays in the JVM."""
 
 from collections.abc import Callable
-from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docvec.functions import html
+
 # The characters that count as white space.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -19,19 +20,6 @@ BLANK = r"\t-\r\x1c-\x1f\x85\p{Z}"
 # What words are made of, as the body of a class.
 WORD = r"\p{L}\p{M}\p{N}\p{Pc}"
 
-# HTML elements that start a new line of text.
-BLOCK_TAGS = (
-    "address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
-    "h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|title|ul"
-)
-# HTML elements whose body is never text.
-HIDDEN_TAGS = ("script", "style", "noscript", "template")
-# A reference to a character: decimal, hexadecimal or by name. The names that HTML lets end
-# without a semicolon count if no letter, digit or sign of assignment follows.
-NAMED = {name.rstrip(";"): text for name, text in sorted(html5.items())}
-BARE = "|".join(sorted(name for name in html5 if not name.endswith(";")))
-REFERENCE = rf"&(?:#[0-9]{{1,7}};|#[xX][0-9a-fA-F]{{1,6}};|[A-Za-z][A-Za-z0-9]*;|(?:{BARE})(?![A-Za-z0-9=;]))"
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that it uses more than once, with the value computed once."""
@@ -106,58 +94,15 @@ def cut_words(text: Column, window: int = 750, skip: int = 500) -> Column:
     return let(words(text), cut)
 
 
-# What is no text, found from left to right so that a comment inside a script stays part of
-# the script: comments, hidden elements with their body, and tags that do not end a line.
-# Attributes may hold ">" between quotes; a tag whose quotes do not close ends at the next ">".
-ATTRIBUTES = r"""(?:\s(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?=>)|[^>]*))?"""
-ENDS_LINE = rf"(?:{BLOCK_TAGS}){ATTRIBUTES}/?>"
-NO_TEXT = (
-    r"(?is)<(?:!--.*?(?:-->|\z)|"
-    + "|".join(rf"{tag}{ATTRIBUTES}>.*?(?:</{tag}\s*>|\z)" for tag in HIDDEN_TAGS)
-    + rf"|/?(?!{ENDS_LINE})[a-z!][^\s>]*{ATTRIBUTES}>)"
-)
-
-
-def unescape_entities(text: Column) -> Column:
-    """All named entities of HTML, and decimal and hexadecimal references, each decoded once.
-
-    The text is cut at its references and put together again, so what a reference stands for is
-    never read as part of another one. Unknown names stay as they are.
-    """
-    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
-
-    def decoded(ref: Column) -> Column:
-        body = F.rtrim(F.substring(ref, 3, 8), F.lit(";"))
-        hexadecimal = F.lower(F.substring(body, 1, 1)) == "x"
-        digits = F.when(hexadecimal, F.substring(body, 2, 6)).otherwise(F.conv(body, 10, 16))
-        named = names[F.rtrim(F.substring(ref, 2, 64), F.lit(";"))]
-        return F.when(ref.startswith("&#"), let(digits, character)).otherwise(F.coalesce(named, ref))
-
-    def character(digits: Column) -> Column:
-        code = F.conv(digits, 16, 10).cast("bigint")
-        legal = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
-        bytes_ = F.unhex(F.lpad(F.when(legal, digits), 8, "0"))
-        return F.coalesce(F.decode(bytes_, "UTF-32"), F.lit("\ufffd"))
-
-    def decode(t: Column) -> Column:
-        found = F.regexp_extract_all(t, F.lit(REFERENCE), 0)
-        between = F.split(t, REFERENCE, -1)
-        pairs = F.zip_with(between, found, lambda x, ref: F.concat(x, F.coalesce(decoded(ref), F.lit(""))))
-        return F.array_join(pairs, "")
-
-    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), decode(t)).otherwise(t))
-
-
 def squeeze(text: Column) -> Column:
     """Runs of blanks become one blank, runs of blank lines one line break; ends trimmed."""
     steps = [(r"[ \t\r\f\x0b\x{a0}]{2,}|[\t\r\f\x0b\x{a0}]", " "), (r" ?\n[ \n]*", "\n")]
     return F.btrim(replace_chain(text, steps), F.lit(" \n"))
 
 
-def html_to_text(html: Column) -> Column:
+def html_to_text(page: Column) -> Column:
     """Readable text of an HTML page: one line per block element, tags and scripts gone."""
-    lines = replace_chain(html, [(NO_TEXT, ""), (rf"(?i)</?{ENDS_LINE}", "\n")])
-    return squeeze(unescape_entities(lines))
+    return squeeze(html.visible_text(page))
 
 
 def markdown_steps() -> list[tuple[str, str]]:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from docvec.functions import maps
 from docvec.functions import text as tx
 from docvec.operators import chunk, embed
+from docvec.plans.query_accounts import TOKENS
 from docvec.plans.registry import query, table
 from docvec.sources import documents
 
@@ -293,8 +294,8 @@ def hash_embed(spark, sf):
 
 
 @query(
-    r"""SELECT doc_id::VARCHAR AS id, length(text)::DOUBLE AS v0, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS v1,
-               len(regexp_extract_all(text, '[0-9A-Za-z_]+|[^0-9A-Za-z_\s]'))::BIGINT AS prompt_tokens FROM documents"""
+    f"""SELECT doc_id::VARCHAR AS id, length(text)::DOUBLE AS v0, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS v1,
+               {TOKENS} AS prompt_tokens FROM documents"""
 )
 def embed_model(spark, sf):
     """A caller's model, here two plain measures of a text."""
