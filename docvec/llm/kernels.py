@@ -2,6 +2,7 @@
 
 import contextlib
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,32 +71,121 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """1, m, m², ... modulo 2**64, as many as were ever asked for."""
-
-    def __init__(self, m: int):
-        self.m, self.held = np.uint64(m), np.ones(1, dtype=np.uint64)
-
-    def first(self, n: int) -> np.ndarray:
-        if len(self.held) < n:
-            self.held = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, 4096) - 1, self.m)]), dtype=np.uint64)
-        return self.held[:n]
-
-
-POWERS, INVERSE = Powers(ODD), Powers(pow(ODD, -1, 1 << 64))
 # Bytes hashed at a time, few enough that the arrays stay in the processor's cache.
 HASH_STEP = 1 << 18
+# Spans of more bytes are hashed and compared one by one.
+LONG_SPAN = 256
+BLOCK = 8
+# The bytes of a block that belong to a span, by their number.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(BLOCK + 1)], dtype=np.uint64)
+
+
+def windows(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``data`` on, as an integer; zeros follow the last byte."""
+    padded = np.zeros(len(data) + BLOCK, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.lib.stride_tricks.as_strided(padded.view(np.uint8)[:BLOCK].view("<u8"), (len(data) + 1,), (1,))
 
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span.
 
-    It is the sum of byte * ODD**place over the span, moved to place 0, with the length mixed in.
+    The length, then each block of eight bytes, goes through ``mix``, so spans of one length up to
+    eight bytes differ in their hashes whenever they differ. Long ones have a keyed BLAKE2b.
+    """
+    size = stop - begin
+    found = mix(size.astype(np.uint64) * np.uint64(ODD))
+    blocks = windows(data)
+    left = np.flatnonzero(size <= LONG_SPAN) if len(size) and int(size.max()) > LONG_SPAN else np.arange(len(size))
+    for at in range(0, LONG_SPAN, BLOCK):
+        left = left[size[left] > at] if at else left
+        if not len(left):
+            break
+        block = blocks[begin[left] + at] & KEEP[np.minimum(size[left] - at, BLOCK)]
+        found[left] = mix(found[left] ^ block)
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(data[begin[i] : stop[i]].tobytes(), digest_size=8, key=b"spans").digest()
+        found[i] = int.from_bytes(digest, "little")
+    return found
+
+
+def same_spans(data: np.ndarray, begin: np.ndarray, other: np.ndarray, other_begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether spans of ``size`` bytes are equal, byte by byte."""
+    same = np.ones(len(size), dtype=bool)
+    one, two = windows(data), windows(other)
+    left = np.flatnonzero(size <= LONG_SPAN)
+    for at in range(0, LONG_SPAN, BLOCK):
+        left = left[size[left] > at]
+        if not len(left):
+            break
+        same[left] &= ((one[begin[left] + at] ^ two[other_begin[left] + at]) & KEEP[np.minimum(size[left] - at, BLOCK)]) == 0
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        n = int(size[i])
+        same[i] = np.array_equal(data[begin[i] : begin[i] + n], other[other_begin[i] : other_begin[i] + n])
+    return same
+
+
+def distinct_spans(raw: bytes, begin: np.ndarray, stop: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each span a number, equal for equal bytes only, and for each number the first span that has it.
+
+    Equal hashes are no proof: every span is compared with the first one of its hash.
     """
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * POWERS.first(len(data)), out=sums[1:])
-    own = (sums[stop] - sums[begin]) * INVERSE.first(len(data))[begin]
-    return mix(own + (stop - begin).astype(np.uint64))
+    import pandas as pd
+
+    code, _ = pd.factorize(hashes)
+    first = firsts(code)
+    data, other = np.frombuffer(raw, np.uint8), first[code]
+    size = stop - begin
+    same = size == size[other]
+    same[same] = same_spans(data, begin[same], data, begin[other[same]], size[same])
+    if not same.all():
+        code = pd.factorize(np.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], dtype=object))[0]
+        first = firsts(code)
+    return code, first
+
+
+def firsts(code: np.ndarray) -> np.ndarray:
+    first = np.empty(int(code.max()) + 1 if len(code) else 0, np.int64)
+    first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    return first
+
+
+class KnownWords:
+    """Numbers of words that were added before, in arrays: ordered hashes, and the bytes to compare with."""
+
+    def __init__(self):
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.begins, self.sizes, self.data = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint8)
+        self.count = 0
+
+    def find(self, raw: bytes, begin: np.ndarray, stop: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each span, -1 for one that is not known."""
+        found = np.full(len(hashes), -1, np.int64)
+        if not len(self.hashes):
+            return found
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number, size = self.numbers[at], stop - begin
+        met = np.flatnonzero((self.hashes[at] == hashes) & (self.sizes[number] == size))
+        same = same_spans(np.frombuffer(raw, np.uint8), begin[met], self.data, self.begins[number[met]], size[met])
+        found[met[same]] = number[met[same]]
+        return found
+
+    def add(self, raw: bytes, begin: np.ndarray, stop: np.ndarray, hashes: np.ndarray) -> None:
+        """Number new, distinct spans one after the other. One with the hash of a known word gets a number but is not found again."""
+        size = stop - begin
+        numbers = np.arange(self.count, self.count + len(hashes), dtype=np.int32)
+        ends = np.cumsum(size)
+        place = np.repeat(begin - (ends - size), size)
+        place += np.arange(len(place))
+        self.begins = np.concatenate([self.begins, len(self.data) + ends - size])
+        self.sizes = np.concatenate([self.sizes, size.astype(np.int32)])
+        self.data = np.concatenate([self.data, np.frombuffer(raw, np.uint8)[place]])
+        self.count += len(hashes)
+        values, chosen = np.unique(hashes, return_index=True)
+        at = np.searchsorted(self.hashes, values)
+        taken = self.hashes[np.minimum(at, len(self.hashes) - 1)] == values if len(self.hashes) else np.zeros(len(values), bool)
+        values, chosen, at = values[~taken], chosen[~taken], at[~taken]
+        self.hashes, self.numbers = np.insert(self.hashes, at, values), np.insert(self.numbers, at, numbers[chosen])
 
 
 def long_hashes(raw: bytes, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:

@@ -13,7 +13,7 @@ so one path is left, and the ids are those of the library.
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvec.llm.kernels import long_hashes, slices, trim, utf8
+from docvec.llm.kernels import KnownWords, distinct_spans, long_hashes, slices, trim, utf8
 
 SPACE = "▁"
 # Distinct words, and pairs of neighbours, that a worker remembers; beyond them it starts anew.
@@ -135,7 +135,7 @@ class Coder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}  # hash of a word: its number
+        self.known = KnownWords()
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
 
     def fits(self, left: int, right: int) -> bool:
@@ -197,36 +197,34 @@ class Coder:
             yield ids[::-1]
             before = word
 
-    def learn(self, words: list[str], hashes: list[int]) -> None:
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words, kept in the order of ``words``."""
         order = sorted(range(len(words)), key=words.__getitem__)
-        found = list(self.walk([words[k] for k in order]))
-        self.known.update(zip([hashes[k] for k in order], range(len(self.known), len(self.known) + len(order)), strict=True))
+        found: list[list[int]] = [[]] * len(words)
+        for k, ids in zip(order, self.walk([words[k] for k in order]), strict=True):
+            found[k] = ids
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
-        import pandas as pd
-
         raw = [utf8(t) for t in (self.pieces.model.normalize(texts) if texts else [])]
         bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)])
         joined = b"".join(raw)
         begin = self.pieces.cut(joined, bounds[:-1])
-        stop = np.append(begin[1:], len(joined))
-        code, distinct = pd.factorize(long_hashes(joined, begin, stop))
-        distinct = distinct.tolist()
-        if len(self.known) > self.kept:
+        stop = np.append(begin[1:], len(joined)) if len(begin) else begin
+        hashes = long_hashes(joined, begin, stop)
+        code, first = distinct_spans(joined, begin, stop, hashes)
+        if self.known.count > self.kept:
             self.forget()
-        number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        number = self.known.find(joined, begin[first], stop[first], hashes[first])
         new = np.flatnonzero(number < 0)
         if len(new):
-            first = np.empty(len(distinct), np.int64)
-            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-            spots = zip(begin[first[new]].tolist(), stop[first[new]].tolist(), strict=True)
-            hashes = [distinct[k] for k in new.tolist()]
-            self.learn([joined[a:b].decode("utf-8", "surrogatepass") for a, b in spots], hashes)
-            number[new] = np.fromiter(map(self.known.__getitem__, hashes), np.int64, len(hashes))
+            number[new] = np.arange(self.known.count, self.known.count + len(new))
+            spots = first[new]
+            self.known.add(joined, begin[spots], stop[spots], hashes[spots])
+            self.learn([joined[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin[spots].tolist(), stop[spots].tolist(), strict=True)])
         number = number[code]
         size = self.starts[number + 1] - self.starts[number]
         ends = np.concatenate([[0], np.cumsum(size)])

@@ -12,7 +12,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docvec.cluster import scratch_path, written
-from docvec.llm.kernels import HASH_STEP, IS_SPACE, LOWER, STEP, slices, span_hashes, utf8
+from docvec.llm.kernels import HASH_STEP, IS_SPACE, LOWER, STEP, KnownWords, distinct_spans, slices, span_hashes, utf8
 
 MAGIC = b"WAVELET1"
 HEADER = "<8sQQQQQ"  # magic, tokens, documents, different ids, planes, bits of a block
@@ -290,7 +289,7 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}  # hash of a piece: its number
+        self.known = KnownWords()
         self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)  # ids of all known pieces, where each begins
 
     def plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -303,9 +302,8 @@ class WordEncoder:
             raise ValueError("the tokenizer does not close every word")
         return ids, np.diff(cuts, prepend=0)
 
-    def learn(self, words: list[bytes], odd: np.ndarray, hashes: list[int]) -> None:
-        """``words`` and their hashes with all plain ones before the odd ones."""
-        self.known.update(zip(hashes, range(len(self.known), len(self.known) + len(hashes)), strict=True))
+    def learn(self, words: list[bytes], odd: np.ndarray) -> None:
+        """Ids of new words, all plain ones before the odd ones."""
         first = len(words) - int(odd.sum())
         ids, sizes = self.plain(words[:first])
         other = self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words[first:]], add_special_tokens=False)
@@ -314,28 +312,24 @@ class WordEncoder:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([*sizes.tolist(), *map(len, rest)], dtype=np.int64)])
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        import pandas as pd
-
         raw = [utf8(t) for t in texts]
         bounds = np.cumsum([0, *[len(r) + 1 for r in raw]])
         joined = b"\n".join(raw)
         if b"<|" not in joined:  # reserved strings count as they are written, all else in lower case
             joined = joined.translate(LOWER)
         begin, stop, hashes, odd = pieces(joined)
-        code, distinct = pd.factorize(hashes)
-        distinct = distinct.tolist()
-        if len(self.known) > self.kept:
+        code, first = distinct_spans(joined, begin, stop, hashes)
+        if self.known.count > self.kept:
             self.forget()
-        number = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        number = self.known.find(joined, begin[first], stop[first], hashes[first])
         new = np.flatnonzero(number < 0)
         if len(new):
-            first = np.empty(len(distinct), np.int64)
-            first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
             new = new[np.argsort(odd[first[new]], kind="stable")]
             spots = first[new]
-            number[new] = np.arange(len(self.known), len(self.known) + len(new))
+            number[new] = np.arange(self.known.count, self.known.count + len(new))
+            self.known.add(joined, begin[spots], stop[spots], hashes[spots])
             words = [joined[a:b] for a, b in zip(begin[spots].tolist(), stop[spots].tolist(), strict=True)]
-            self.learn(words, odd[spots], [distinct[k] for k in new.tolist()])
+            self.learn(words, odd[spots])
         number = number[code]
         size = (self.starts[1:] - self.starts[:-1])[number]
         ends = np.cumsum(size)
