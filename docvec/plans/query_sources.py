@@ -45,30 +45,6 @@ def list_full(spark, sf):
     )
 
 
-@query(
-    f"""SELECT b::VARCHAR AS folder, CASE b % 3 WHEN 0 THEN '_x.txt' WHEN 1 THEN '.x.txt' ELSE 'x.txt' END AS name,
-               sum(length(c_name) + 1)::BIGINT AS size
-        FROM (SELECT c_custkey // {BUCKET} AS b, c_name FROM customer) GROUP BY b
-        UNION ALL SELECT DISTINCT (c_custkey // {BUCKET})::VARCHAR, 'empty.txt', 0 FROM customer"""
-)
-def list_hidden(spark, sf):
-    """Names that begin with _ or . and files without bytes are listed like all others; a missing folder has none."""
-    path = name_files(spark, sf)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-    for folder in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)):
-        if folder.isDirectory():
-            at = folder.getPath()
-            number = int(at.getName().partition("=")[2])
-            for file in fs.listStatus(at):
-                fs.rename(file.getPath(), jvm.org.apache.hadoop.fs.Path(at, ("_x.txt", ".x.txt", "x.txt")[number % 3]))
-            fs.create(jvm.org.apache.hadoop.fs.Path(at, "empty.txt")).close()
-    found = files.list_full(spark, path).unionByName(files.list_full(spark, path, "no/such/folder/"))
-    name = F.regexp_extract("id", "([^/]*)$", 1)
-    own = found.select(F.regexp_extract("id", FOLDER, 1).alias("folder"), name.alias("name"), "size")
-    return own.where(F.col("name").endswith("x.txt") | (F.col("name") == "empty.txt"))
-
-
 @query(
     """SELECT r_regionkey || '.id' AS id, 'id: ' || r_regionkey || chr(10) || 'body: ' || repeat(r_name, 40000) AS content
        FROM region"""

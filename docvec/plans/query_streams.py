@@ -10,7 +10,7 @@ from docvec.plans import ingest
 from docvec.plans.query_accounts import TOKENS
 from docvec.plans.query_chunks import WINDOWS
 from docvec.plans.registry import query, table
-from docvec.sources import documents, files
+from docvec.sources import documents, files, objects
 from docvec.streaming import accounts
 from docvec.streaming import ingest as streams
 
@@ -261,13 +261,17 @@ def run_files(spark, sf):
 HIDDEN = 50
 
 
-def hidden_files(spark, sf):
+def hidden_files(spark, sf, path=None, turn=None):
     """Names of customers as one file of each bucket, most of them hidden by their own or their folder's name, and empty files.
 
-    The tasks write them, since Spark gives its files names of its own.
+    The tasks write them, since Spark gives its files names of its own; of all files, or of those of
+    even or odd buckets.
     """
-    path = cluster.scratch_path(spark, "hidden")
-    rows = table(spark, sf, "customer").groupBy(F.floor(F.col("c_custkey") / HIDDEN).alias("bucket")).agg(
+    path = path or cluster.scratch_path(spark, "hidden")
+    rows = table(spark, sf, "customer")
+    if turn is not None:
+        rows = rows.where(F.floor(F.col("c_custkey") / HIDDEN) % 2 == turn)
+    rows = rows.groupBy(F.floor(F.col("c_custkey") / HIDDEN).alias("bucket")).agg(
         F.array_join(F.sort_array(F.collect_list("c_name")), "\n").alias("text")
     )
 
@@ -287,6 +291,33 @@ def hidden_files(spark, sf):
     return path
 
 
+HIDDEN_NAME = "CASE bucket % 4 WHEN 0 THEN '_x.txt' WHEN 1 THEN '.x.txt' WHEN 2 THEN '_d/x.txt' ELSE 'x.txt' END"
+
+
+@query(
+    f"""WITH b AS (
+            SELECT c_custkey // {HIDDEN} AS bucket, string_agg(c_name, chr(10) ORDER BY c_name) AS text FROM customer GROUP BY ALL
+        )
+        SELECT 'bucket=' || bucket || '/' || {HIDDEN_NAME} AS id, text AS content, (bucket % 2)::BIGINT AS turn FROM b
+        UNION ALL
+        SELECT 'bucket=' || bucket || CASE bucket % 2 WHEN 1 THEN '/_empty.txt' ELSE '/empty.txt' END, '', bucket % 2 FROM b"""
+)
+def stream_objects(spark, sf):
+    """A stream over hidden, empty and late files: half of them come when two micro-batches are done, the second of them empty."""
+    path = cluster.scratch_path(spark, "objects")
+
+    def keep(batch, number):
+        batch.select("id", F.col("content").cast("string").alias("content")).write.mode("overwrite").parquet(f"{path}/out/batch={number}")
+
+    for turn in (0, 1):
+        hidden_files(spark, sf, f"{path}/in", turn)
+        for _ in range(2 - turn):  # a run with nothing new adds no row
+            rows = streams.object_stream(spark, f"{path}/in", settle=0, empty=True)
+            accounts.run_each(rows, keep, f"{path}/checkpoint", mode="append").awaitTermination()
+    found = spark.read.parquet(f"{path}/out")
+    return found.select("id", "content", (F.col("batch") > 0).cast("bigint").alias("turn"))
+
+
 @query(
     f"""WITH b AS (SELECT c_custkey // {HIDDEN} AS bucket, count(*) AS n FROM customer GROUP BY ALL)
         SELECT 'bucket=' || bucket || CASE bucket % 4 WHEN 0 THEN '/_x.txt' WHEN 1 THEN '/.x.txt' WHEN 2 THEN '/_d/x.txt'
@@ -301,3 +332,30 @@ def run_hidden(spark, sf):
     source = ingest.Source("names", root, objects=objects)
     config = ingest.Config("q", "hidden", (source,), cluster.scratch_path(spark, "found"), chunker=str.splitlines, empty_files=True)
     return ingest.run(spark, config).select("file_id", "status", "vectors")
+
+
+@query(
+    f"""WITH b AS (
+            SELECT c_custkey // {HIDDEN} AS bucket, sum(length(c_name) + 1)::BIGINT - 1 AS size FROM customer GROUP BY ALL
+        ), f AS (
+            SELECT bucket, {HIDDEN_NAME} AS name, size FROM b
+            UNION ALL SELECT bucket, CASE bucket % 2 WHEN 1 THEN '_empty.txt' ELSE 'empty.txt' END, 0 FROM b
+        )
+        SELECT bucket::VARCHAR AS folder, name, size, k AS listing FROM f, (VALUES ('walk'), ('source')) AS v(k)"""
+)
+def list_hidden(spark, sf):
+    """Names that begin with _ or . and files without bytes are listed like all others, in shares of folders and by the data source.
+
+    A folder that does not exist has none.
+    """
+    root = hidden_files(spark, sf)
+    walked = objects.walk(spark, root, budget=50, many=20, shares=4)
+    walked = walked.unionByName(files.walk(spark, f"{root}/no/such/folder"))
+    spark.dataSource.register(objects.Objects)
+    loaded = spark.read.format(objects.FORMAT).option("many", "20").load(root)
+    found = walked.withColumn("listing", F.lit("walk")).unionByName(loaded.withColumn("listing", F.lit("source")))
+    key = files.object_key(F.col("path"), root)
+    return found.select(
+        F.regexp_extract(key, "^bucket=([0-9]+)/", 1).alias("folder"), F.regexp_extract(key, "^[^/]*/(.*)$", 1).alias("name"),
+        F.col("length").alias("size"), "listing",
+    )

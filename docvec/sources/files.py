@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docvec.cluster import scratch_path, written
 from docvec.functions import maps
 from docvec.functions import text as tx
+from docvec.sources import objects
 
 # Content types by extension, for stores that report none.
 CONTENT_TYPES = {
@@ -44,61 +45,20 @@ def object_key(path: Column, root: str) -> Column:
     return F.when(bare.startswith(base + "/"), F.substring(bare, len(base) + 2, 1 << 30)).otherwise(bare)
 
 
-WALKED = "path string, modificationTime timestamp, length bigint, folder boolean"
-
-# Fixed value: bytes of files that a task hands over at once, unless one file alone has more.
-BATCH_BYTES = 16_000_000
-
-
-def _store(root: str):
-    """pyarrow's file system of ``root``, the path in it, and what a path in it needs in front; None if it has none."""
-    from pyarrow import fs
-
-    try:
-        store, base = fs.FileSystem.from_uri(root)
-    except (ValueError, OSError, NotImplementedError):
-        return None
-    return store, base, root[: len(root.rstrip("/")) - len(base.rstrip("/"))] if root.rstrip("/").endswith(base.rstrip("/")) else ""
+# Bytes of files that a task hands over at once, unless one file alone has more, and
+# bytes of files per task where there are many.
+BATCH_BYTES, TASK_BYTES = 16_000_000, 128_000_000
 
 
 def walk(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``, with hidden names and without any bytes too.
+    """Every file below ``root``, with hidden names and without any bytes too: ``path``, ``modificationTime``, ``length``.
 
     Spark's own index leaves out names that begin with ``_`` or ``.`` and empty files. Here tasks
-    list the folders, one level of the tree after the other; a level is a written table. A root
-    that does not exist has no files. In a store that pyarrow does not know, such as ``s3a``, the
-    driver lists the files by Hadoop. The checksums that Hadoop keeps beside local files are no files.
+    list the folders, see ``objects.walk``. A root that does not exist has no files. In a store that
+    only Hadoop knows the driver lists the files.
     """
-    known = _store(root)
-    if known is None:
-        return _hadoop_files(spark, root)
-    store, base, scheme = known
-
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        for batch in batches:
-            for folder in batch.column("path").to_pylist():
-                found = store.get_file_info(fs.FileSelector(folder[len(scheme) :], recursive=False, allow_not_found=True))
-                sums = {f".{x.base_name}.crc" for x in found} if store.type_name == "local" else ()
-                found = [x for x in found if x.base_name not in sums]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([scheme + x.path for x in found], pa.string()),
-                        pa.array([x.mtime for x in found], pa.timestamp("us", "UTC")),
-                        pa.array([x.size or 0 for x in found], pa.int64()),
-                        pa.array([x.type == fs.FileType.Directory for x in found], pa.bool_()),
-                    ],
-                    ["path", "modificationTime", "length", "folder"],
-                )
-
-    level = spark.createDataFrame([(scheme + (base.rstrip("/") or "/"),)], "path string")
-    levels = []
-    while not level.isEmpty():
-        levels.append(written(level.mapInArrow(entries, WALKED), "walk"))
-        folders = levels[-1].where("folder").select("path")
-        level = folders.repartition("path")
-    return reduce(lambda a, b: a.unionByName(b), levels).where("NOT folder").drop("folder")
+    found = objects.walk(spark, root)
+    return _hadoop_files(spark, root) if found is None else found
 
 
 def _hadoop_files(spark: SparkSession, root: str) -> DataFrame:
@@ -115,19 +75,20 @@ def _hadoop_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, modificationTime timestamp, length bigint")
 
 
-def contents(files: DataFrame, root: str) -> DataFrame:
-    """``files`` of a walk below ``root`` with the bytes of each file, read by the tasks.
+def contents(files: DataFrame, root: str, partitions: int | None = None) -> DataFrame:
+    """``files`` of a walk below ``root`` with the bytes of each file, read by the tasks; a stream too.
 
-    From a store that pyarrow does not know, the driver copies the files to the shared folder by
-    Hadoop, under names that Spark reads; so ``files`` should be only those that Spark leaves out.
+    From a store that only Hadoop knows, the driver copies the files to the shared folder, under
+    names that Spark reads; so ``files`` should be only those that Spark leaves out.
     """
-    known = _store(root)
-    if known is None:
+    spark = files.sparkSession
+    store_of = objects.Store.of(spark, root)
+    if store_of is None:
         return _copied(files)
-    store, _, scheme = known
 
     @F.arrow_udf("binary")
     def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        store = store_of()
         for paths, lengths in batches:
             found, size = [], 0
             for path, length in zip(paths.to_pylist(), lengths.to_pylist(), strict=True):
@@ -135,14 +96,16 @@ def contents(files: DataFrame, root: str) -> DataFrame:
                     yield pa.array(found, pa.binary())
                     found, size = [], 0
                 if length:
-                    with store.open_input_stream(path[len(scheme) :], compression=None) as file:
+                    with store.files.open_input_stream(path[len(store.scheme) :], compression=None) as file:
                         found.append(file.read())
                 else:
                     found.append(b"")
                 size += length
             yield pa.array(found, pa.binary())
 
-    return files.repartition("path").withColumn("content", read("path", "length"))
+    # A number of its own: few bytes of names would be put together in one task.
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(partitions, "path").withColumn("content", read("path", "length"))
 
 
 def _copied(files: DataFrame) -> DataFrame:
@@ -196,10 +159,15 @@ def list_full(
     """
     files = walk(spark, _below(root, prefix))
     if glob:
-        files = files.where(F.regexp_extract("path", "[^/]*$", 0).rlike(_glob_pattern(glob)))
+        files = files.where(named(glob))
     return with_prefix(listing(files, root, source_name), prefix)
 
 
+def named(glob: str) -> Column:
+    """Whether the file's name fits ``glob``."""
+    return F.regexp_extract("path", "[^/]*$", 0).rlike(_glob_pattern(glob))
+
+
 def _glob_pattern(glob: str) -> str:
     """A glob of file names, as Hadoop reads it, as a regular expression: ``*``, ``?``, ``{a,b}``, ``[a-z]``, ``[!a]``, ``\\``."""
     found, braces, in_set, at = [], 0, False, 0
@@ -294,20 +262,24 @@ def read_content(
 ) -> DataFrame:
     """Listing plus the file bytes, which the executors read; with ``empty``, files without bytes too.
 
-    Spark's reader takes the files it knows of, and ``contents`` those that its index leaves out
-    because of a name that begins with ``_`` or ``.``, be it the file's or a folder's.
+    One walk lists, and its tasks' files are read by tasks. In a store that only Hadoop knows,
+    Spark's reader takes the files that its index has, and ``contents`` the others.
     """
     below = _below(root, prefix)
-    files = _existing(spark, below, glob)
-    rest = walk(spark, below)
+    files = walk(spark, below)
     if not empty:
-        rest = rest.where("length > 0")
+        files = files.where("length > 0")
     if glob:
-        rest = rest.where(F.regexp_extract("path", "[^/]*$", 0).rlike(_glob_pattern(glob)))
-    key = object_key(F.col("path"), root)
-    seen = files.select(key.alias("key"))
-    left_out = written(rest.withColumn("key", key).join(seen, "key", "left_anti").drop("key"), "left-out")
-    files = files.unionByName(contents(left_out, below))
+        files = files.where(named(glob))
+    if objects.Store.of(spark, below) is None:
+        key = object_key(F.col("path"), root)
+        seen = _existing(spark, below, glob)
+        left_out = written(files.withColumn("key", key).join(seen.select(key.alias("key")), "key", "left_anti").drop("key"), "left-out")
+        files = seen.unionByName(contents(left_out, below))
+    else:
+        files = with_prefix(files.withColumn("key", object_key(F.col("path"), root)), prefix, "key").drop("key")
+        size = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        files = contents(files, below, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES)))
     return with_prefix(listing(files, root, source_name, with_content=True), prefix)
 
 

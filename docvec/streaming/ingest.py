@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docvec.operators import store
-from docvec.sources import files
+from docvec.sources import files, objects
 
 # Longer than any file is old.
 ANY_AGE = "100000d"
@@ -29,7 +29,11 @@ def file_stream(
     max_files: int | None = None,
     max_age: str = ANY_AGE,
 ) -> DataFrame:
-    """New files below ``root`` with their content, in the shape of ``files.read_content``."""
+    """New files below ``root`` with their content, in the shape of ``files.read_content``, by Spark's file stream.
+
+    It takes any store that Hadoop knows and bounds a micro-batch in files, but sees neither hidden
+    names nor empty files; ``object_stream`` does.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY).options(
         recursiveFileLookup="true", maxFileAge=max_age
     )
@@ -40,6 +44,29 @@ def file_stream(
     return files.listing(reader.load(root), root, source_name, with_content=True)
 
 
+def object_stream(
+    spark: SparkSession,
+    root: str,
+    source_name: str = "default",
+    glob: str | None = None,
+    late: str | None = None,
+    settle: float = objects.SETTLE,
+    empty: bool = False,
+) -> DataFrame:
+    """Every file below ``root`` once with its content, in the shape of ``files.read_content``.
+
+    Other than ``file_stream`` it sees hidden names and, with ``empty``, files without bytes; tasks
+    list the folders, so no name passes the driver, and what was seen is state dealt out by path.
+    See ``objects.stream`` for ``late`` and ``settle``. A micro-batch takes all there is.
+    """
+    found = objects.stream(spark, root, settle, late)
+    if not empty:
+        found = found.where("length > 0")
+    if glob:
+        found = found.where(files.named(glob))
+    return files.listing(files.contents(found, root), root, source_name, with_content=True)
+
+
 def table_stream(spark: SparkSession, folder: str, glob: str, schema, max_files: int | None = None) -> DataFrame:
     """New Parquet files of a folder as a stream of rows."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
