@@ -2,7 +2,8 @@
 
 Where a field is a top-level column, the literal takes the column's type, so the predicate
 reaches the Parquet scan. Fields of the metadata map are ``metadata.<key>`` or, when no
-column has the name, the plain key; their values are text.
+column has the name, the plain key; their values are text. A column named ``metadata.<key>`` stands
+for that key, so its predicates reach the scan too.
 """
 
 import json
@@ -49,6 +50,8 @@ def _field(df: DataFrame, field: str) -> tuple[Column, T.DataType]:
     if field in by_name:
         return F.col(f"`{field}`"), by_name[field]
     key = field.removeprefix("metadata.")
+    if f"metadata.{key}" in by_name:  # a key of the metadata that has a column of its own
+        return F.col(f"`metadata.{key}`"), by_name[f"metadata.{key}"]
     if isinstance(by_name.get("metadata"), T.MapType):
         return F.col("metadata")[key], T.StringType()
     raise ValueError(f"no column and no metadata for field {field!r}")

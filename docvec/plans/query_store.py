@@ -6,7 +6,7 @@ from docvec import cluster
 from docvec.functions import filters as flt
 from docvec.functions import maps
 from docvec.functions import vectors as vec
-from docvec.operators import search, store
+from docvec.operators import index, search, store
 from docvec.plans import ingest
 from docvec.plans.query_chunks import HASHED, WINDOWS
 from docvec.plans.registry import query, table
@@ -158,6 +158,29 @@ def vector_topk_filtered(spark, sf):
     return search.search(stored(spark, sf), first_vector(spark, sf), 10, filters).select("id", score())
 
 
+@query(
+    f"""WITH scored AS (
+            SELECT e.vec_id::VARCHAR AS id, e.label, e.vec_id, {TO_FIRST} AS s
+            FROM embeddings e, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) q
+        )
+        SELECT 'all' AS kind, id, round(s, 6) AS score FROM (SELECT * FROM scored ORDER BY s DESC, id LIMIT 10)
+        UNION ALL
+        SELECT 'some', id, round(s, 6) FROM (
+            SELECT * FROM scored WHERE label::VARCHAR IN ('2', '4', '6') AND label < 6 ORDER BY s DESC, id LIMIT 10)"""
+)
+def vector_topk_index(spark, sf):
+    """Searches of a copy in cells, all rows and filtered by a metadata key that has a column there."""
+    path = cluster.scratch_path(spark, "cells")
+    index.build(stored(spark, sf), path, keys=("label",), cell_rows=100)
+    query = first_vector(spark, sf)
+    filters = [
+        {"field": "metadata.label", "operator": "IN", "value": '["2", "4", "6"]'},
+        {"field": "label", "operator": "LESS_THAN", "value": 6},
+    ]
+    found = [index.search(spark, path, query, 10, f).withColumn("kind", F.lit(k)) for k, f in (("all", None), ("some", filters))]
+    return found[0].unionByName(found[1]).select("kind", "id", score())
+
+
 ALL_PAIRS = f"""
     SELECT query_id, id, round(score, 6) AS score, rank FROM (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
