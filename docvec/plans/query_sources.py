@@ -8,7 +8,7 @@ from docvec import cluster
 from docvec.functions import maps
 from docvec.functions import text as tx
 from docvec.plans.registry import query, table
-from docvec.sources import documents, files, jsondocs, tables
+from docvec.sources import documents, files, jsondocs, quoted, tables
 
 
 
@@ -201,6 +201,25 @@ def csv_files(spark, sf):
     )
 
 
+@query(
+    f"""SELECT doc_id % 7 AS part, doc_id || '.doc_id' AS id,
+               row_number() OVER (PARTITION BY doc_id % 7 ORDER BY doc_id) - 1 AS row,
+               'doc_id: ' || doc_id || chr(10) || 'cell: "' || replace(text, ' ', chr(10)) || '", ' || source AS content
+        FROM documents"""
+)
+def csv_quoted(spark, sf):
+    """Seven files whose cells hold line breaks, each read in many splits that begin anywhere."""
+    path = cluster.scratch_path(spark, "quoted")
+    cell = F.concat(F.lit('"'), F.translate("text", " ", "\n"), F.lit('", '), "source", F.lit("\n"))
+    rows = table(spark, sf, "documents", "doc_id", "text", "source").select((F.col("doc_id") % 7).alias("part"), "doc_id", cell.alias("cell"))
+    ordered = rows.repartition(7, "part").sortWithinPartitions("part", "doc_id")
+    ordered.write.partitionBy("part").csv(path, header=True, escape='"')
+    docs = quoted.docs(quoted.read_rows(spark, path, "*.csv", split_bytes=100_000), id_key="doc_id")
+    meta = F.col("metadata")
+    part = F.regexp_extract(meta["source"], "part=([0-9]+)/", 1).cast("bigint")
+    return docs.select(part.alias("part"), "id", meta["row"].cast("bigint").alias("row"), "content")
+
+
 # ---------------------------------------------------------------- JSON
 
 
