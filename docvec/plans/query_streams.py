@@ -11,7 +11,7 @@ from docvec.plans.query_accounts import TOKENS
 from docvec.plans.query_chunks import WINDOWS
 from docvec.plans.registry import query, table
 from docvec.sources import documents, files, objects
-from docvec.streaming import accounts
+from docvec.streaming import accounts, life
 from docvec.streaming import ingest as streams
 
 
@@ -318,6 +318,34 @@ def stream_objects(spark, sf):
     return found.select("id", "content", (F.col("batch") > 0).cast("bigint").alias("turn"))
 
 
+LIFE = "CASE WHEN event_type IN ('purchase', 'signup') THEN 'completed' ELSE 'processing' END"
+
+
+@query(
+    f"""WITH log AS (SELECT user_id::VARCHAR AS file_id, {LIFE} AS status, epoch_us(ts) // 1000 AS ms FROM events),
+        newest AS (SELECT file_id, arg_max(status, (ms, status)) AS status, max(ms) AS ms FROM log GROUP BY file_id),
+        due AS (SELECT *, status = 'processing' AND ms + 18000000 <= (SELECT max(ms) FROM log) - 600000 AS late FROM newest)
+        SELECT file_id, CASE WHEN late THEN 'failed' ELSE status END AS status, CASE WHEN late THEN ms + 18000000 ELSE ms END AS ms,
+               CASE WHEN late THEN 'no end within 300 minutes' END AS error FROM due"""
+)
+def stream_life(spark, sf):
+    """The last state of each file, by timers on a stream in three micro-batches: what is overdue has failed."""
+    path = cluster.scratch_path(spark, "life")
+    completed = F.col("event_type").isin("purchase", "signup")
+    log = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("file_id"), F.when(completed, "completed").otherwise("processing").alias("status"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+    log.repartitionByRange(3, "timestamp").write.parquet(f"{path}/in")
+    rows = streams.table_stream(spark, f"{path}/in", "*.parquet", log.schema, max_files=1)
+    life.run(rows, write_batch(f"{path}/out"), f"{path}/checkpoint", delay="10 minutes", keep_minutes=1e6)
+    told = spark.read.parquet(f"{path}/out")
+    order = F.struct("timestamp", "batch")
+    return told.groupBy("file_id").agg(*[F.max_by(c, order).alias(c) for c in ("status", "timestamp", "error")]).select(
+        "file_id", "status", F.unix_millis("timestamp").alias("ms"), "error"
+    )
+
+
 @query(
     f"""WITH b AS (SELECT c_custkey // {HIDDEN} AS bucket, count(*) AS n FROM customer GROUP BY ALL)
         SELECT 'bucket=' || bucket || CASE bucket % 4 WHEN 0 THEN '/_x.txt' WHEN 1 THEN '/.x.txt' WHEN 2 THEN '/_d/x.txt'
