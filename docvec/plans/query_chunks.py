@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from docvec.functions import maps
+from docvec.functions import maps, sql
 from docvec.functions import text as tx
-from docvec.operators import chunk, embed
+from docvec.operators import chunk, embed, sections
 from docvec.plans.query_accounts import TOKENS
 from docvec.plans.registry import query, table
 from docvec.sources import documents
@@ -175,6 +175,49 @@ def window_chunks_at_sentences(spark, sf):
     return chunked(spark, sf, chunk.window_chunks(F.col("content"), 300, 0, ". "))
 
 
+@query(WINDOWS.format(size=SIZE, step=SIZE - OVERLAP))
+def sql_chunks(spark, sf):
+    """The same windows by SQL alone, through a table function."""
+    sql.register(spark)
+    return spark.sql(
+        f"""SELECT concat(d.id, '_', c.chunk_index) AS id, d.id AS doc_id, CAST(c.chunk_index AS BIGINT) AS chunk_index, c.content
+            FROM {{docs}} d, LATERAL window_chunks(d.content, {SIZE}, {OVERLAP}) c""",
+        docs=docs(spark, sf),
+    )
+
+
+# Each sentence a line; of six lines the first is a heading, the third one below it, the fifth code.
+@query(
+    r"""WITH l AS (
+            SELECT doc_id, unnest(ls) AS x, unnest(range(len(ls))) AS i
+            FROM (SELECT doc_id, string_split(translate(text, chr(10) || chr(9) || chr(13) || '#`~', '   '), '. ') AS ls FROM documents)
+        ), s AS (
+            SELECT doc_id, i // 6 AS block, i % 6 >= 2 AS below,
+                   string_agg(CASE WHEN i % 6 = 4 THEN '```' || chr(10) || '# ' || x || chr(10) || '```' ELSE x END, chr(10) ORDER BY i)
+                     FILTER (i % 6 NOT IN (0, 2)) AS content
+            FROM l GROUP BY ALL
+        ), t AS (
+            SELECT s.doc_id, block, below, trim(content, ' ' || chr(10)) AS content, trim(a.x) AS h1, trim(b.x) AS h2
+            FROM s JOIN l a ON a.doc_id = s.doc_id AND a.i = block * 6 LEFT JOIN l b ON b.doc_id = s.doc_id AND b.i = block * 6 + 2 AND below
+        )
+        SELECT doc_id::VARCHAR AS doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY block, below) - 1 AS section_index, content, h1, h2
+        FROM t WHERE content <> ''"""
+)
+def markdown_sections(spark, sf):
+    lines = F.split(F.translate("text", "\n\t\r#`~", "   "), r"\. ")
+
+    def marked(x, i):
+        at, code = i % 6, F.concat(F.lit("```\n# "), x, F.lit("\n```"))
+        return F.when(at == 0, F.concat(F.lit("# "), x)).when(at == 2, F.concat(F.lit("## "), x)).when(at == 4, code).otherwise(x)
+
+    rows = table(spark, sf, "documents", "doc_id", "text").withColumn("markdown", F.array_join(F.transform(lines, marked), "\n"))
+    found = sections.explode_sections(documents.string_docs(rows, "doc_id", "markdown"))
+    meta = F.col("metadata")
+    return found.select(
+        "doc_id", F.col("section_index").cast("bigint").alias("section_index"), "content", meta["Header 1"].alias("h1"), meta["Header 2"].alias("h2")
+    )
+
+
 @query(MERGED_LINES)
 def char_chunks(spark, sf):
     return chunked(spark, sf, chunk.character_chunks(F.col("content"), separator="\n"))
