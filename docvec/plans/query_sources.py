@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docvec import cluster
 from docvec.functions import maps
 from docvec.functions import text as tx
+from docvec.operators import admit
 from docvec.plans.registry import query, table
 from docvec.sources import documents, files, jsondocs, quoted, tables
 
@@ -220,6 +221,40 @@ def csv_quoted(spark, sf):
     return docs.select(part.alias("part"), "id", meta["row"].cast("bigint").alias("row"), "content")
 
 
+@query(
+    """WITH f AS (
+            SELECT doc_id, source, CASE WHEN doc_id % 5 = 0 THEN 'csv' WHEN doc_id % 7 = 0 THEN 'metadata' ELSE 'txt' END AS ext, length(text) AS size
+            FROM documents
+        ), w AS (
+            SELECT *, CASE WHEN ext = 'metadata' THEN 'skipped format' WHEN ext = 'csv' THEN 'format not supported' WHEN size > 3000 THEN 'too large' END AS why FROM f
+        ), n AS (
+            SELECT *, count(CASE WHEN why IS NULL THEN 1 END) OVER (PARTITION BY source ORDER BY doc_id::VARCHAR || '.' || ext) AS n FROM w
+        )
+        SELECT doc_id::VARCHAR || '.' || ext AS id, source AS source_name, CASE WHEN why IS NULL AND n > 25 THEN 'too many files' ELSE why END AS refused FROM n"""
+)
+def admitted_files(spark, sf):
+    """Which of the documents, seen as files, a run takes: by format, size and number per source."""
+    kind = F.when(F.col("doc_id") % 5 == 0, "csv").when(F.col("doc_id") % 7 == 0, "metadata").otherwise("txt")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit("."), kind)
+    listed = table(spark, sf, "documents").select(
+        name.alias("id"), name.alias("path"), F.col("source").alias("source_name"), F.length("text").alias("size")
+    )
+    return admit.refusal(listed, max_bytes=3000, max_files=admit.MAX_FILES).select("id", "source_name", "refused")
+
+
+@query(
+    """SELECT c_custkey, n_name AS nation FROM customer JOIN nation ON c_nationkey = n_nationkey
+       WHERE n_regionkey NOT IN (1, 3) OR n_nationkey % 2 = 0"""
+)
+def protected_rows(spark, sf):
+    """Nations of two regions are protected; the user's group opens every other nation."""
+    nations = table(spark, sf, "nation")
+    own = F.when(F.col("n_nationkey") % 2 == 0, "users").otherwise("owners")
+    protected = nations.where("n_regionkey IN (1, 3)").select(F.col("n_name").alias("index"), F.explode(F.array(own, F.lit("admins"))).alias("group"))
+    rows = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("nation"))
+    return admit.visible(rows, protected, ["users", "guests"], "nation").select("c_custkey", "nation")
+
+
 # ---------------------------------------------------------------- JSON
 
 
