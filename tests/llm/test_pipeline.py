@@ -71,3 +71,32 @@ def test_extra_columns_pass_unharmed(spark):
 def test_language_id_keeps_clean_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert corpus_pipeline.language_id(spark, docs, "").count() == docs.where(docs["text"].rlike(r"\p{L}")).count()
+
+
+def test_odd_rows_and_no_rows(spark):
+    """Each stage by itself, on nulls in every column, empty, blank and very long texts and repeated rows, and on an empty table."""
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    prose = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(12).collect()]
+    rows = [(i, t, "en", "src1", len(t)) for i, t in enumerate(prose)]
+    rows += [(100, None, "en", "src0", 0), (101, "", None, None, None), (102, " \n ", "en", "src1", 3), (None, " ".join(reversed(prose[0].split())), None, "src1", None),
+             (103, "long words and secrets " * 60_000, "en", "src2", 9), (0, *rows[0][1:]), (104, "password = hunter22secret", "en", "src1", 1)]
+    docs = written(spark.createDataFrame(rows, schema), "odd")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def keys(df):
+        return Counter(r["doc_id"] for r in df.collect())
+
+    every = keys(docs)
+    found = stages["language ID"](spark, docs, SF)
+    assert keys(found) == every - Counter([100, 101, 102]) and found.columns == docs.columns
+    joined = stages["n-gram Jaccard join"](spark, docs, SF)
+    assert keys(joined) == Counter(dict.fromkeys(every, 1)) and joined.columns == docs.columns
+    clean = {r["doc_id"]: r for r in stages["secret scans"](spark, docs, SF).collect()}
+    assert clean[100]["text"] is None and clean[100]["n_chars"] is None and clean[101]["text"] == "" and clean[103]["n_chars"] == 23 * 60_000
+    assert clean[104]["text"] == "[secret]" and keys(stages["secret scans"](spark, docs, SF)) == every
+    mixed = stages["mixing sources to target weights"](spark, docs, SF)
+    assert mixed.columns == docs.columns and set(keys(mixed)) <= set(every)
+    coded = {r["doc_id"]: (r["ids"], r["n_tokens"]) for r in stages["SentencePiece encoding"](spark, docs, SF).collect()}
+    assert coded[100] == (None, None) and coded[101] == ([], 0) and coded[103][1] > 60_000
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).collect() == [], name
