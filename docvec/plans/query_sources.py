@@ -47,15 +47,18 @@ def list_full(spark, sf):
 
 
 @query(
-    """SELECT r_regionkey || '.id' AS id, 'id: ' || r_regionkey || chr(10) || 'body: ' || repeat(r_name, 40000) AS content
-       FROM region"""
+    """SELECT (doc_id // 50)::VARCHAR || '.id' AS id,
+              'id: ' || (doc_id // 50)::VARCHAR || chr(10) || 'body: [' || string_agg(text, ' ' ORDER BY doc_id) || ']' AS content
+       FROM documents GROUP BY doc_id // 50"""
 )
 def csv_wide_cells(spark, sf):
-    """Cells far longer than a CSV parser's usual limit."""
-    text = F.concat(F.lit("id,body\n"), "r_regionkey", F.lit(","), F.repeat("r_name", 40_000), F.lit("\n"))
-    rows = table(spark, sf, "region").select(
-        F.col("r_regionkey").cast("string").alias("id"), F.lit("r.csv").alias("path"), F.lit("csv").alias("type"),
-        maps.empty_map().alias("metadata"), text.alias("content"),
+    """Cells of the texts of fifty documents each, far longer than a CSV parser's usual limit."""
+    docs = table(spark, sf, "documents", "doc_id", "text").withColumn("bucket", F.floor(F.col("doc_id") / 50))
+    texts = docs.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("texts"))
+    body = F.replace(F.array_join("texts.text", " "), F.lit('"'), F.lit('""'))
+    rows = texts.select(
+        F.col("bucket").cast("string").alias("id"), F.lit("r.csv").alias("path"), F.lit("csv").alias("type"), maps.empty_map().alias("metadata"),
+        F.concat(F.lit("id,body\n"), "bucket", F.lit(',"['), body, F.lit(']"\n')).alias("content"),
     )
     return documents.auto_docs(rows, strict=False).where("error IS NULL").select("id", "content")
 
