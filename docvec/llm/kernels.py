@@ -130,20 +130,23 @@ def distinct_spans(raw: bytes, begin: np.ndarray, stop: np.ndarray, hashes: np.n
 
     Equal hashes are no proof: every span is compared with the first one of its hash.
     """
-    import pandas as pd
-
-    code, _ = pd.factorize(hashes)
+    code = numbered(pa.array(hashes))
     first = firsts(code)
     data, other = np.frombuffer(raw, np.uint8), first[code]
     size = stop - begin
     same = size == size[other]
     same[same] = same_spans(data, begin[same], data, begin[other[same]], size[same])
     if not same.all():
-        code = pd.factorize(np.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], dtype=object))[0]
+        code = numbered(pa.array([raw[a:b] for a, b in zip(begin.tolist(), stop.tolist(), strict=True)], pa.large_binary()))
         first = firsts(code)
     return code, first
 
 
+def numbered(values: pa.Array) -> np.ndarray:
+    """A number for each value, in the order of first appearance."""
+    return values.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
 def firsts(code: np.ndarray) -> np.ndarray:
     first = np.empty(int(code.max()) + 1 if len(code) else 0, np.int64)
     first[code[::-1]] = np.arange(len(code) - 1, -1, -1)

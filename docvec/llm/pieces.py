@@ -21,11 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvec.llm.kernels import KnownWords, distinct_spans, long_hashes, slices, trim, utf8
+from docvec.llm.kernels import STEP, KnownWords, distinct_spans, long_hashes, slices, trim, utf8
 
 SPACE = "▁"
 # Distinct words, and pairs of neighbours, that a worker remembers; beyond them it starts anew.
-WORDS_KEPT, PAIRS_KEPT = 450_000, 300_000
+WORDS_KEPT, PAIRS_KEPT = 450_000, 200_000
+# Bytes of texts encoded at a time, unless one text is longer.
+ENCODED = STEP // 4
 UNKNOWN_PENALTY = 10.0
 
 
@@ -261,7 +263,7 @@ def encode(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         coder = memo.value.get(model, lambda: Coder(model))
-        found = [coder.encode(part) for _, part in slices(texts)]
+        found = [coder.encode(part) for _, part in slices(texts, ENCODED)]
         sizes = np.concatenate([np.empty(0, np.int64), *[n for _, n in found]])
         ids = np.concatenate([np.empty(0, np.int32), *[i for i, _ in found]])
         ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())

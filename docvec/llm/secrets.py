@@ -162,7 +162,10 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[secret]", reach: int
                     at = max(at, b)
                 value = "".join([*pieces, value[at:]])
             result.append(value)
-        return pa.array(result, pa.string())
+        found = pa.array(result, pa.string())
+        del result
+        trim()
+        return found
 
     df, given = set_aside(df, text)
     found = scan(df, text, reach)
