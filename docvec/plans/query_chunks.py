@@ -352,6 +352,18 @@ def embed_model(spark, sf):
     )
 
 
+@query("SELECT doc_id::VARCHAR AS id, CASE WHEN length(text) % 7 <> 0 THEN length(text)::DOUBLE END AS v0, length(text) % 7 = 0 AS failed FROM documents")
+def embed_failures(spark, sf):
+    """A caller's model that sends vectors of a wrong size for some texts: these alone have no vector."""
+
+    def model(texts):
+        return [[len(t), 1.0][: 1 if len(t) % 7 == 0 else 2] for t in texts]
+
+    rows = embed.embed(docs(spark, sf), embed.model_embedder(F.col("content"), model, dim=2, batch_size=10, strict=False))
+    return rows.select("id", F.col("vector")[0].cast("double").alias("v0"), F.col("vector").isNull().alias("failed"))
+
+
+
 @query(
     """SELECT role, (rn - 1) // 16 + 1 AS batch, count(*) AS items,
               md5(string_agg(text, '|' ORDER BY rn)) AS digest
