@@ -242,7 +242,10 @@ def merge_object_metadata(files: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def file_attributes(spark: SparkSession, root: str, key: str | None = None) -> DataFrame:
-    """Name, size, checksum and content type of each file, or of the one file ``key``."""
+    """Name, size, checksum and content type of each file, or of the one file ``key``.
+
+    Files with hidden names and without bytes are left out, as Spark's reader has it.
+    """
     files = _binary(spark, f"{root.rstrip('/')}/{key}" if key else root)
     return files.select(
         object_key(F.col("path"), root).alias("file_name"),

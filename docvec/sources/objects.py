@@ -34,7 +34,8 @@ ROWS = 10_000
 # Seconds that an object must be old before a stream reads it, so that a clock's steps and uploads that become visible late do no harm.
 SETTLE = 2.0
 
-# Settings of the S3 file system that Hadoop and Arrow both have.
+# The names of S3, and settings of its file system that Hadoop and Arrow both have.
+S3_SCHEMES = ("s3a", "s3n", "s3")
 S3_SETTINGS = {
     "fs.s3a.access.key": "access_key",
     "fs.s3a.secret.key": "secret_key",
@@ -77,6 +78,14 @@ def s3_options(settings: dict[str, str]) -> dict:
     return found
 
 
+def options_of(spark: SparkSession, root: str) -> dict | None:
+    """Arguments of Arrow's file system for ``root`` from the session's settings; None where it needs none."""
+    if root.partition("://")[0].lower() not in S3_SCHEMES:
+        return None
+    conf = spark._jsc.hadoopConfiguration()
+    return s3_options({k: conf.get(k) for k in [*S3_SETTINGS, S3_PLAIN, S3_PROVIDER] if conf.get(k)})
+
+
 class Store:
     """A store that tasks can list and read: the local disk, S3 under any of its names, and what Arrow knows by its address."""
 
@@ -84,7 +93,7 @@ class Store:
         from pyarrow import fs
 
         scheme, colon, rest = root.partition("://")
-        if colon and scheme.lower() in ("s3a", "s3n", "s3"):
+        if colon and scheme.lower() in S3_SCHEMES:
             self.files, self.base, self.scheme = fs.S3FileSystem(**(options or {})), rest.strip("/"), f"{scheme}://"
         else:
             self.files, self.base = fs.FileSystem.from_uri(root)
@@ -96,10 +105,7 @@ class Store:
     @staticmethod
     def of(spark: SparkSession, root: str) -> "Callable[[], Store] | None":
         """What opens the store of ``root`` in a task; None if only Hadoop knows it."""
-        options = None
-        if root.lower().startswith(("s3a://", "s3n://", "s3://")):
-            conf = spark._jsc.hadoopConfiguration()
-            options = s3_options({k: conf.get(k) for k in [*S3_SETTINGS, S3_PLAIN, S3_PROVIDER] if conf.get(k)})
+        options = options_of(spark, root)
         try:
             Store(root, options)
         except (ValueError, OSError, NotImplementedError):
@@ -327,9 +333,7 @@ def stream(spark: SparkSession, root: str, settle: float = SETTLE, late: str | N
         raise ValueError(f"tasks cannot list {root!r}")
     spark.dataSource.register(Objects)
     reader = spark.readStream.format(FORMAT).options(settle=str(settle), splits=str(splits), many=str(many))
-    if root.lower().startswith(("s3a://", "s3n://", "s3://")):
-        conf = spark._jsc.hadoopConfiguration()
-        reader = reader.option("s3", json.dumps(s3_options({k: conf.get(k) for k in [*S3_SETTINGS, S3_PLAIN, S3_PROVIDER] if conf.get(k)})))
+    reader = reader.option("s3", json.dumps(options_of(spark, root)))
     if late is None:
         return reader.load(root).dropDuplicates(["path", "modificationTime", "length"])
     seconds = spark.range(1).select(F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {late}"))).first()[0]
