@@ -5,14 +5,15 @@ function over Arrow batches. Numbers keep the text of the parsed value.
 """
 
 import json
-from collections.abc import Callable, Iterable, Sequence
-from itertools import accumulate
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvec.functions import maps
+from docvec.functions.batches import slices
 
 LEAF = "struct<id:string,content:string,metadata:map<string,string>>"
 STYLES = ("json", "python")
@@ -84,20 +85,21 @@ def leaf_reader(
     """
 
     @F.arrow_udf(f"struct<docs:array<{LEAF}>,error:string>")
-    def run(batch: pa.Array, *more: pa.Array) -> pa.Array:
-        rows: list[list[Leaf]] = []
-        errors: list[str | None] = []
-        for item, *rest in zip(batch.to_pylist(), *[x.to_pylist() for x in more]):
-            error = None
-            try:
-                found = [] if item is None else list(parse(item, *rest))
-            except Exception:
-                if strict:
-                    raise
-                found, error = [], failure
-            rows.append(found)
-            errors.append(error)
-        return pa.StructArray.from_arrays([leaf_array(rows), pa.array(errors, pa.string())], names=["docs", "error"])
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for part in chain.from_iterable(map(slices, batches)):
+            rows: list[list[Leaf]] = []
+            errors: list[str | None] = []
+            for item, *rest in zip(*[x.to_pylist() for x in part]):
+                error = None
+                try:
+                    found = [] if item is None else list(parse(item, *rest))
+                except Exception:
+                    if strict:
+                        raise
+                    found, error = [], failure
+                rows.append(found)
+                errors.append(error)
+            yield pa.StructArray.from_arrays([leaf_array(rows), pa.array(errors, pa.string())], names=["docs", "error"])
 
     return run
 
