@@ -271,9 +271,10 @@ def hidden_files(spark, sf, path=None, turn=None):
     rows = table(spark, sf, "customer")
     if turn is not None:
         rows = rows.where(F.floor(F.col("c_custkey") / HIDDEN) % 2 == turn)
-    rows = rows.groupBy(F.floor(F.col("c_custkey") / HIDDEN).alias("bucket")).agg(
-        F.array_join(F.sort_array(F.collect_list("c_name")), "\n").alias("text")
-    )
+    # A number of its own: few bytes of names are many files, and would be put together in one task.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("bucket", F.floor(F.col("c_custkey") / HIDDEN)).repartition(partitions, "bucket")
+    rows = rows.groupBy("bucket").agg(F.array_join(F.sort_array(F.collect_list("c_name")), "\n").alias("text"))
 
     def write(batches):
         for batch in batches:

@@ -26,7 +26,7 @@ FORMAT = "docvec_objects"
 SCHEMA = "path string, modificationTime timestamp, length bigint"
 ARROW = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64())])
 
-# Units that a plan has at least, if the tree has as many folders; entries of a folder beyond which
+# Units that a plan has at least, if the tree has as many folders, and tasks that list them at most; entries of a folder beyond which
 # it is dealt out in shares; objects that a task of a walk lists before it hands folders on.
 SPLITS, MANY, SHARES, BUDGET = 64, 20_000, 32, 50_000
 # Objects of a batch of rows.
@@ -248,12 +248,12 @@ def walk(spark: SparkSession, root: str, budget: int = BUDGET, many: int = MANY,
 
 
 class UnitPartition(InputPartition):
-    def __init__(self, unit: Unit, until: int | None, after: int | None):
-        self.unit, self.until, self.after = unit, until, after
+    def __init__(self, units: list[Unit], until: int | None, after: int | None):
+        self.units, self.until, self.after = units, until, after
 
 
 class ObjectReader(DataSourceReader):
-    """All objects of a store, a unit per task."""
+    """All objects of a store, its units dealt out to ``splits`` tasks, however many folders there are."""
 
     def __init__(self, options: dict):
         self.root, self.s3 = options["path"], json.loads(options.get("s3", "null"))
@@ -261,14 +261,15 @@ class ObjectReader(DataSourceReader):
 
     def units(self, until: int | None = None, after: int | None = None) -> list[UnitPartition]:
         store = Store(self.root, self.s3)
-        return [UnitPartition(u, until, after) for u in store.plan(self.splits, self.many)] or [UnitPartition(Unit(store.base), until, after)]
+        found = store.plan(self.splits, self.many) or [Unit(store.base)]
+        return [UnitPartition(found[i :: self.splits], until, after) for i in range(min(self.splits, len(found)))]
 
     def partitions(self) -> list[UnitPartition]:
         return self.units()
 
     def read(self, partition: UnitPartition) -> Iterator[pa.RecordBatch]:
         store, until, after = Store(self.root, self.s3), partition.until, partition.after
-        found = store.below([partition.unit])
+        found = store.below(partition.units)
         yield from store.batches(x for x in found if (until is None or x.arrived <= until) and (after is None or x.arrived > after))
 
 

@@ -140,3 +140,11 @@ def test_s3_by_the_settings_of_hadoop(spark):
     assert objects.Store.of(spark, "viewfs://only-hadoop/x") is None
     with pytest.raises(ValueError, match="cannot list"):
         objects.stream(spark, "viewfs://only-hadoop/x")
+
+
+def test_many_folders_are_few_tasks(tree):
+    reader = objects.ObjectReader({"path": tree, "splits": "8"})
+    tasks = reader.partitions()
+    assert len(tasks) == 8
+    found = Counter(os.path.relpath(path, tree) for t in tasks for batch in reader.read(t) for path in batch.column("path").to_pylist())
+    assert found == names_below(tree)
