@@ -7,8 +7,7 @@ a stopped stream goes on with its timers where it was.
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -18,7 +17,7 @@ from docvec.operators.usage import FAILED, PROCESSING
 # Fixed value: the time limit of a step.
 LIMIT_MINUTES = 300
 
-LIFE = "file_id string, status string, timestamp timestamp, error string"
+LIFE = "file_id string, status string, at long, error string"
 PROVIDER, ROCKS = (
     "spark.sql.streaming.stateStore.providerClass",
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -30,7 +29,11 @@ def overdue(minutes: float) -> str:
 
 
 class FileLife(StatefulProcessor):
-    """Keeps a file's newest state, and a timer while that is ``processing``; times are milliseconds."""
+    """Keeps a file's newest state, and a timer while that is ``processing``; times are milliseconds.
+
+    Each call of the state or of a timer is an exchange with the JVM, so a key has as few as it
+    needs: one where nothing changes, three or four otherwise.
+    """
 
     def __init__(self, minutes: float, keep_minutes: float):
         self.minutes, self.limit, self.keep = minutes, int(minutes * 60_000), int(keep_minutes * 60_000)
@@ -39,40 +42,34 @@ class FileLife(StatefulProcessor):
         self.handle = handle
         self.newest = handle.getValueState("newest", "status string, at long, timer long")
 
-    def put(self, status: str, at: int, due: int) -> None:
-        """Remember the state, and be called at ``due``; an earlier timer no longer counts."""
-        if self.newest.exists():
-            self.handle.deleteTimer(self.newest.get()[2])
+    def put(self, status: str, at: int, due: int, earlier: int | None) -> None:
+        """Remember the state, and be called at ``due``; the ``earlier`` timer no longer counts."""
+        if earlier != due:
+            if earlier is not None:
+                self.handle.deleteTimer(earlier)
+            self.handle.registerTimer(due)
         self.newest.update((status, at, due))
-        self.handle.registerTimer(due)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        status, at = (self.newest.get()[0], self.newest.get()[1]) if self.newest.exists() else (None, -1)
-        before = (status, at)
-        for part in rows:
-            times = part["timestamp"].astype("int64") // 10 ** {"ns": 6, "us": 3, "ms": 0}[part["timestamp"].dt.unit]
-            # Of states of one time the last one in the order of their names counts.
-            new_at, new_status = max(zip(times.tolist(), part["status"].tolist(), strict=True))
-            if (new_at, new_status) >= (at, status or ""):
-                status, at = new_status, new_at
-        if (status, at) == before:
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = self.newest.get()
+        at, status = (-1, "") if before is None else (before[1], before[0])
+        # Of states of one time the last one in the order of their names counts.
+        new_at, new_status = max((r.at, r.status) for r in rows)
+        if (new_at, new_status) <= (at, status):
             return
-        self.put(status, at, at + (self.limit if status == PROCESSING else self.keep))
-        yield told(key[0], status, at, None)
+        due = new_at + (self.limit if new_status == PROCESSING else self.keep)
+        self.put(new_status, new_at, due, None if before is None else before[2])
+        yield Row(file_id=key[0], status=new_status, at=new_at, error=None)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, at, due = self.newest.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        status, _, due = self.newest.get()
         if status == PROCESSING:
-            self.put(FAILED, due, due + self.keep)
-            yield told(key[0], FAILED, due, overdue(self.minutes))
+            self.put(FAILED, due, due + self.keep, None)  # the timer that was due is gone
+            yield Row(file_id=key[0], status=FAILED, at=due, error=overdue(self.minutes))
         else:
             self.newest.clear()
 
 
-def told(file_id: str, status: str, at: int, error: str | None) -> pd.DataFrame:
-    return pd.DataFrame({"file_id": [file_id], "status": [status], "timestamp": [pd.Timestamp(at, unit="ms", tz="UTC")], "error": [error]})
-
-
 def changes(log: DataFrame, minutes: float = LIMIT_MINUTES, delay: str = "10 minutes", keep_minutes: float = LIMIT_MINUTES) -> DataFrame:
     """``file_id``, ``status``, ``timestamp`` and ``error`` of each change of a file's state, from a stream with the first three.
 
@@ -83,9 +80,10 @@ def changes(log: DataFrame, minutes: float = LIMIT_MINUTES, delay: str = "10 min
     """
     rows = log.select(F.col("file_id").cast("string").alias("file_id"), "status", F.col("timestamp").cast("timestamp").alias("timestamp"))
     rows = rows.where("file_id IS NOT NULL AND status IS NOT NULL").withWatermark("timestamp", delay)
-    return rows.groupBy("file_id").transformWithStateInPandas(
+    told = rows.withColumn("at", F.unix_millis("timestamp")).groupBy("file_id").transformWithState(
         FileLife(minutes, keep_minutes), outputStructType=LIFE, outputMode="Update", timeMode="EventTime"
     )
+    return told.select("file_id", "status", F.timestamp_millis("at").alias("timestamp"), "error")
 
 
 @contextmanager

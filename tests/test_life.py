@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import Row
 
 from docvec.streaming import life
 
@@ -49,3 +50,42 @@ def test_states_of_a_whole_log(spark):
     got = {r["file_id"]: (r["status"], r["error"]) for r in life.states(log, at(60), 60).collect()}
     error = "no end within 60 minutes"
     assert got == {"a": ("failed", error), "b": ("completed", None), "c": ("processing", None), "d": ("processing", None)}
+
+
+def test_a_file_takes_few_exchanges_with_its_state():
+    """Each call of a state or timer is an exchange with the JVM."""
+    calls, kept = [], []
+
+    class Value:
+        def get(self):
+            calls.append("get")
+            return kept[-1] if kept else None
+
+        def exists(self):
+            calls.append("exists")
+            return bool(kept)
+
+        def update(self, value):
+            calls.append("update")
+            kept.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls.append(("register", at))
+
+        def deleteTimer(self, at):
+            calls.append(("delete", at))
+
+    one = life.FileLife(60, 60)
+    one.init(Handle())
+    told = list(one.handleInputRows(("a",), iter([Row(at=5, status="processing"), Row(at=7, status="processing")]), None))
+    assert [tuple(r) for r in told] == [("a", "processing", 7, None)]
+    assert sorted(map(str, calls)) == sorted(map(str, ["get", ("register", 3_600_007), "update"]))
+    calls.clear()
+    assert list(one.handleInputRows(("a",), iter([Row(at=6, status="completed")]), None)) == [] and calls == ["get"]
+    calls.clear()
+    list(one.handleInputRows(("a",), iter([Row(at=9, status="completed")]), None))
+    assert kept[-1] == ("completed", 9, 3_600_009) and len(calls) == 4
