@@ -205,6 +205,10 @@ def csv_files(spark, sf):
     )
 
 
+# Bytes of texts that one task writes.
+FILE_BYTES = 64_000_000
+
+
 @query(
     f"""SELECT doc_id % 7 AS part, doc_id || '.doc_id' AS id,
                row_number() OVER (PARTITION BY doc_id % 7 ORDER BY doc_id) - 1 AS row,
@@ -212,13 +216,18 @@ def csv_files(spark, sf):
         FROM documents"""
 )
 def csv_quoted(spark, sf):
-    """Seven files whose cells hold line breaks, each read in many splits that begin anywhere."""
+    """Seven folders of files whose cells hold line breaks, each file read in many splits that begin anywhere.
+
+    A task writes files of some ``FILE_BYTES``, however long a folder is; its rows are numbered through all its files.
+    """
     path = cluster.scratch_path(spark, "quoted")
     cell = F.concat(F.lit('"'), F.translate("text", " ", "\n"), F.lit('", '), "source", F.lit("\n"))
-    rows = table(spark, sf, "documents", "doc_id", "text", "source").select((F.col("doc_id") % 7).alias("part"), "doc_id", cell.alias("cell"))
-    ordered = rows.repartition(7, "part").sortWithinPartitions("part", "doc_id")
-    ordered.write.partitionBy("part").csv(path, header=True, escape='"')
-    docs = quoted.docs(quoted.read_rows(spark, path, "*.csv", split_bytes=100_000), id_key="doc_id")
+    rows = table(spark, sf, "documents", "doc_id", "text", "source").withColumn("part", F.col("doc_id") % 7)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # Ranges of part and id go to tasks in order, and Spark numbers the files by their tasks.
+    ordered = rows.repartitionByRange(max(7, -(-size // FILE_BYTES)), "part", "doc_id").sortWithinPartitions("part", "doc_id")
+    ordered.select("part", "doc_id", cell.alias("cell")).write.partitionBy("part").csv(path, header=True, escape='"')
+    docs = quoted.docs(quoted.read_rows(spark, path, "*.csv", split_bytes=100_000, by_folder=True), id_key="doc_id")
     meta = F.col("metadata")
     part = F.regexp_extract(meta["source"], "part=([0-9]+)/", 1).cast("bigint")
     return docs.select(part.alias("part"), "id", meta["row"].cast("bigint").alias("row"), "content")

@@ -94,10 +94,12 @@ ROW_SCHEMA = pa.schema([("path", pa.string()), ("row", pa.int64()), ("names", pa
 
 def read_rows(
     spark: SparkSession, root: str, glob: str | None = None, sep: str = ",", quote: str = '"', encoding: str = "UTF-8",
-    split_bytes: int = SPLIT_BYTES, strict: bool = True,
+    split_bytes: int = SPLIT_BYTES, strict: bool = True, by_folder: bool = False,
 ) -> DataFrame:
     """``path``, ``row``, ``names`` and ``cells`` of the rows of all CSV files below ``root``, each with its own header.
 
+    With ``by_folder`` the files of a folder are numbered on, in the order of their names, as if they were one file.
+
     Quotes are doubled inside of quotes and stand for nothing else, as RFC 4180 has it; a file
     where that does not hold is an error, or without ``strict`` a row with its ``path`` only.
     ``encoding`` must be one where commas, quotes and line breaks are single bytes. Rows have the
@@ -134,10 +136,13 @@ def read_rows(
             yield pa.RecordBatch.from_pylist(rows, schema=COUNTS)
 
     counts = written(splits.mapInArrow(counted, "path string, length long, split long, quotes long, outside long, within long"), "splits")
-    # A file has a row per split here, so its splits fit one window.
+    # A file has a row per split here, so its splits, and those of a folder, fit one window.
     before = W.partitionBy("path").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     known = counts.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     known = known.withColumn("n", F.when(F.col("inside") == 1, F.col("within")).otherwise(F.col("outside")))
+    if by_folder:
+        folder = F.regexp_extract("path", "^(.*)/", 1)
+        before = W.partitionBy(folder).orderBy("path", "split").rowsBetween(W.unboundedPreceding, -1)
     known = known.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
     known = written(known.select("path", "length", "split", "inside", "n", "first"), "begins").repartition(partitions, "path", "split")
 

@@ -73,3 +73,13 @@ def test_documents_as_from_plain_files(spark, tmp_path):
         assert a == b
     with pytest.raises(ValueError, match="several bytes"):
         quoted.read_rows(spark, str(tmp_path), encoding="UTF-16")
+
+
+def test_rows_are_numbered_through_the_files_of_a_folder(spark, tmp_path):
+    for folder, sizes in (("a", (3, 0, 40)), ("b", (2, 2))):
+        (tmp_path / folder).mkdir()
+        for i, n in enumerate(sizes):
+            (tmp_path / folder / f"part-{i}.csv").write_text("id,text\n" + "".join(f'{i}-{k},"x\n{k}"\n' for k in range(n)))
+    got = quoted.read_rows(spark, str(tmp_path), split_bytes=16, by_folder=True).collect()
+    want = {("a", i, f"0-{i}") for i in range(3)} | {("a", 3 + i, f"2-{i}") for i in range(40)} | {("b", i, f"{i // 2}-{i % 2}") for i in range(4)}
+    assert {(r["path"].split("/")[-2], r["row"], r["cells"][0]) for r in got} == want and len(got) == len(want)
