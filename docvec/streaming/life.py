@@ -79,7 +79,7 @@ def changes(log: DataFrame, minutes: float = LIMIT_MINUTES, delay: str = "10 min
     Start the stream within ``rocks``: timers need that store of state.
     """
     rows = log.select(F.col("file_id").cast("string").alias("file_id"), "status", F.col("timestamp").cast("timestamp").alias("timestamp"))
-    rows = rows.where("file_id IS NOT NULL AND status IS NOT NULL").withWatermark("timestamp", delay)
+    rows = rows.where("file_id IS NOT NULL AND status IS NOT NULL AND timestamp IS NOT NULL").withWatermark("timestamp", delay)
     told = rows.withColumn("at", F.unix_millis("timestamp")).groupBy("file_id").transformWithState(
         FileLife(minutes, keep_minutes), outputStructType=LIFE, outputMode="Update", timeMode="EventTime"
     )

@@ -89,3 +89,8 @@ def test_a_file_takes_few_exchanges_with_its_state():
     calls.clear()
     list(one.handleInputRows(("a",), iter([Row(at=9, status="completed")]), None))
     assert kept[-1] == ("completed", 9, 3_600_009) and len(calls) == 4
+
+
+def test_a_state_without_a_time_does_not_count(stream):
+    got = stream([("a", "processing", None), ("b", "processing", None), ("b", "processing", at(0))])
+    assert got == [("b", "processing", at(0), None)]
