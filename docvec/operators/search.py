@@ -25,11 +25,13 @@ from docvec.functions import maps
 DECIMALS = 12
 # Queries up to this count travel to every task; more are joined in blocks.
 BROADCAST_QUERIES = 4096
-BLOCK_QUERIES = 4096
-# Values of the vectors that one block of a task holds at most.
-BLOCK_VALUES = 1 << 24
+BLOCK_QUERIES = 16384
+# Values of the vectors, and of the queries, that one block of a task holds at most; pairs of blocks per core at least.
+BLOCK_VALUES, QUERY_VALUES, PAIRS_PER_CORE = 1 << 24, 1 << 22, 3
 # Numbers of one kind held at once in one task: scores, or values of vectors.
 NUMBERS = 4_000_000
+# Vectors that a query is compared with in one step, if they and its scores fit.
+WIDTH = 8192
 
 BATCH_SCHEMA = "query_id string, id string, score double"
 
@@ -109,17 +111,34 @@ def first_documents(vectors: DataFrame, size: int = 10) -> DataFrame:
 
 
 class _Best:
-    """The k best (score, id) per query over the blocks of one task."""
+    """The k best (score, id) per query over the blocks of one task.
+
+    Scores of all pairs are taken in single precision first. It errs by less than ``margin``, so
+    only rows that reach a query's k-th best score less that margin can change it; these are
+    scored again as doubles.
+    """
 
     def __init__(self, query_ids: list[str], queries: np.ndarray, k: int):
         self.query_ids, self.queries, self.k = query_ids, unit_rows(queries), k
         self.kept: list[list[tuple[float, str]]] = [[] for _ in query_ids]
+        self.rough = self.queries.astype(np.float32)
+        self.margin = (self.queries.shape[1] + 8) * float(np.finfo(np.float32).eps)
+        self.floor = np.full((len(query_ids), 1), -np.inf, np.float32)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        for part in blocks(len(ids), max(self.queries.shape)):
-            block = np.round(self.queries @ unit_rows(vectors[part]).T, DECIMALS) + 0.0
-            for q, scores in enumerate(block):
-                self._merge(q, scores, ids[part])
+        for part in blocks(len(ids), max(self.queries.shape[1], NUMBERS // WIDTH)):
+            units, own = unit_rows(vectors[part]), ids[part]
+            single = units.astype(np.float32).T
+            for some in blocks(len(self.queries), len(units)):
+                rough = self.rough[some] @ single
+                near = ~(rough < self.floor[some])
+                for q in np.flatnonzero(near.any(axis=1)):
+                    take = np.flatnonzero(near[q])
+                    if len(take) > self.k:
+                        best = np.partition(rough[q, take], -self.k)[-self.k]
+                        take = take[~(rough[q, take] < best - 2 * self.margin)]
+                    scores = np.round(units[take] @ self.queries[some.start + q], DECIMALS) + 0.0
+                    self._merge(some.start + q, scores, own[take])
 
     def _merge(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
         kept, k = self.kept[q], self.k
@@ -134,6 +153,8 @@ class _Best:
         if len(take):
             new = zip((-scores[take]).tolist(), ids[take].tolist())
             self.kept[q] = heapq.nsmallest(k, [*kept, *new])
+            if len(self.kept[q]) == k:
+                self.floor[q] = -self.kept[q][-1][0] - 2 * self.margin
 
     def table(self) -> pa.RecordBatch:
         rows = [(q, i, -s) for q, kept in zip(self.query_ids, self.kept) for s, i in kept]
@@ -208,8 +229,11 @@ def _by_blocks(
     rows: DataFrame, asked: DataFrame, k: int, per_query: int = BLOCK_QUERIES, values: int = BLOCK_VALUES
 ) -> DataFrame:
     sizes = asked.agg(F.count("*").alias("n"), F.max(F.size("query")).alias("dim")).first()
-    n_q = max(1, math.ceil(sizes["n"] / per_query))
-    n_v = max(1, math.ceil(rows.count() * max(1, sizes["dim"] or 1) / values))
+    dim = max(1, sizes["dim"] or 1)
+    n_v = max(1, math.ceil(rows.count() * dim / values))
+    # Each block of vectors costs every query a step, a copy of the vectors only its shuffle: all cores get queries of their own.
+    least = math.ceil(PAIRS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism / n_v)
+    n_q = max(1, math.ceil(sizes["n"] / per_query), math.ceil(sizes["n"] * dim / QUERY_VALUES), min(least, sizes["n"]))
 
     def spread(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         home = F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int").alias(own)

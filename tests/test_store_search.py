@@ -213,3 +213,19 @@ def test_filter_reaches_the_scan(spark, sf):
     rows = spark.read.parquet(f"{sf}/part.parquet")
     plan = flt.apply(rows, [{"field": "p_size", "operator": "<", "value": "10"}])._jdf.queryExecution().toString()
     assert "LessThan(p_size,10)" in plan
+
+
+def test_far_vectors_cost_no_step_per_query(monkeypatch):
+    """Only queries for which a block has a row that can be among the k best are looked at one by one."""
+    rng = np.random.default_rng(5)
+    queries = rng.normal(size=(50, 8)).astype("float32")
+    best = search._Best([f"q{i}" for i in range(50)], queries, 2)
+    near = np.concatenate([queries * 2, queries * 3, queries * 0.5])
+    best.add(np.array([f"n{i:03}" for i in range(150)], dtype=object), near)
+    before = [list(x) for x in best.kept]
+    assert [[i for _, i in x] for x in before] == [[f"n{i:03}", f"n{50 + i:03}"] for i in range(50)]
+    steps = []
+    monkeypatch.setattr(search._Best, "_merge", lambda self, q, scores, ids: steps.append(q))
+    far = rng.normal(size=(1000, 8)).astype("float32")
+    best.add(np.array([f"f{i}" for i in range(1000)], dtype=object), far)
+    assert steps == [] and best.kept == before
