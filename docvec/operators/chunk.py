@@ -12,14 +12,15 @@ search in the array of piece borders.
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Sequence
-from itertools import accumulate, pairwise
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate, chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvec.functions import text as tx
+from docvec.functions.batches import slices
 
 # Defaults of the chunkers.
 CHUNK_SIZE = 500
@@ -87,6 +88,9 @@ def split_on(text: str, separator: str, size: int, overlap: int) -> list[str]:
 
 def split_recursively(text: str, separators: Sequence[str], size: int, overlap: int) -> list[str]:
     """Cut before each first-choice separator, merge short pieces, recurse into long ones."""
+    if len(text) < size:
+        whole = text.strip()
+        return [whole] if whole else []
     level = next((i for i, s in enumerate(separators) if s in text), len(separators) - 1)
     separator, rest = separators[level], separators[level + 1 :]
     if separator:
@@ -128,10 +132,10 @@ def texts_to_lists(split: Callable[..., list[str]]) -> Callable[..., Column]:
     """Run ``split(text, *settings)`` over Arrow batches; null text or settings give null."""
 
     @F.arrow_udf("array<string>")
-    def run(text: pa.Array, *settings: pa.Array) -> pa.Array:
-        rows = zip(text.to_pylist(), *[s.to_pylist() for s in settings])
-        lists = [None if row[0] is None else split(*row) for row in rows]
-        return pa.array(lists, type=pa.list_(pa.string()))
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for part in chain.from_iterable(map(slices, batches)):
+            rows = zip(*[c.to_pylist() for c in part])
+            yield pa.array([None if row[0] is None else split(*row) for row in rows], type=pa.list_(pa.string()))
 
     return run
 
@@ -140,18 +144,19 @@ def texts_to_results(split: Callable[..., list[str]]) -> Callable[..., Column]:
     """As ``texts_to_lists``, but a struct of ``chunks`` and ``error``, so that a text that fails fails alone."""
 
     @F.arrow_udf("struct<chunks:array<string>,error:string>")
-    def run(text: pa.Array, *settings: pa.Array) -> pa.Array:
-        lists, errors = [], []
-        for row in zip(text.to_pylist(), *[s.to_pylist() for s in settings]):
-            error = None
-            try:
-                found = None if row[0] is None else split(*row)
-            except Exception as failure:
-                found, error = None, f"not chunked: {failure or type(failure).__name__}"
-            lists.append(found)
-            errors.append(error)
-        columns = [pa.array(lists, pa.list_(pa.string())), pa.array(errors, pa.string())]
-        return pa.StructArray.from_arrays(columns, names=["chunks", "error"])
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for part in chain.from_iterable(map(slices, batches)):
+            lists, errors = [], []
+            for row in zip(*[c.to_pylist() for c in part]):
+                error = None
+                try:
+                    found = None if row[0] is None else split(*row)
+                except Exception as failure:
+                    found, error = None, f"not chunked: {failure or type(failure).__name__}"
+                lists.append(found)
+                errors.append(error)
+            columns = [pa.array(lists, pa.list_(pa.string())), pa.array(errors, pa.string())]
+            yield pa.StructArray.from_arrays(columns, names=["chunks", "error"])
 
     return run
 

@@ -134,7 +134,11 @@ def csv_leaves(text: Column, id_key: str = "id", strict: bool = True, options: "
     For files with many different headers; files that share one are better read by
     ``tables.csv_docs``, which splits large files.
     """
-    chosen = options or Load(id_key=id_key)
+    return jsondocs.leaf_reader(csv_parser(options or Load(id_key=id_key)), strict, lambda t: "not valid CSV")(text)
+
+
+def csv_parser(chosen: Load) -> Callable[[str], Iterator[jsondocs.Leaf]]:
+    """What makes the rows of a CSV text."""
 
     def rows(text: str) -> Iterator[jsondocs.Leaf]:
         csv.field_size_limit(sys.maxsize)  # the parser's own limit is 131,072 characters a cell
@@ -148,7 +152,7 @@ def csv_leaves(text: Column, id_key: str = "id", strict: bool = True, options: "
                 metadata["source"] = named.get(chosen.source_column, "")
             yield f"{row.get(chosen.id_key) or ''}.{chosen.id_key}", content, metadata
 
-    return jsondocs.leaf_reader(rows, strict, "not valid CSV")(text)
+    return rows
 
 
 def page_leaves(content: Column, pages: Callable[[bytes], list[str]], strict: bool = True) -> Column:
@@ -158,7 +162,7 @@ def page_leaves(content: Column, pages: Callable[[bytes], list[str]], strict: bo
         for i, page in enumerate(pages(content)):
             yield "", page, {"page": str(i)}
 
-    return jsondocs.leaf_reader(numbered, strict, "not valid pages")(content)
+    return jsondocs.leaf_reader(numbered, strict, lambda c: "not valid pages")(content)
 
 
 def parsed_leaves(
@@ -170,7 +174,7 @@ def parsed_leaves(
         for i, page in enumerate(parsers[extension](content)):
             yield "", page, {"page": str(i)}
 
-    return jsondocs.leaf_reader(numbered, strict, "not valid pages")(content, extension)
+    return jsondocs.leaf_reader(numbered, strict, lambda c, e: "not valid pages")(content, extension)
 
 
 def auto_docs(
@@ -232,12 +236,11 @@ def auto_docs(
     else:
         numbered = lambda p, i: leaf(p, maps.from_columns({"page": i}))
         paged = checked(F.transform(F.split(text, "\f"), numbered), text)
+    # One function for both kinds: each function that takes batches one by one has workers of its own.
+    parsers = {"csv": csv_parser(options), "json": jsondocs.json_parser(options.id_key, options.to_embed, options.to_metadata)}
+    leaves = jsondocs.leaf_reader(lambda t, kind: parsers[kind](t), strict, lambda t, kind: f"not valid {kind.upper()}")
     loaded = (
-        F.when(F.col("_route") == "csv", csv_leaves(text_of("csv"), strict=strict, options=options))
-        .when(
-            F.col("_route") == "json",
-            jsondocs.json_leaves(text_of("json"), options.id_key, options.to_embed, options.to_metadata, strict=strict),
-        )
+        F.when(F.col("_route").isin("csv", "json"), leaves(text_of("csv", "json"), F.col("_route")))
         .when(F.col("_route") == "pages", paged)
         .otherwise(checked(F.array(leaf(text, maps.empty_map())), text))
     )

@@ -76,12 +76,12 @@ def leaf_array(rows: list[list[Leaf]]) -> pa.Array:
 
 
 def leaf_reader(
-    parse: Callable[..., Iterable[Leaf]], strict: bool, failure: str
+    parse: Callable[..., Iterable[Leaf]], strict: bool, failure: Callable[..., str]
 ) -> Callable[..., Column]:
     """Run ``parse`` over Arrow batches of one or more columns; the result is a struct of ``docs`` and ``error``.
 
     What cannot be parsed is an error of the job or, if not strict, of its own row, which
-    then has no documents and the text ``failure``. Null has neither.
+    then has no documents and the text that ``failure`` gives of the same values. Null has neither.
     """
 
     @F.arrow_udf(f"struct<docs:array<{LEAF}>,error:string>")
@@ -96,7 +96,7 @@ def leaf_reader(
                 except Exception:
                     if strict:
                         raise
-                    found, error = [], failure
+                    found, error = [], failure(item, *rest)
                 rows.append(found)
                 errors.append(error)
             yield pa.StructArray.from_arrays([leaf_array(rows), pa.array(errors, pa.string())], names=["docs", "error"])
@@ -113,11 +113,17 @@ def json_leaves(
     strict: bool = True,
 ) -> Column:
     """Leaves of a JSON text as ``docs``, and ``error`` for bad JSON unless that is strict."""
+    return leaf_reader(json_parser(id_key, to_embed, to_metadata, style), strict, lambda t: "not valid JSON")(text)
+
+
+def json_parser(
+    id_key: str = "id", to_embed: Sequence[str] = (), to_metadata: Sequence[str] = (), style: str = "json"
+) -> Callable[[str], list[Leaf]]:
+    """What makes the leaves of a JSON text."""
     if style not in STYLES:
         raise ValueError(f"style must be one of {STYLES}, got {style!r}")
     wanted, keys = frozenset(to_embed or ()), tuple(to_metadata)
-    read = leaf_reader(lambda t: walk(json.loads(t), id_key, wanted, keys, style), strict, "not valid JSON")
-    return read(text)
+    return lambda t: walk(json.loads(t), id_key, wanted, keys, style)
 
 
 def json_docs(

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -191,3 +192,14 @@ def test_map_merge(spark):
         maps.pick(F.create_map(F.lit("a"), F.lit("1"), F.lit("b"), F.lit("1")), ["b", "z"]).alias("p"),
     ).first()
     assert row["m"] == {"a": "1", "b": "2"} and row["p"] == {"b": "1"}
+
+
+def test_a_large_batch_is_taken_in_slices(monkeypatch):
+    """What a function makes of the texts of one batch is handed over part by part."""
+    monkeypatch.setattr(chunk.F, "arrow_udf", lambda kind: lambda run: run)
+    texts = ["x" * 1_000_000] * 20 + [None, "", "y" * 9_000_000, "z"]
+    for wrap in (chunk.texts_to_lists, chunk.texts_to_results):
+        parts = list(wrap(lambda t: [t])(iter([pa.array(texts), pa.array(["a", None])])))
+        found = [x["chunks"] if isinstance(x, dict) else x for part in parts for x in part.to_pylist()]
+        assert found == [None if t is None else [t] for t in [*texts, "a", None]]
+        assert max(part.nbytes for part in parts if len(part) > 1) < 5_000_000

@@ -396,7 +396,7 @@ def test_object_metadata(spark):
 def test_a_large_batch_of_cells_is_read_in_slices(monkeypatch):
     monkeypatch.setattr(jsondocs.F, "arrow_udf", lambda kind: lambda run: run)
     texts = [f"id,b\n{i},{'x' * 1_000_000}\n" for i in range(20)] + [None]
-    parts = list(jsondocs.leaf_reader(lambda t: [(t[:9], t, {})], True, "bad")(iter([pa.array(texts)])))
+    parts = list(jsondocs.leaf_reader(lambda t: [(t[:9], t, {})], True, str)(iter([pa.array(texts)])))
     found = [[d["content"] for d in row["docs"]] for part in parts for row in part.to_pylist()]
     assert found == [[] if t is None else [t] for t in texts]
     assert max(part.nbytes for part in parts) < 5_000_000
