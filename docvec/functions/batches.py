@@ -24,3 +24,9 @@ def slices(columns: Sequence[pa.Array] | pa.Array, limit: int = SLICE_BYTES) ->
         stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield tuple(c.slice(at, stop - at) for c in columns)
         at = stop
+
+
+def values(column: pa.Array) -> list:
+    """Rows of a column as Python objects; for texts and bytes many times as fast as ``to_pylist``, which makes a scalar of each."""
+    plain = pa.types.is_string(column.type) or pa.types.is_binary(column.type)
+    return column.to_numpy(zero_copy_only=False).tolist() if plain else column.to_pylist()

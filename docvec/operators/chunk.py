@@ -10,6 +10,7 @@ run in the JVM. All others run in an Arrow function that places chunk borders by
 search in the array of piece borders.
 """
 
+import json
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docvec.functions import text as tx
-from docvec.functions.batches import slices
+from docvec.functions.batches import slices, values
 
 # Defaults of the chunkers.
 CHUNK_SIZE = 500
@@ -134,7 +135,7 @@ def texts_to_lists(split: Callable[..., list[str]]) -> Callable[..., Column]:
     @F.arrow_udf("array<string>")
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for part in chain.from_iterable(map(slices, batches)):
-            rows = zip(*[c.to_pylist() for c in part])
+            rows = zip(*map(values, part))
             yield pa.array([None if row[0] is None else split(*row) for row in rows], type=pa.list_(pa.string()))
 
     return run
@@ -147,7 +148,7 @@ def texts_to_results(split: Callable[..., list[str]]) -> Callable[..., Column]:
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for part in chain.from_iterable(map(slices, batches)):
             lists, errors = [], []
-            for row in zip(*[c.to_pylist() for c in part]):
+            for row in zip(*map(values, part)):
                 error = None
                 try:
                     found = None if row[0] is None else split(*row)
@@ -292,9 +293,10 @@ def chunk_by_metadata(
         "chunk_size int, chunk_overlap int, separator string, separators array<string>",
     )
 
-    def split(text, name, size, overlap, separator, separators):
-        size = CHUNK_SIZE if size is None else size
-        overlap = CHUNK_OVERLAP if overlap is None else overlap
+    def split(text, name, settings):
+        chosen = {} if settings is None else json.loads(settings)
+        size, overlap = chosen.get("chunk_size", CHUNK_SIZE), chosen.get("chunk_overlap", CHUNK_OVERLAP)
+        separator, separators = chosen.get("separator"), chosen.get("separators")
         check_sizes(size, overlap)
         if name == CHARACTER:
             return split_on(text, SEPARATOR if separator is None else separator, size, overlap)
@@ -304,15 +306,15 @@ def chunk_by_metadata(
             return list(custom(text))
         return split_recursively(text, separators or SEPARATORS, size, overlap)
 
-    given = docs.withColumn("_info", info)
-    settings = [F.col(f"_info.{f}") for f in ("chunk_size", "chunk_overlap", "separator", "separators")]
+    # As text: Spark measures a batch after each row, and a column of arrays is gone through whole for that.
+    given = docs.withColumn("_info", F.to_json(info, {"ignoreNullFields": "true"}))
     meta = F.col("metadata")
     nulled = F.map_contains_key(meta, "chunker_information") & meta["chunker_information"].isNull()
     name = F.when(~nulled, F.lower(meta["chunker_name"]))
     if strict:
-        chunks = texts_to_lists(split)(F.col("content"), name, *settings)
+        chunks = texts_to_lists(split)(F.col("content"), name, F.col("_info"))
         return explode_chunks(given, chunks, keep).drop("_info")
-    done = given.withColumn("_done", texts_to_results(split)(F.col("content"), name, *settings))
+    done = given.withColumn("_done", texts_to_results(split)(F.col("content"), name, F.col("_info")))
     earlier = F.col("error") if "error" in docs.columns else F.lit(None).cast("string")
     done = done.withColumn("error", F.coalesce(earlier, F.col("_done.error")))
     failed = F.col("error").isNotNull()

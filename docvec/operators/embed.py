@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docvec.cluster import written
+from docvec.functions.batches import values
 from docvec.functions.numbers import whole_quotient
 from docvec.operators import usage
 
@@ -79,7 +80,7 @@ def hash_embedder(text: Column, dim: int = HASH_DIM) -> Column:
         words = re.compile("[0-9a-z\u0080-\U0010ffff]+")
         buckets = Buckets()
         for batch in batches:
-            counts = count(batch.to_pylist(), words, buckets)
+            counts = count(values(batch), words, buckets)
             lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True, dtype=np.float64))
             unit = np.divide(counts, lengths, out=np.zeros(counts.shape), where=lengths > 0)
             offsets = np.arange(0, counts.size + dim, dim, dtype=np.int32)

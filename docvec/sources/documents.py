@@ -247,24 +247,26 @@ def auto_docs(
     if options.parsers:
         parsed = parsed_leaves(content_of(PARSED), extension, options.parsers, strict)
         loaded = F.when(F.col("_route") == PARSED, parsed).otherwise(loaded)
-    rows = routed.select(
-        F.col("id").alias("_file"), "_route", "path", F.col("metadata").alias("_outer"), loaded.alias("_loaded"), *keep
-    ).select(
-        "*", F.col("_loaded.error").alias("error"), F.posexplode_outer("_loaded.docs").alias("_at", "_doc")
-    )
+    # CSV rows record their source instead of the file's metadata, but keep the file's chunker.
+    chunker = maps.pick(maps.or_empty(F.col("metadata")), list(CHUNKER_KEYS))
+    source = maps.empty_map() if options.source_column else maps.from_columns({"source": F.col("path")})
+    outer = F.when(F.col("_route") == "csv", maps.merge(chunker, source)).otherwise(maps.or_empty(F.col("metadata")))
+    # What belongs to the file is made once per file, and the array of its documents does not go on beside them: it
+    # would be copied to the row of each.
+    given = ["_file", "_route", "_outer", *keep]
+    rows = routed.select(F.col("id").alias("_file"), "_route", outer.alias("_outer"), loaded.alias("_loaded"), *keep)
+    entry = maps.merge(F.col("_outer"), maps.from_columns({FILE_KEY: F.col("_file")}))
+    rows = rows.select(
+        "_file", "_route", entry.alias("_outer"), *keep, F.col("_loaded.error").alias("error"), F.col("_loaded.docs").alias("_docs")
+    ).select(*given, "error", F.posexplode_outer("_docs").alias("_at", "_doc"))
     rows = rows.filter(F.col("_doc").isNotNull() | F.col("error").isNotNull())
     # Pages and whole files go under the file's id; leaves and rows have their own.
     own = F.when(F.col("_route").isin("csv", "json"), F.col("_doc.id")).otherwise(F.col("_file"))
     doc_id = F.concat_ws("_", own, "_at") if unique_ids else own
-    # CSV rows record their source instead of the file's metadata, but keep the file's chunker.
-    chunker = maps.pick(maps.or_empty(F.col("_outer")), list(CHUNKER_KEYS))
-    source = maps.empty_map() if options.source_column else maps.from_columns({"source": F.col("path")})
-    outer = F.when(F.col("_route") == "csv", maps.merge(chunker, source)).otherwise(maps.or_empty(F.col("_outer")))
-    file_entry = maps.from_columns({FILE_KEY: F.col("_file")})
     return rows.select(
         doc_id.alias("id"),
         F.col("_doc.content").alias("content"),
-        maps.merge(F.col("_doc.metadata"), outer, file_entry).alias("metadata"),
+        maps.merge(F.col("_doc.metadata"), F.col("_outer")).alias("metadata"),
         F.col("_file").alias("file_id"),
         F.col("_at").alias("position"),
         *keep,

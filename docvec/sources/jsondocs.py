@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvec.functions import maps
-from docvec.functions.batches import slices
+from docvec.functions.batches import slices, values
 
 LEAF = "struct<id:string,content:string,metadata:map<string,string>>"
 STYLES = ("json", "python")
@@ -89,7 +89,7 @@ def leaf_reader(
         for part in chain.from_iterable(map(slices, batches)):
             rows: list[list[Leaf]] = []
             errors: list[str | None] = []
-            for item, *rest in zip(*[x.to_pylist() for x in part]):
+            for item, *rest in zip(*map(values, part)):
                 error = None
                 try:
                     found = [] if item is None else list(parse(item, *rest))

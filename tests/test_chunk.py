@@ -203,3 +203,17 @@ def test_a_large_batch_is_taken_in_slices(monkeypatch):
         found = [x["chunks"] if isinstance(x, dict) else x for part in parts for x in part.to_pylist()]
         assert found == [None if t is None else [t] for t in [*texts, "a", None]]
         assert max(part.nbytes for part in parts if len(part) > 1) < 5_000_000
+
+
+def test_settings_of_a_chunker_reach_the_function_as_text(spark):
+    """Spark measures a batch after each row, and goes through a column of null arrays from its start for that."""
+    settings = '{"chunk_size":4,"chunk_overlap":null,"separators":["|","\\"",""]}'
+    rows = [("a", "ab|cd", {"chunker_information": settings}), ("b", "ab|cd", {}), ("c", "ab|cd", {"chunker_information": "no"})]
+    docs = spark.createDataFrame(rows, "id string, content string, metadata map<string,string>")
+    for strict in (True, False):
+        done = chunk.chunk_by_metadata(docs, strict=strict)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        calls = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+        assert calls and not any(".separators" in line for line in calls)
+        got = sorted((r["doc_id"], r["content"]) for r in done.collect())
+        assert got == [("a", "ab"), ("a", "|cd"), ("b", "ab|cd"), ("c", "ab|cd")]

@@ -400,3 +400,15 @@ def test_a_large_batch_of_cells_is_read_in_slices(monkeypatch):
     found = [[d["content"] for d in row["docs"]] for part in parts for row in part.to_pylist()]
     assert found == [[] if t is None else [t] for t in texts]
     assert max(part.nbytes for part in parts) < 5_000_000
+
+
+def test_rows_of_leaves_do_not_carry_all_leaves_of_their_file(spark):
+    """What goes through the explode beside a leaf has a bounded size, or a file costs the square of its leaves."""
+    rows = [(str(i), f"/{i}.json", json.dumps({"events": [{"id": 10 * i + j} for j in range(3)]}).encode(), {}) for i in range(2)]
+    found = spark.createDataFrame(rows, "id string, path string, content binary, metadata map<string,string>")
+    docs = documents.auto_docs(found, by=documents.route_by_extension(F.col("path")), strict=False)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    generates = [line for line in plan.splitlines() if "Generate posexplode" in line]
+    assert generates and not any("_loaded" in line.split("[", 1)[1] for line in generates)
+    got = sorted((r["id"], r["content"], r["file_id"], r["position"], r["error"]) for r in docs.collect())
+    assert got == sorted((f"{10 * i + j}.events.id", str(10 * i + j), str(i), j, None) for i in range(2) for j in range(3))
